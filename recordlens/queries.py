@@ -81,3 +81,95 @@ def _dj(v):
 @query("inventors_by_country")
 def _ibc(v):
     return an.inventors_by_country(v.inventors)
+
+
+# -- staging ------------------------------------------------------------------------
+from recordlens.functions.country import normalize_country  # noqa: E402
+from recordlens.operators import staging as stg  # noqa: E402
+from recordlens.operators import tables as tb  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+
+@query("stage_patents")
+def _sp(v):
+    return stg.stage_patents(v.patents_raw)
+
+
+@query("stage_abstracts")
+def _sa(v):
+    return stg.stage_abstracts(v.abstracts_raw)
+
+
+@query("stage_inventors")
+def _si(v):
+    return stg.stage_inventors(v.inventors_raw)
+
+
+@query("stage_locations")
+def _sl(v):
+    return stg.stage_locations(v.location_mentions)
+
+
+@query("stage_raw_locations")
+def _srl(v):
+    return stg.stage_raw_locations(v.raw_location_mentions)
+
+
+@query("stage_assignees")
+def _sas(v):
+    return stg.stage_assignees(v.persistent_assignee_raw)
+
+
+@query("stage_assignee_names")
+def _san(v):
+    return stg.stage_assignee_names(v.assignee_names_raw)
+
+
+@query("country_iso2")
+def _ciso2(v):
+    return (v.extracted_records.groupBy(F.col("country").alias("raw_country"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .select("raw_country", normalize_country("raw_country").alias("country_iso2"), "n"))
+
+
+# -- clean tables -------------------------------------------------------------------
+def staged(v):
+    return {
+        "patents": stg.stage_patents(v.patents_raw),
+        "abstracts": stg.stage_abstracts(v.abstracts_raw),
+        "inventors": stg.stage_inventors(v.inventors_raw),
+        "locations": stg.stage_locations(v.locations_raw),
+        "raw_locations": stg.stage_raw_locations(v.locations_nd_raw),
+        "assignees": stg.stage_assignees(v.persistent_assignee_raw),
+        "names": stg.stage_assignee_names(v.assignee_names_raw),
+    }
+
+
+@query("clean_patents")
+def _cp(v):
+    s = staged(v)
+    return tb.clean_patents(s["patents"], s["abstracts"])
+
+
+@query("clean_inventors")
+def _ci(v):
+    s = staged(v)
+    return tb.clean_inventors(s["inventors"], s["locations"], s["raw_locations"])
+
+
+@query("clean_companies")
+def _cc(v):
+    s = staged(v)
+    return tb.clean_companies(s["assignees"], s["names"])
+
+
+@query("companies_table")
+def _ct(v):
+    s = staged(v)
+    return tb.companies_table(tb.clean_companies(s["assignees"], s["names"]))
+
+
+@query("clean_relationships")
+def _cr(v):
+    s = staged(v)
+    return tb.clean_relationships(s["inventors"], s["assignees"])

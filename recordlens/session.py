@@ -21,6 +21,7 @@ def build_session(master: str | None = None, cores: int | None = None,
     builder = (
         SparkSession.builder.master(master).appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(max(cores, 1)))
         .config("spark.sql.adaptive.enabled", "true")

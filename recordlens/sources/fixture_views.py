@@ -122,6 +122,23 @@ class FixtureViews:
             .alias("disambig_assignee_organization"),
         )
 
+    @cached_property
+    def location_mentions(self) -> DataFrame:
+        """Disambiguated location rows, one per customer (repeats kept)."""
+        nk = F.col("c_nationkey")
+        return self.t.customer.select(
+            F.concat(F.lit("loc-"), _s(nk)).alias("location_id"),
+            F.when(nk % 3 == 0, F.lit(None).cast("string"))
+            .otherwise(F.concat(F.lit("C"), _s(nk))).alias("disambig_country"))
+
+    @cached_property
+    def raw_location_mentions(self) -> DataFrame:
+        """Raw (non-disambiguated) location rows, one per customer."""
+        c, rc = self.t.customer, self.raw_country
+        return c.join(rc, rc.nk == c.c_nationkey, "left").select(
+            F.concat(F.lit("loc-"), _s("c_nationkey")).alias("location_id"),
+            F.col("raw").alias("raw_country"))
+
     # -- clean star model -----------------------------------------------------
     @cached_property
     def patents(self) -> DataFrame:
