@@ -173,3 +173,49 @@ def _ct(v):
 def _cr(v):
     s = staged(v)
     return tb.clean_relationships(s["inventors"], s["assignees"])
+
+
+# -- flat path ------------------------------------------------------------------------
+from recordlens.operators import flat as fl  # noqa: E402
+
+
+@query("map_columns")
+def _mc(v):
+    return fl.map_columns(v.records_alias_layout)
+
+
+@query("union_records")
+def _ur(v):
+    a = v.extracted_records.withColumn("source_file", F.lit("records.csv"))
+    b = fl.map_columns(v.records_alias_layout.withColumn("source_file", F.lit("records_alias.tsv")))
+    return fl.union_records(a, b)
+
+
+@query("flat_clean")
+def _fc(v):
+    return fl.flat_clean(v.extracted_records)
+
+
+@query("clean_metrics")
+def _cm(v):
+    return fl.clean_metrics(v.extracted_records)
+
+
+@query("flat_patents")
+def _fp(v):
+    return fl.flat_patents(fl.flat_clean(v.extracted_records))
+
+
+@query("flat_inventors")
+def _fi(v):
+    return fl.flat_inventors(fl.flat_clean(v.extracted_records))
+
+
+@query("flat_companies")
+def _fco(v):
+    return fl.flat_companies(fl.flat_clean(v.extracted_records))
+
+
+@query("flat_relationships")
+def _fr(v):
+    return fl.flat_relationships(fl.flat_clean(v.extracted_records))

@@ -206,6 +206,16 @@ class FixtureViews:
             F.concat(F.lit("Supplier "), _s("l_suppkey")).alias("company_name"),
         )
 
+    @cached_property
+    def records_alias_layout(self) -> DataFrame:
+        """The flat records under another file's header spelling (no abstract)."""
+        return self.extracted_records.select(
+            F.col("patent_id").alias("Patent ID"), F.col("title").alias("patentTitle"),
+            F.col("filing_date").alias("date"), F.col("classification").alias("main_classification"),
+            F.col("inventor_id").alias("Inventor"), F.col("name").alias("inventorName"),
+            F.col("country").alias("inventor_country"), F.col("assignee_id").alias("organization_id"),
+            F.col("company_name").alias("assigneeName"), F.lit("x").alias("Notes"))
+
     def clean_tables(self) -> dict[str, DataFrame]:
         return {"patents": self.patents, "inventors": self.inventors,
                 "companies": self.companies, "relationships": self.relationships}
