@@ -324,3 +324,126 @@ register("flat_companies", ["extracted_records"],
                     "(SELECT assignee_id AS company_id, company_name AS name FROM flat_clean)"), [FLAT_CLEAN_CTE])
 register("flat_relationships", ["extracted_records"],
          "SELECT DISTINCT patent_id, inventor_id, assignee_id AS company_id FROM flat_clean", [FLAT_CLEAN_CTE])
+
+# -- frames reused by the statistics --------------------------------------------------
+TOP_COMPANIES = ("top_companies", _CO_COUNTS + " ORDER BY patent_count DESC, c.company_id ASC LIMIT 20")
+TOP_INVENTORS = ("top_inventors", _INV_COUNTS + " ORDER BY patent_count DESC, i.inventor_id ASC LIMIT 20")
+INV_COUNTS = ("inv_counts", _INV_COUNTS)
+COUNTRY_SHARE_KNOWN = ("country_share_known", "SELECT * FROM (" + _SHARE.format(
+    where="WHERE i.country IS NOT NULL AND i.country <> ''", share="share_pct") + ")")
+COUNTRY_SHARE_ALL = ("country_share_all", "SELECT * FROM (" + _SHARE.format(where="", share="patent_share_pct") + ")")
+PER_YEAR = ("per_year", "SELECT year, COUNT(*) AS patent_count FROM patents GROUP BY year")
+_RI = ["relationships", "inventors"]
+_RC = ["relationships", "companies"]
+
+
+def _pareto(frame: str, cols: list[str], value: str, label: str, tiebreak: list[str]) -> str:
+    order = ", ".join([f"{value} DESC NULLS LAST", f"{label} ASC NULLS FIRST"] + [f"{c} ASC NULLS FIRST" for c in tiebreak])
+    col_list = ", ".join(cols)
+    return f"""SELECT {col_list}, share_pct,
+ CASE WHEN total > 0 THEN round_even(SUM(share_pct) OVER (ORDER BY {order}
+   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) ELSE 0.0 END AS cum_share_pct,
+ CAST(ROW_NUMBER() OVER (ORDER BY {order}) AS INTEGER) AS rank
+ FROM (SELECT {col_list}, t.total,
+   CASE WHEN t.total > 0 THEN round_even({value} / t.total * 100, 2) ELSE 0.0 END AS share_pct
+   FROM {frame} CROSS JOIN (SELECT CAST(SUM({value}) AS DOUBLE) AS total FROM {frame}) t)"""
+
+
+register("pareto_companies", _RC, _pareto("top_companies", ["company_id", "name", "patent_count"],
+                                          "patent_count", "name", ["company_id"]), [TOP_COMPANIES])
+register("pareto_inventors", _RI, _pareto("top_inventors", ["inventor_id", "name", "country", "patent_count"],
+                                          "patent_count", "name", ["inventor_id"]), [TOP_INVENTORS])
+register("pareto_countries", _RI, _pareto("country_share_known", ["country", "patent_count"],
+                                          "patent_count", "country", []), [COUNTRY_SHARE_KNOWN])
+register("pareto_inventors_all", _RI, _pareto("inv_counts", ["inventor_id", "name", "country", "patent_count"],
+                                              "patent_count", "name", ["inventor_id"]), [INV_COUNTS])
+
+
+def _concentration(frame: str, value: str) -> str:
+    pct = "CASE WHEN total > 0 THEN round_even(top{k} / total * 100, 2) ELSE 0.0 END AS top{k}_pct"
+    return f"""SELECT CASE WHEN total > 0 THEN total ELSE 0.0 END AS total,
+ {pct.format(k=1)}, {pct.format(k=3)}, {pct.format(k=5)},
+ CASE WHEN total > 0 THEN round_even(COALESCE(hhi, 0.0), 4) ELSE 0.0 END AS hhi,
+ CASE WHEN total > 0 THEN round_even(COALESCE(ent, 0.0), 3) ELSE 0.0 END AS entropy
+ FROM (SELECT t.total,
+   (SELECT COALESCE(SUM(v), 0.0) FROM (SELECT v FROM vals ORDER BY v DESC LIMIT 1)) AS top1,
+   (SELECT COALESCE(SUM(v), 0.0) FROM (SELECT v FROM vals ORDER BY v DESC LIMIT 3)) AS top3,
+   (SELECT COALESCE(SUM(v), 0.0) FROM (SELECT v FROM vals ORDER BY v DESC LIMIT 5)) AS top5,
+   (SELECT SUM((v / t.total) * (v / t.total)) FROM vals WHERE t.total > 0) AS hhi,
+   (SELECT SUM(-(v / t.total) * log2(v / t.total)) FROM vals WHERE t.total > 0 AND v > 0) AS ent
+   FROM (SELECT COALESCE(SUM(v), 0.0) AS total FROM vals) t)"""
+
+
+def _vals(frame: str, value: str) -> tuple[str, str]:
+    return "vals", f"SELECT CAST(COALESCE({value}, 0) AS DOUBLE) AS v FROM {frame}"
+
+
+register("concentration_companies", _RC, _concentration("top_companies", "patent_count"),
+         [TOP_COMPANIES, _vals("top_companies", "patent_count")])
+register("concentration_inventors", _RI, _concentration("top_inventors", "patent_count"),
+         [TOP_INVENTORS, _vals("top_inventors", "patent_count")])
+register("concentration_countries", _RI, _concentration("country_share_known", "patent_count"),
+         [COUNTRY_SHARE_KNOWN, _vals("country_share_known", "patent_count")])
+register("concentration_inventors_all", _RI, _concentration("inv_counts", "patent_count"),
+         [INV_COUNTS, _vals("inv_counts", "patent_count")])
+
+register("trend_rolling", ["patents"], """SELECT year, patent_count,
+ AVG(patent_count) OVER (ORDER BY year ASC NULLS LAST ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS rolling_3yr
+ FROM per_year""", [PER_YEAR])
+register("trend_yoy", ["patents"], """SELECT year AS latest_year, patent_count AS latest_count,
+ prev AS previous_count,
+ CASE WHEN prev > 0 THEN round_even((patent_count - CAST(prev AS DOUBLE)) / CAST(prev AS DOUBLE) * 100, 2) END AS yoy_pct
+ FROM (SELECT year, patent_count, LAG(patent_count) OVER (ORDER BY year ASC NULLS LAST) AS prev,
+   ROW_NUMBER() OVER (ORDER BY year DESC NULLS FIRST) AS rn FROM per_year) WHERE rn = 1""", [PER_YEAR])
+register("trend_series", ["patents"],
+         "SELECT CAST(year AS INTEGER) AS year, patent_count FROM per_year WHERE year IS NOT NULL ORDER BY year",
+         [PER_YEAR])
+register("country_histogram", _RI, """SELECT bin, lo + bin * (hi - lo) / bins AS bin_start,
+ lo + (bin + 1) * (hi - lo) / bins AS bin_end, COUNT(*) AS count
+ FROM (SELECT CASE WHEN hi = lo THEN 0 ELSE CAST(LEAST(FLOOR((v - lo) / ((hi - lo) / bins)), bins - 1) AS INTEGER) END AS bin,
+   lo, hi, bins FROM (SELECT CAST(patent_count AS DOUBLE) AS v FROM country_share_known WHERE patent_count IS NOT NULL)
+   CROSS JOIN (SELECT MIN(CAST(patent_count AS DOUBLE)) AS lo, MAX(CAST(patent_count AS DOUBLE)) AS hi,
+     CAST(LEAST(20, GREATEST(5, FLOOR(COUNT(patent_count) / 2))) AS INTEGER) AS bins FROM country_share_known))
+ GROUP BY bin, lo, hi, bins ORDER BY bin""", [COUNTRY_SHARE_KNOWN])
+register("country_geo", _RI, f"""SELECT country, patent_count, patent_share_pct, {sql_iso3('country')} AS iso3,
+ COALESCE(country, 'Unknown') AS country_label FROM country_share_all""", [ISO3_CTE, COUNTRY_SHARE_ALL])
+register("country_geo_map", _RI, f"""SELECT * FROM (SELECT country, patent_count, share_pct,
+ {sql_iso3('country')} AS iso3, COALESCE(country, 'Unknown') AS country_label FROM country_share_known)
+ WHERE iso3 IS NOT NULL AND LENGTH(iso3) = 3""", [ISO3_CTE, COUNTRY_SHARE_KNOWN])
+
+# -- explorer / overview -------------------------------------------------------------------
+_KW = "(COALESCE(regexp_matches(title, 'urgent', 'i'), false) OR COALESCE(regexp_matches(abstract, 'urgent', 'i'), false))"
+_YEARS = "year IN (1995, 1997, 1999)"
+register("search_patents", ["patents"],
+         f"SELECT patent_id, title, year, classification, filing_date FROM patents WHERE {_KW}")
+register("search_inventors", ["inventors"],
+         "SELECT name, country FROM inventors WHERE COALESCE(regexp_matches(name, '#00000(1|2)', 'i'), false)")
+register("filter_years", ["patents"],
+         f"SELECT patent_id, title, year, classification, filing_date FROM patents WHERE {_YEARS}")
+register("year_choices", ["patents"], "SELECT DISTINCT year FROM patents WHERE year IS NOT NULL ORDER BY year")
+register("patent_page", ["patents"], f"""SELECT patent_id, title, year, classification, filing_date FROM patents
+ WHERE {_KW} AND {_YEARS} ORDER BY patent_id LIMIT 50 OFFSET 100""")
+register("patent_page_after", ["patents"],
+         "SELECT patent_id, title, year FROM patents WHERE patent_id > '5000' ORDER BY patent_id LIMIT 100")
+register("page_count", ["patents"], f"""SELECT LEAST(COUNT(*), 1000000) AS window_rows,
+ CAST(GREATEST(1, CEIL(LEAST(COUNT(*), 1000000) / 100)) AS INTEGER) AS pages FROM patents WHERE {_KW}""")
+register("patent_detail", ["patents"], """SELECT patent_id, title, abstract, year, classification, filing_date
+ FROM patents WHERE patent_id = '7'""")
+register("slice_years", ["patents"], f"""SELECT year, COUNT(*) AS patent_count FROM patents WHERE {_KW}
+ GROUP BY year ORDER BY year""")
+register("slice_diagnostics", ["patents"], f"""SELECT COUNT(DISTINCT year) AS unique_years, MIN(year) AS earliest_year,
+ MAX(year) AS latest_year, COUNT(DISTINCT classification) AS classification_types,
+ round_even(AVG(CASE WHEN abstract IS NOT NULL THEN 1.0 ELSE 0.0 END) * 100, 2) AS abstract_coverage_pct
+ FROM patents WHERE {_KW}""")
+register("top_n", _RI, """SELECT inventor_id, name, country, patent_count FROM (
+ SELECT *, ROW_NUMBER() OVER (ORDER BY patent_count DESC, inventor_id ASC) AS rn, COUNT(*) OVER () AS cnt
+ FROM top_inventors) WHERE rn <= CASE WHEN cnt <= 1 THEN cnt ELSE LEAST(10, LEAST(20, cnt)) END""", [TOP_INVENTORS])
+register("kpi_overview", ["relationships", "inventors", "companies", "patents"], f"""SELECT
+ (SELECT COUNT(*) FROM patents) AS total_patents, (SELECT COUNT(*) FROM inventors) AS total_inventors,
+ (SELECT COUNT(*) FROM companies) AS total_companies, (SELECT COUNT(*) FROM relationships) AS linked_records,
+ (SELECT MAX(year) FROM per_year WHERE year IS NOT NULL) AS latest_year,
+ COALESCE((SELECT arg_max(patent_count, year) FROM per_year WHERE year IS NOT NULL), 0) AS latest_year_count,
+ CASE WHEN (SELECT COUNT(*) FROM patents) > 0 THEN round_even(CAST((SELECT COUNT(*) FROM relationships) AS DOUBLE)
+   / (SELECT COUNT(*) FROM patents) * 100, 2) ELSE 0.0 END AS linked_ratio_pct,
+ (SELECT COUNT(*) FROM (SELECT {sql_iso3('country')} AS iso3 FROM country_share_known)
+   WHERE iso3 IS NOT NULL AND LENGTH(iso3) = 3) AS mapped_countries""", [PER_YEAR, ISO3_CTE, COUNTRY_SHARE_KNOWN])

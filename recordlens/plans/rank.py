@@ -80,3 +80,41 @@ def global_dense_rank(df: DataFrame, order: list[tuple[str, bool]], rank_col: st
         term = F.col(f"_base.{c}").eqNullSafe(F.col(f"_rk.{c}"))
         cond = term if cond is None else cond & term
     return base.join(rk, cond).select("_base.*", F.col(f"_rk.{rank_col}"))
+
+
+def global_running_sum(df: DataFrame, order: list[tuple[str, bool]], value_col: str,
+                       sum_col: str, pos_col: str, num_partitions: int | None = None) -> DataFrame:
+    """Running total of ``value_col`` and 1-based position along a global order.
+
+    Same shape as :func:`number_sorted_keys`: range partition, local
+    numbering, checkpoint, then per-partition totals (one row per partition)
+    turned into start offsets and broadcast.  The in-partition running sum
+    is a window partitioned by the range-partition id, i.e. evenly sized.
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sort_cols = [_sort_col(c, asc) for c, asc in order]
+    tagged = materialize(
+        df.repartitionByRange(n, *sort_cols)
+        .sortWithinPartitions(*sort_cols)
+        .withColumn("_rl_mid", F.monotonically_increasing_id())
+    )
+    tagged = (tagged.withColumn("_rl_pid", F.shiftright("_rl_mid", 33))
+              .withColumn("_rl_pos", F.col("_rl_mid").bitwiseAND(F.lit(_LOW_BITS))))
+    before = Window.orderBy("_rl_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        tagged.groupBy("_rl_pid")
+        .agg(F.sum(value_col).alias("_rl_psum"), F.count(F.lit(1)).alias("_rl_n"))
+        .select("_rl_pid",
+                F.coalesce(F.sum("_rl_psum").over(before), F.lit(0)).alias("_rl_sum0"),
+                F.coalesce(F.sum("_rl_n").over(before), F.lit(0)).alias("_rl_n0"))
+    )
+    local = Window.partitionBy("_rl_pid").orderBy("_rl_pos") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = (tagged.withColumn("_rl_local", F.sum(value_col).over(local))
+           .join(F.broadcast(offsets), "_rl_pid"))
+    return out.select(
+        *df.columns,
+        (F.col("_rl_sum0") + F.col("_rl_local")).alias(sum_col),
+        (F.col("_rl_n0") + F.col("_rl_pos") + 1).cast("int").alias(pos_col),
+    )

@@ -219,3 +219,154 @@ def _fco(v):
 @query("flat_relationships")
 def _fr(v):
     return fl.flat_relationships(fl.flat_clean(v.extracted_records))
+
+
+# -- statistics ------------------------------------------------------------------------
+from recordlens.operators import explore as ex  # noqa: E402
+from recordlens.operators import stats as st  # noqa: E402
+
+
+@query("pareto_companies")
+def _pc(v):
+    return st.add_cumulative_share(an.dash_top_companies(v.relationships, v.companies),
+                                   "patent_count", "name", tiebreak=["company_id"])
+
+
+@query("pareto_inventors")
+def _pi(v):
+    return st.add_cumulative_share(an.dash_top_inventors(v.relationships, v.inventors),
+                                   "patent_count", "name", tiebreak=["inventor_id"])
+
+
+@query("pareto_countries")
+def _pco(v):
+    return st.add_cumulative_share(an.dash_country_share(v.relationships, v.inventors),
+                                   "patent_count", "country")
+
+
+@query("pareto_inventors_all")
+def _pia(v):
+    return st.add_cumulative_share(an.inventor_patent_counts(v.relationships, v.inventors),
+                                   "patent_count", "name", tiebreak=["inventor_id"], distributed=True)
+
+
+@query("concentration_companies")
+def _ccomp(v):
+    return st.summarize_concentration(an.dash_top_companies(v.relationships, v.companies), "patent_count")
+
+
+@query("concentration_inventors")
+def _cinv(v):
+    return st.summarize_concentration(an.dash_top_inventors(v.relationships, v.inventors), "patent_count")
+
+
+@query("concentration_countries")
+def _ccty(v):
+    return st.summarize_concentration(an.dash_country_share(v.relationships, v.inventors), "patent_count")
+
+
+@query("concentration_inventors_all")
+def _cinva(v):
+    return st.summarize_concentration(an.inventor_patent_counts(v.relationships, v.inventors), "patent_count")
+
+
+@query("trend_rolling")
+def _tr(v):
+    return st.trend_rolling(an.q4_patents_per_year(v.patents))
+
+
+@query("trend_yoy")
+def _ty(v):
+    return st.trend_yoy(an.q4_patents_per_year(v.patents))
+
+
+@query("trend_series")
+def _ts(v):
+    return st.trend_series(an.q4_patents_per_year(v.patents))
+
+
+@query("country_histogram")
+def _ch(v):
+    return st.histogram(an.dash_country_share(v.relationships, v.inventors), "patent_count")
+
+
+@query("country_geo")
+def _cg(v):
+    return ex.country_geo(an.q6_country_share_cte(v.relationships, v.inventors))
+
+
+@query("country_geo_map")
+def _cgm(v):
+    return ex.country_geo_map(an.dash_country_share(v.relationships, v.inventors))
+
+
+# -- explorer / overview ----------------------------------------------------------------
+SEARCH_KEYWORD = "urgent"
+FILTER_YEARS = [1995, 1997, 1999]
+
+
+@query("search_patents")
+def _spat(v):
+    return ex.search_patents(v.patents, SEARCH_KEYWORD).select(
+        "patent_id", "title", "year", "classification", "filing_date")
+
+
+@query("search_inventors")
+def _sinv(v):
+    return ex.search_inventors(v.inventors, "#00000(1|2)").select("name", "country")
+
+
+@query("filter_years")
+def _fy(v):
+    return ex.filter_years(v.patents, FILTER_YEARS).select(
+        "patent_id", "title", "year", "classification", "filing_date")
+
+
+@query("year_choices")
+def _yc(v):
+    return ex.year_choices(v.patents)
+
+
+@query("patent_page")
+def _pp(v):
+    filtered = ex.filter_years(ex.search_patents(v.patents, SEARCH_KEYWORD), FILTER_YEARS)
+    return ex.patent_page(filtered, page=3, size=50).select(
+        "patent_id", "title", "year", "classification", "filing_date")
+
+
+@query("patent_page_after")
+def _ppa(v):
+    return ex.patent_page_after(v.patents, "5000", size=100).select("patent_id", "title", "year")
+
+
+@query("page_count")
+def _pgc(v):
+    return ex.page_count(ex.search_patents(v.patents, SEARCH_KEYWORD), size=100)
+
+
+@query("patent_detail")
+def _pd(v):
+    return ex.patent_detail(v.patents, "7")
+
+
+@query("slice_years")
+def _sy(v):
+    return ex.slice_years(ex.search_patents(v.patents, SEARCH_KEYWORD))
+
+
+@query("slice_diagnostics")
+def _sd(v):
+    return ex.slice_diagnostics(ex.search_patents(v.patents, SEARCH_KEYWORD))
+
+
+@query("top_n")
+def _tn(v):
+    return ex.top_n(an.dash_top_inventors(v.relationships, v.inventors),
+                    [F.col("patent_count").desc(), F.col("inventor_id").asc()])
+
+
+@query("kpi_overview")
+def _kpi(v):
+    per_year = an.q4_patents_per_year(v.patents)
+    geo = ex.country_geo_map(an.dash_country_share(v.relationships, v.inventors))
+    return ex.kpi_overview(v.patents, v.inventors, v.companies, v.relationships, per_year, geo)
