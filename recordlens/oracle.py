@@ -447,3 +447,120 @@ register("kpi_overview", ["relationships", "inventors", "companies", "patents"],
    / (SELECT COUNT(*) FROM patents) * 100, 2) ELSE 0.0 END AS linked_ratio_pct,
  (SELECT COUNT(*) FROM (SELECT {sql_iso3('country')} AS iso3 FROM country_share_known)
    WHERE iso3 IS NOT NULL AND LENGTH(iso3) = 3) AS mapped_countries""", [PER_YEAR, ISO3_CTE, COUNTRY_SHARE_KNOWN])
+
+# -- enrichment ------------------------------------------------------------------------
+_UUID_SRC = ["persistent_assignee_raw", "assignee_names_raw"]
+_NAMED = ("named", "SELECT patent_id, assignee_sequence, assignee_id, disambig_assignee_organization AS organization"
+          " FROM assignee_names_raw WHERE disambig_assignee_organization IS NOT NULL AND "
+          + sql_strip("disambig_assignee_organization") + " <> ''")
+_UUIDS = ("uuids", "SELECT patent_id, assignee_sequence, COALESCE(NULLIF(disamb_assignee_id_20200331,''),"
+          " NULLIF(disamb_assignee_id_20210330,''), NULLIF(disamb_assignee_id_20220929,'')) AS uuid"
+          " FROM persistent_assignee_raw WHERE patent_id IS NOT NULL")
+_UUID_MAP = ("uuid_map", """SELECT uuid, organization AS name FROM (SELECT p.uuid, p.patent_id, p.assignee_sequence,
+ n.organization, ROW_NUMBER() OVER (PARTITION BY p.uuid ORDER BY p.patent_id, p.assignee_sequence, n.organization) AS rn
+ FROM uuids p JOIN named n ON n.patent_id = p.patent_id AND n.assignee_sequence = p.assignee_sequence
+ WHERE p.uuid IS NOT NULL) WHERE rn = 1""")
+register("uuid_name_map", _UUID_SRC, "SELECT * FROM uuid_map", [_NAMED, _UUIDS, _UUID_MAP])
+register("name_map_last", ["assignee_names_raw"], """SELECT assignee_id, organization AS name FROM (
+ SELECT *, ROW_NUMBER() OVER (PARTITION BY assignee_id ORDER BY patent_id DESC NULLS LAST,
+   assignee_sequence DESC NULLS LAST, organization DESC NULLS LAST) AS rn FROM named WHERE assignee_id IS NOT NULL)
+ WHERE rn = 1""", [_NAMED])
+_CLEAN_CO = ("clean_co", """SELECT DISTINCT a.company_id,
+ COALESCE(NULLIF(TRIM(COALESCE(n.organization, '')), ''), a.company_id) AS name
+ FROM stg_assignees a LEFT JOIN stg_assignee_names n ON n.assignee_id = a.company_id
+ WHERE a.company_id IS NOT NULL AND a.company_id <> ''""")
+_ENRICHED = ("enriched", """SELECT c.company_id, COALESCE(m.name, c.name) AS name, c.name AS previous_name
+ FROM clean_co c LEFT JOIN uuid_map m ON m.uuid = c.company_id""")
+register_staged("enrich_company_names", ["stg_assignees", "stg_assignee_names"], "SELECT * FROM enriched",
+                [_NAMED, _UUIDS, _UUID_MAP])
+SQL["enrich_company_names"] = SQL["enrich_company_names"].replace(
+    "\nSELECT * FROM enriched", f",\n{_CLEAN_CO[0]} AS ({_CLEAN_CO[1]}),\n{_ENRICHED[0]} AS ({_ENRICHED[1]})\nSELECT * FROM enriched")
+SQL["enrich_metrics"] = SQL["enrich_company_names"].replace(
+    "\nSELECT * FROM enriched", "\nSELECT COUNT(*) AS companies,"
+    " COUNT(CASE WHEN name IS DISTINCT FROM previous_name THEN 1 END) AS names_changed FROM enriched")
+
+# -- quality ---------------------------------------------------------------------------
+_FLAT_P = ("flat_p", _first_sql(["patent_id", "title", "abstract", "filing_date", "year", "classification"],
+                                 "patent_id", "flat_clean"))
+_FLAT_I = ("flat_i", _first_sql(["inventor_id", "name", "country"], "inventor_id", "flat_clean"))
+_FLAT_C = ("flat_c", _first_sql(["company_id", "name"], "company_id",
+                                 "(SELECT assignee_id AS company_id, company_name AS name FROM flat_clean)"))
+_FLAT_R = ("flat_r", "SELECT DISTINCT patent_id, inventor_id, assignee_id AS company_id FROM flat_clean")
+_FLAT_ALL = [FLAT_CLEAN_CTE, _FLAT_P, _FLAT_I, _FLAT_C, _FLAT_R]
+
+
+def _orphan(key: str, dim: str) -> str:
+    return (f"SELECT '{key}' AS foreign_key, COUNT(*) AS orphan_rows, COUNT(DISTINCT r.{key}) AS orphan_keys"
+            f" FROM relationships r WHERE NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{key} = r.{key})")
+
+
+register("fk_orphans", ["relationships", "extracted_records"],
+         " UNION ALL ".join([_orphan("patent_id", "flat_p"), _orphan("inventor_id", "flat_i"),
+                             _orphan("company_id", "flat_c")]), _FLAT_ALL)
+register("table_counts", ["patents", "inventors", "companies", "relationships"], " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", COUNT(*) AS row_count FROM {t}"
+    for t in ["patents", "inventors", "companies", "relationships"]))
+register("load_dedup", ["patents", "inventors", "companies", "relationships", "extracted_records"], " UNION ALL ".join([
+    "SELECT 'patents' AS \"table\", COUNT(DISTINCT patent_id) AS row_count FROM (SELECT patent_id FROM patents"
+    " UNION ALL SELECT patent_id FROM flat_p)",
+    "SELECT 'inventors', COUNT(DISTINCT inventor_id) FROM (SELECT inventor_id FROM inventors"
+    " UNION ALL SELECT inventor_id FROM flat_i)",
+    "SELECT 'companies', COUNT(DISTINCT company_id) FROM (SELECT company_id FROM companies"
+    " UNION ALL SELECT company_id FROM flat_c)",
+    "SELECT 'relationships', COUNT(*) FROM (SELECT patent_id, inventor_id, company_id FROM relationships"
+    " UNION SELECT patent_id, inventor_id, company_id FROM flat_r)"]), _FLAT_ALL)
+register("load_dedup_inventors", ["inventors", "extracted_records"],
+         _first_sql(["inventor_id", "name", "country"], "inventor_id",
+                    "(SELECT inventor_id, name, country FROM inventors UNION ALL SELECT * FROM flat_i)"), _FLAT_ALL)
+
+# -- reports ---------------------------------------------------------------------------
+_TOPS = [
+    ("top_inv", _INV_COUNTS + " ORDER BY patent_count DESC, i.name ASC, i.inventor_id ASC LIMIT 3"),
+    ("top_co", _CO_COUNTS + " ORDER BY patent_count DESC, c.name ASC, c.company_id ASC LIMIT 3"),
+    ("top_cty", """SELECT i.country, COUNT(DISTINCT r.patent_id) AS patent_count
+ FROM relationships r JOIN inventors i ON i.inventor_id = r.inventor_id
+ GROUP BY i.country ORDER BY patent_count DESC, i.country ASC NULLS FIRST LIMIT 5"""),
+]
+_RICC = ["relationships", "inventors", "companies", "patents"]
+register("report_top_entities", _RICC, """
+ SELECT 'top_inventors' AS list, CAST(ROW_NUMBER() OVER (ORDER BY patent_count DESC, name, inventor_id) AS INTEGER)
+   AS position, inventor_id AS entity_id, name AS label, patent_count FROM top_inv
+ UNION ALL SELECT 'top_companies', CAST(ROW_NUMBER() OVER (ORDER BY patent_count DESC, name, company_id) AS INTEGER),
+   company_id, name, patent_count FROM top_co
+ UNION ALL SELECT 'top_countries', CAST(ROW_NUMBER() OVER (ORDER BY patent_count DESC, country NULLS FIRST) AS INTEGER),
+   country, country, patent_count FROM top_cty""", _TOPS)
+register("report_summary", _RICC, """SELECT CAST(to_json({
+ 'total_patents': (SELECT COUNT(*) FROM patents),
+ 'top_inventors': (SELECT list({'inventor_id': inventor_id, 'name': name, 'country': country,
+     'patent_count': patent_count} ORDER BY patent_count DESC, name, inventor_id) FROM top_inv),
+ 'top_companies': (SELECT list({'company_id': company_id, 'name': name, 'patent_count': patent_count}
+     ORDER BY patent_count DESC, name, company_id) FROM top_co),
+ 'top_countries': (SELECT list({'country': country, 'patent_count': patent_count}
+     ORDER BY patent_count DESC, country NULLS FIRST) FROM top_cty)}) AS VARCHAR) AS report""", _TOPS)
+register("report_diagnostics", _RICC, """SELECT
+ (SELECT SUM(n) FROM (SELECT COUNT(*) AS n FROM patents GROUP BY year))::BIGINT AS patents_in_years,
+ (SELECT COUNT(*) FROM inv_counts) AS inventor_records,
+ (SELECT name FROM inv_counts ORDER BY patent_count DESC, name, inventor_id LIMIT 1) AS top_inventor,
+ (SELECT patent_count FROM inv_counts ORDER BY patent_count DESC, name, inventor_id LIMIT 1) AS top_inventor_patents,
+ (SELECT COUNT(*) FROM co_counts) AS companies_with_patents,
+ (SELECT name FROM co_counts ORDER BY patent_count DESC, name, company_id LIMIT 1) AS top_company,
+ (SELECT patent_count FROM co_counts ORDER BY patent_count DESC, name, company_id LIMIT 1) AS top_company_patents,
+ (SELECT COUNT(*) FROM cty_counts) AS countries_reported,
+ (SELECT SUM(patent_count) FROM cty_counts)::BIGINT AS patents_in_country_stats""",
+         [INV_COUNTS, ("co_counts", _CO_COUNTS), ("cty_counts", """SELECT i.country, COUNT(DISTINCT r.patent_id)
+ AS patent_count FROM relationships r JOIN inventors i ON i.inventor_id = r.inventor_id GROUP BY i.country""")])
+
+# -- links and manifests -----------------------------------------------------------------
+register("page_links", [], """SELECT DISTINCT page_id,
+ regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || h AS link
+ FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '(?i)href=["'']([^"'']+)["'']', 1)) AS h FROM pages)""")
+register("page_archives", [], """SELECT * FROM (SELECT DISTINCT page_id,
+ regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || h AS link
+ FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '(?i)href=["'']([^"'']+)["'']', 1)) AS h FROM pages))
+ WHERE lower(link) LIKE '%.zip'""")
+register("manifest_files", [], """SELECT page_id, name, url, size FROM (SELECT page_id,
+ 'page_' || CAST(page_id AS VARCHAR) || CASE page_id % 3 WHEN 0 THEN '.zip' WHEN 1 THEN '.ZIP' ELSE '.html' END AS name,
+ CASE WHEN page_id % 2 = 0 THEN url ELSE 'https://data.example.org/files/' || CAST(page_id AS VARCHAR) END AS url,
+ CAST(NULLIF(length(html), 0) AS BIGINT) AS size FROM pages) WHERE page_id % 3 <> 2""")
+register("json_props", [], """SELECT event_id, event_type, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+ FROM events""")

@@ -370,3 +370,111 @@ def _kpi(v):
     per_year = an.q4_patents_per_year(v.patents)
     geo = ex.country_geo_map(an.dash_country_share(v.relationships, v.inventors))
     return ex.kpi_overview(v.patents, v.inventors, v.companies, v.relationships, per_year, geo)
+
+
+# -- enrichment / quality ------------------------------------------------------------------
+from recordlens.operators import enrich as en  # noqa: E402
+from recordlens.operators import links as lk  # noqa: E402
+from recordlens.operators import quality as qa  # noqa: E402
+from recordlens.operators import report as rp  # noqa: E402
+
+
+@query("uuid_name_map")
+def _unm(v):
+    return en.uuid_name_map(v.persistent_assignee_raw, v.assignee_names_raw)
+
+
+@query("name_map_last")
+def _nml(v):
+    return en.name_map_last(v.assignee_names_raw)
+
+
+def _enriched(v):
+    s = staged(v)
+    companies = tb.clean_companies(s["assignees"], s["names"])
+    return en.enrich_company_names(companies, en.uuid_name_map(v.persistent_assignee_raw,
+                                                                 v.assignee_names_raw))
+
+
+@query("enrich_company_names")
+def _ecn(v):
+    return _enriched(v)
+
+
+@query("enrich_metrics")
+def _em(v):
+    return en.enrich_metrics(_enriched(v))
+
+
+def _flat_tables(v):
+    return fl.split_tables(fl.flat_clean(v.extracted_records))
+
+
+@query("fk_orphans")
+def _fko(v):
+    t = _flat_tables(v)
+    return qa.fk_orphans(v.relationships, t["patents"], t["inventors"], t["companies"])
+
+
+@query("table_counts")
+def _tc(v):
+    return qa.table_counts(v.clean_tables())
+
+
+@query("load_dedup")
+def _ld(v):
+    flat = _flat_tables(v)
+    both = {k: fl.union_records(v.clean_tables()[k].select(*flat[k].columns), flat[k])
+            for k in ("patents", "inventors", "companies", "relationships")}
+    return qa.table_counts(qa.load_dedup(both))
+
+
+@query("load_dedup_inventors")
+def _ldi(v):
+    flat = _flat_tables(v)
+    both = fl.union_records(v.inventors, flat["inventors"])
+    return qa.dedup_on_key(both, ["inventor_id"])
+
+
+# -- reports ---------------------------------------------------------------------------
+def _tops(v):
+    return rp.top_entities(v.relationships, v.patents, v.inventors, v.companies)
+
+
+@query("report_top_entities")
+def _rte(v):
+    return rp.top_entities_long(_tops(v))
+
+
+@query("report_summary")
+def _rs(v):
+    return rp.summary_json(rp.summary_report(v.patents, _tops(v)))
+
+
+@query("report_diagnostics")
+def _rd(v):
+    return rp.report_diagnostics(v.relationships, v.patents, v.inventors, v.companies)
+
+
+# -- links and manifests ------------------------------------------------------------------
+MANIFEST_BASE_URL = "https://data.example.org"
+
+
+@query("page_links")
+def _pl(v):
+    return lk.page_links(v.t.pages)
+
+
+@query("page_archives")
+def _pa(v):
+    return lk.page_archives(lk.page_links(v.t.pages))
+
+
+@query("manifest_files")
+def _mf(v):
+    return lk.manifest_files(v.manifests, "manifest", MANIFEST_BASE_URL, keep=("page_id",))
+
+
+@query("json_props")
+def _jp(v):
+    return lk.json_props(v.t.events, "props", {"k": "int"}, keep=("event_id", "event_type"))

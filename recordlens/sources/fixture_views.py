@@ -216,6 +216,21 @@ class FixtureViews:
             F.col("country").alias("inventor_country"), F.col("assignee_id").alias("organization_id"),
             F.col("company_name").alias("assigneeName"), F.lit("x").alias("Notes"))
 
+    @cached_property
+    def manifests(self) -> DataFrame:
+        """One JSON file manifest per page (both key spellings, mixed file types)."""
+        pid = F.col("page_id")
+        ext = F.when(pid % 3 == 0, ".zip").when(pid % 3 == 1, ".ZIP").otherwise(".html")
+        name = F.concat(F.lit("page_"), _s(pid), ext)
+        uri = F.when(pid % 2 == 0, F.col("url")).otherwise(F.concat(F.lit("/files/"), _s(pid)))
+        size = _s(F.length("html"))
+        products = F.when(pid % 4 == 0, "bulkDataProductBag").otherwise("bulkDataProductBags")
+        bag = F.when(pid % 4 == 0, "bulkDataFileBag").otherwise("productFileBag")
+        doc = F.format_string(
+            '{"%s":[{"%s":{"fileDataBag":[{"fileName":"%s","fileDownloadURI":"%s","fileSize":"%s"}]}}]}',
+            products, bag, name, uri, size)
+        return self.t.pages.select("page_id", doc.alias("manifest"))
+
     def clean_tables(self) -> dict[str, DataFrame]:
         return {"patents": self.patents, "inventors": self.inventors,
                 "companies": self.companies, "relationships": self.relationships}
