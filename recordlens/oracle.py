@@ -564,3 +564,7 @@ register("manifest_files", [], """SELECT page_id, name, url, size FROM (SELECT p
  CAST(NULLIF(length(html), 0) AS BIGINT) AS size FROM pages) WHERE page_id % 3 <> 2""")
 register("json_props", [], """SELECT event_id, event_type, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
  FROM events""")
+
+# -- streaming (oracle = the batch view) ----------------------------------------------------
+register("stream_ingest", ["patents"], "SELECT * FROM patents")
+register("stream_dedup", ["relationships"], "SELECT * FROM relationships")

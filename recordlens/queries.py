@@ -478,3 +478,46 @@ def _mf(v):
 @query("json_props")
 def _jp(v):
     return lk.json_props(v.t.events, "props", {"k": "int"}, keep=("event_id", "event_type"))
+
+
+# -- streaming -------------------------------------------------------------------------
+from recordlens.streaming import ingest as si  # noqa: E402
+
+
+@query("stream_ingest")
+def _sti(v):
+    """Orders files streamed in, each batch shaped into patents rows."""
+    spark, sf = v.spark, v.t.sf_dir
+    docs = v.t.documents.select("doc_id", "text")
+
+    def to_patents(orders):
+        j = orders.join(docs, docs.doc_id == orders.o_orderkey, "left")
+        return j.select(
+            F.col("o_orderkey").cast("string").alias("patent_id"),
+            F.concat(F.col("o_orderpriority"), F.lit(" "), F.col("o_orderstatus")).alias("title"),
+            F.col("text").alias("abstract"),
+            F.substring(F.col("o_orderdate").cast("string"), 1, 10).alias("filing_date"),
+            F.year("o_orderdate").cast("int").alias("year"),
+            F.when(F.col("o_orderstatus") == "F", "B1").when(F.col("o_orderstatus") == "O", "B2")
+            .otherwise(F.col("o_orderpriority")).alias("classification"))
+
+    base = si.scratch_path(spark, "stream_ingest")
+    return si.ingest(spark, sf, v.t.orders.schema, to_patents, f"{base}/out", f"{base}/ckpt",
+                     glob="orders.parquet")
+
+
+@query("stream_dedup")
+def _std(v):
+    """Line items streamed in, linked to orders, de-duplicated to distinct triples."""
+    spark, sf = v.spark, v.t.sf_dir
+    orders = v.t.orders.select("o_orderkey", "o_custkey")
+
+    def to_links(items):
+        j = items.join(orders, orders.o_orderkey == items.l_orderkey)
+        return j.select(F.col("o_orderkey").cast("string").alias("patent_id"),
+                        F.col("o_custkey").cast("string").alias("inventor_id"),
+                        F.col("l_suppkey").cast("string").alias("company_id"))
+
+    base = si.scratch_path(spark, "stream_dedup")
+    return si.ingest(spark, sf, v.t.lineitem.schema, to_links, f"{base}/out", f"{base}/ckpt",
+                     glob="lineitem.parquet", dedup_keys=["patent_id", "inventor_id", "company_id"])
