@@ -117,8 +117,9 @@ def kpi_overview(patents: DataFrame, inventors: DataFrame, companies: DataFrame,
                  relationships: DataFrame, per_year: DataFrame, geo_map: DataFrame) -> DataFrame:
     """The overview KPIs as one row (each a parallel aggregate; rows joined 1x1)."""
     one = F.count(F.lit(1))
+    # total_patents is the sum of the per-year counts: patents scanned once.
     parts = [
-        patents.agg(one.alias("total_patents")),
+        per_year.agg(F.coalesce(F.sum("patent_count"), F.lit(0)).alias("total_patents")),
         inventors.agg(one.alias("total_inventors")),
         companies.agg(one.alias("total_companies")),
         relationships.agg(one.alias("linked_records")),

@@ -70,17 +70,32 @@ def union_records(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def flat_clean(records: DataFrame) -> DataFrame:
-    df = snake_columns(records).dropDuplicates()
-    for c in ID_COLUMNS:
-        if c in df.columns:
-            df = df.withColumn(c, strip_ws(c))
-    df = df.withColumn("_date", parse_date_lenient("filing_date"))
+def _clean_keep_condition(df: DataFrame):
     present = [F.col(c).isNotNull() & (F.col(c) != "") for c in ID_COLUMNS]
     cond = F.col("_date").isNotNull()
     for p in present:
         cond = cond & p
-    df = df.where(cond)
+    return cond
+
+
+def _prepare(df: DataFrame) -> DataFrame:
+    """Strip ids and parse the date (columns already in snake_case)."""
+    for c in ID_COLUMNS:
+        if c in df.columns:
+            df = df.withColumn(c, strip_ws(c))
+    return df.withColumn("_date", parse_date_lenient("filing_date"))
+
+
+def flat_clean(records: DataFrame) -> DataFrame:
+    """Full-row de-duplication, id strip, date parse, required fields, text fill.
+
+    The keep condition is a function of each row alone, so Catalyst pushes
+    it below the de-duplication (and into the scans): duplicates are
+    identical rows and are kept or dropped together, so the result is the
+    same as filtering after de-duplication.
+    """
+    df = _prepare(snake_columns(records).dropDuplicates())
+    df = df.where(_clean_keep_condition(df))
     for c in TEXT_COLUMNS:
         if c in df.columns:
             df = df.withColumn(c, F.coalesce(F.nullif(strip_ws(c), F.lit("")), F.lit(UNKNOWN)))
@@ -92,14 +107,16 @@ def flat_clean(records: DataFrame) -> DataFrame:
 def clean_metrics(records: DataFrame) -> DataFrame:
     """Stage statistics as one row: input, duplicates removed, dropped, output.
 
-    Three one-row aggregates, combined by broadcast cross joins of single
-    rows; each count is computed in parallel with partial aggregation.
+    One shuffle: group identical raw rows (count the copies and evaluate the
+    keep condition once per distinct row), then sum over the groups.
     """
     snake = snake_columns(records)
-    n_in = snake.agg(F.count(F.lit(1)).alias("input_rows"))
-    n_dedup = snake.dropDuplicates().agg(F.count(F.lit(1)).alias("_dedup"))
-    n_out = flat_clean(records).agg(F.count(F.lit(1)).alias("cleaned_rows"))
-    row = n_in.crossJoin(F.broadcast(n_dedup)).crossJoin(F.broadcast(n_out))
+    groups = snake.groupBy(*snake.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    flagged = _prepare(groups)
+    flagged = flagged.withColumn("_keep", _clean_keep_condition(flagged).cast("long"))
+    row = flagged.agg(F.coalesce(F.sum("_copies"), F.lit(0)).alias("input_rows"),
+                      F.count(F.lit(1)).alias("_dedup"),
+                      F.coalesce(F.sum("_keep"), F.lit(0)).alias("cleaned_rows"))
     return row.select(
         "input_rows",
         (F.col("input_rows") - F.col("_dedup")).alias("duplicates_removed"),

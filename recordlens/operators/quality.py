@@ -25,12 +25,19 @@ def fk_orphans(relationships: DataFrame, patents: DataFrame, inventors: DataFram
     reduced to its distinct keys) followed by a count.
     """
     checks = [("patent_id", patents), ("inventor_id", inventors), ("company_id", companies)]
-    parts = []
+    # One pass over the bridge: a left join per dimension (reduced to its
+    # distinct keys, flagged) and one aggregate over the misses.
+    r = relationships.select("patent_id", "inventor_id", "company_id")
     for key, dim in checks:
-        orphans = relationships.select(key).join(dim.select(key).distinct(), key, "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).alias("orphan_rows"),
-                                 F.countDistinct(key).alias("orphan_keys"))
-                     .select(F.lit(key).alias("foreign_key"), "orphan_rows", "orphan_keys"))
+        r = r.join(dim.select(key).distinct().withColumn(f"_hit_{key}", F.lit(True)), key, "left")
+    aggs = []
+    for key, _ in checks:
+        miss = F.col(f"_hit_{key}").isNull()
+        aggs += [F.count(F.when(miss, 1)).alias(f"_rows_{key}"),
+                 F.countDistinct(F.when(miss, F.col(key))).alias(f"_keys_{key}")]
+    row = r.agg(*aggs)
+    parts = [row.select(F.lit(key).alias("foreign_key"), F.col(f"_rows_{key}").alias("orphan_rows"),
+                        F.col(f"_keys_{key}").alias("orphan_keys")) for key, _ in checks]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordlens.plans.rank import global_running_sum
+from recordlens.session import materialize
 
 
 def _numeric(df: DataFrame, value_col: str) -> DataFrame:
@@ -34,8 +35,14 @@ def add_cumulative_share(frame: DataFrame, value_col: str, label_col: str,
     """
     df = _numeric(frame, value_col)
     order = [(value_col, False), (label_col, True)] + [(c, True) for c in (tiebreak or [])]
-    total = df.agg(F.sum(value_col).cast("double").alias("_total"))
-    df = df.crossJoin(F.broadcast(total))  # one row: proven size
+    if distributed:
+        # Entity-sized input: freeze it once so the total and the running sum
+        # read the same rows without recomputing the upstream aggregation.
+        df = materialize(df)
+        total = df.agg(F.sum(value_col).cast("double").alias("_total"))
+        df = df.crossJoin(F.broadcast(total))  # one row: proven size
+    else:
+        df = df.withColumn("_total", F.sum(value_col).over(Window.partitionBy()).cast("double"))
     share = F.when(F.col("_total") > 0,
                    F.bround(F.col(value_col) / F.col("_total") * 100, 2)).otherwise(F.lit(0.0))
     df = df.withColumn("share_pct", share)
@@ -60,27 +67,29 @@ def summarize_concentration(frame: DataFrame, value_col: str) -> DataFrame:
     the frame is empty or sums to <= 0.
     """
     df = _numeric(frame, value_col).select(F.col(value_col).cast("double").alias("v"))
-    total = df.agg(F.coalesce(F.sum("v"), F.lit(0.0)).alias("total"))
+    # One aggregate pass: HHI = sum(v^2)/T^2 and entropy = log2(T) - sum(v*log2 v)/T
+    # need only sums, so the total does not have to be known first.
+    sums = df.agg(F.coalesce(F.sum("v"), F.lit(0.0)).alias("total"),
+                  F.sum(F.col("v") * F.col("v")).alias("_s2"),
+                  F.sum(F.when(F.col("v") > 0, F.col("v") * F.log2("v"))).alias("_svl"))
     top = df.orderBy(F.col("v").desc()).limit(5) \
         .withColumn("_i", F.row_number().over(Window.orderBy(F.col("v").desc())))
     tops = top.agg(*[F.coalesce(F.sum(F.when(F.col("_i") <= k, F.col("v"))), F.lit(0.0)).alias(f"_top{k}")
                      for k in (1, 3, 5)])
-    j = df.crossJoin(F.broadcast(total))
-    share = F.col("v") / F.col("total")
-    terms = j.agg(
-        F.sum(F.when(F.col("total") > 0, share * share)).alias("_hhi"),
-        F.sum(F.when((F.col("total") > 0) & (F.col("v") > 0), -share * F.log2(share))).alias("_ent"))
-    row = total.crossJoin(F.broadcast(tops)).crossJoin(F.broadcast(terms))
+    row = sums.crossJoin(F.broadcast(tops))
     pos = F.col("total") > 0
+    t = F.col("total")
 
     def pct(c: str):
-        return F.when(pos, F.bround(F.col(c) / F.col("total") * 100, 2)).otherwise(F.lit(0.0))
+        return F.when(pos, F.bround(F.col(c) / t * 100, 2)).otherwise(F.lit(0.0))
 
+    hhi = F.coalesce(F.col("_s2"), F.lit(0.0)) / (t * t)
+    ent = F.log2(t) - F.coalesce(F.col("_svl"), F.lit(0.0)) / t
     return row.select(
-        F.when(pos, F.col("total")).otherwise(F.lit(0.0)).alias("total"),
+        F.when(pos, t).otherwise(F.lit(0.0)).alias("total"),
         pct("_top1").alias("top1_pct"), pct("_top3").alias("top3_pct"), pct("_top5").alias("top5_pct"),
-        F.when(pos, F.bround(F.coalesce(F.col("_hhi"), F.lit(0.0)), 4)).otherwise(F.lit(0.0)).alias("hhi"),
-        F.when(pos, F.bround(F.coalesce(F.col("_ent"), F.lit(0.0)), 3)).otherwise(F.lit(0.0)).alias("entropy"),
+        F.when(pos, F.bround(hhi, 4)).otherwise(F.lit(0.0)).alias("hhi"),
+        F.when(pos, F.bround(F.greatest(ent, F.lit(0.0)), 3)).otherwise(F.lit(0.0)).alias("entropy"),
     )
 
 

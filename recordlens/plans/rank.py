@@ -71,6 +71,9 @@ def global_dense_rank(df: DataFrame, order: list[tuple[str, bool]], rank_col: st
                       num_partitions: int | None = None) -> DataFrame:
     """``DENSE_RANK() OVER (ORDER BY order...)`` computed in parallel."""
     key_cols = [c for c, _ in order]
+    # The input is read twice (keys, join-back): freeze it once instead of
+    # running its upstream aggregation twice.
+    df = materialize(df)
     keys = df.select(*key_cols).distinct()
     ranked_keys = number_sorted_keys(keys, order, rank_col, num_partitions)
     cond = None
