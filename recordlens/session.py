@@ -12,24 +12,32 @@ def build_session(master: str | None = None, cores: int | None = None,
                   app_name: str = "recordlens", extra: dict | None = None) -> SparkSession:
     """Session tuned for the library: UTC, AQE with skew-join handling.
 
-    Shuffle partitions follow the core count when running locally; on a
-    cluster the caller (or spark-defaults) should size them to the data
-    (roughly input bytes / 128 MiB).
+    ``master=None`` means local mode with ``cores`` threads (tests, bench);
+    pass ``master=""`` under spark-submit to keep the cluster's master and
+    sizing.  Locally, shuffle partitions follow the core count; on a
+    cluster they come from spark-defaults, and AQE coalesces small
+    partitions and splits skewed ones at run time.
     """
     cores = cores or int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
-    master = master or f"local[{cores}]"
+    local = master is None or master.startswith("local")
+    builder = SparkSession.builder.appName(app_name)
+    if master is None:
+        builder = builder.master(f"local[{cores}]")
+    elif master:
+        builder = builder.master(master)
     builder = (
-        SparkSession.builder.master(master).appName(app_name)
+        builder
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(max(cores, 1)))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("RECORDLENS_DRIVER_MEMORY", "16g"))
     )
+    if local:
+        builder = (builder.config("spark.sql.shuffle.partitions", str(max(cores, 1)))
+                   .config("spark.driver.memory", os.environ.get("RECORDLENS_DRIVER_MEMORY", "16g")))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
