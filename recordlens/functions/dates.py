@@ -22,9 +22,12 @@ def year_of(c: str | Column) -> Column:
 
 
 def parse_date_lenient(c: str | Column) -> Column:
-    """Date from 'yyyy-MM-dd' or 'yyyy-MM-dd HH:mm:ss' text (whitespace stripped)."""
-    v = strip_ws(as_col(c))
-    return F.coalesce(
-        F.try_to_date(v, "yyyy-MM-dd"),
-        F.to_date(F.try_to_timestamp(v, F.lit("yyyy-MM-dd HH:mm:ss"))),
-    )
+    """Date of a date-like text, null when it does not parse (whitespace stripped).
+
+    Spark's string-to-date cast takes 'yyyy', 'yyyy-[m]m', 'yyyy-[m]m-[d]d'
+    and a date followed by a time part ('2018-04-10 00:00:00',
+    '2018-04-10T08:00'), like a lenient pandas parse; ``try_cast`` yields
+    null instead of raising.  It is a hand-written parser, far cheaper than
+    pattern-based parsing with exceptions on failure.
+    """
+    return strip_ws(as_col(c)).try_cast("date")

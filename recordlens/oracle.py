@@ -277,8 +277,7 @@ register_staged("companies_table", ["stg_assignees", "stg_assignee_names"], """S
 
 # -- flat path --------------------------------------------------------------------
 _S = sql_strip
-_FLAT_DATE = (f"CAST(COALESCE(TRY_STRPTIME({_S('filing_date')}, '%Y-%m-%d'),"
-              f" TRY_STRPTIME({_S('filing_date')}, '%Y-%m-%d %H:%M:%S')) AS DATE)")
+_FLAT_DATE = f"TRY_CAST({_S('filing_date')} AS DATE)"
 
 
 def _unk(c: str) -> str:
