@@ -104,6 +104,39 @@ def flat_clean(records: DataFrame) -> DataFrame:
                        for c in base], F.year("_date").cast("int").alias("year"))
 
 
+def flat_clean_observed(records: DataFrame):
+    """``flat_clean`` plus an Observation filled in by the first action on it.
+
+    The stage statistics (input rows, rows after de-duplication, output
+    rows) are gathered while the cleaned data is written, with no extra pass
+    over the input.  Returns ``(cleaned_frame, observation)``; read
+    ``observation.get`` after the write.
+    """
+    from pyspark.sql import Observation
+    obs_in, obs_dd, obs_out = (Observation("flat_input"), Observation("flat_dedup"),
+                               Observation("flat_output"))
+    snake = snake_columns(records).observe(obs_in, F.count(F.lit(1)).alias("rows"))
+    dedup = snake.dropDuplicates().observe(obs_dd, F.count(F.lit(1)).alias("rows"))
+    df = _prepare(dedup)
+    df = df.where(_clean_keep_condition(df))
+    for c in TEXT_COLUMNS:
+        if c in df.columns:
+            df = df.withColumn(c, F.coalesce(F.nullif(strip_ws(c), F.lit("")), F.lit(UNKNOWN)))
+    base = [c for c in df.columns if c not in ("_date",)]
+    out = df.select(*[F.date_format("_date", "yyyy-MM-dd").alias(c) if c == "filing_date" else F.col(c)
+                      for c in base], F.year("_date").cast("int").alias("year"))
+    out = out.observe(obs_out, F.count(F.lit(1)).alias("rows"))
+
+    class _Metrics:
+        @property
+        def get(self) -> dict:
+            n_in, n_dd, n_out = obs_in.get["rows"], obs_dd.get["rows"], obs_out.get["rows"]
+            return {"input_rows": n_in, "duplicates_removed": n_in - n_dd,
+                    "rows_dropped": n_dd - n_out, "cleaned_rows": n_out}
+
+    return out, _Metrics()
+
+
 def clean_metrics(records: DataFrame) -> DataFrame:
     """Stage statistics as one row: input, duplicates removed, dropped, output.
 

@@ -171,8 +171,25 @@ def extract_records(spark: SparkSession, raw_dir: str, legacy_na: bool = False)
     return union_all(frames)
 
 
-def run_flat_path(spark: SparkSession, raw_dir: str, out_dir: str | None = None) -> dict[str, DataFrame]:
-    clean = fl.flat_clean(extract_records(spark, raw_dir))
+def run_flat_path(spark: SparkSession, raw_dir: str, out_dir: str | None = None,
+                  metrics: dict | None = None) -> dict[str, DataFrame]:
+    """Flat path: extract, clean once, split into four tables.
+
+    The cleaned records feed four table builds, so they are written once
+    (``out_dir/_cleaned``, or a checkpoint without ``out_dir``) instead of
+    being recomputed per table.  Stage statistics are observed during that
+    single write and stored into ``metrics`` when a dict is passed.
+    """
+    from recordlens.session import materialize
+    clean, observed = fl.flat_clean_observed(extract_records(spark, raw_dir))
+    if out_dir is None:
+        clean = materialize(clean)
+    else:
+        path = f"{out_dir.rstrip('/')}/_cleaned"
+        clean.write.mode("overwrite").parquet(path)
+        clean = spark.read.parquet(path)
+    if metrics is not None:
+        metrics.update(observed.get)
     tables = fl.split_tables(clean)
     if out_dir is None:
         return tables

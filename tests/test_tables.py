@@ -133,7 +133,9 @@ def test_flat_path_from_files(spark, tmpdir_fresh):
     write_text(os.path.join(tmpdir_fresh, "b.tsv"),
                "patent_id\ttitle\tfiling_date\tinventor_id\tname\tassignee_id\tcompany_name\n"
                "3\tT3\t2021-02-03\ti1\tAnn\tc1\t\n")
-    t = pipeline.run_flat_path(spark, tmpdir_fresh)
+    metrics = {}
+    t = pipeline.run_flat_path(spark, tmpdir_fresh, metrics=metrics)
+    assert metrics == {"input_rows": 4, "duplicates_removed": 0, "rows_dropped": 1, "cleaned_rows": 3}
     assert sorted(r.patent_id for r in t["patents"].collect()) == ["1", "3"]
     assert {r.company_id: r.name for r in t["companies"].collect()} == {"c1": "Co"}
     assert t["relationships"].count() == 2
