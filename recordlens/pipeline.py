@@ -75,29 +75,43 @@ def core_files_available(spark: SparkSession, raw_dir: str) -> bool:
     return all(_exists(spark, _path(raw_dir, f)) for f in CORE_FILES.values())
 
 
+# Files whose cells may hold newlines (free text) need a whole-file parse;
+# the id-only files are read splittably.
+FREE_TEXT_FILES = {"patents", "abstracts", "names"}
+
+
 def build_staging(spark: SparkSession, raw_dir: str, legacy_na: bool = False,
-                  row_limit: int | None = None, latest_assignee: bool = False) -> dict[str, DataFrame]:
-    """Staging frames from the raw files (all text, staging rules applied)."""
-    def raw(name: str, columns: list[str] | None = None) -> DataFrame:
+                  row_limit: int | None = None, latest_assignee: bool = False,
+                  staging_dir: str | None = None) -> dict[str, DataFrame]:
+    """Staging frames from the raw files (all text, staging rules applied).
+
+    With ``staging_dir`` each staging frame is written once as Parquet (an
+    empty input keeps its explicit schema) and read back, so the clean-table
+    builds never parse raw text twice.
+    """
+    def raw(key: str, name: str) -> DataFrame:
         return read_delimited(spark, _path(raw_dir, name), legacy_na=legacy_na, row_limit=row_limit,
-                              columns=columns)
+                              multiline=key in FREE_TEXT_FILES)
 
     staged = {
-        "patents": stg.stage_patents(raw(CORE_FILES["patents"])),
-        "abstracts": stg.stage_abstracts(raw(CORE_FILES["abstracts"])),
-        "inventors": stg.stage_inventors(raw(CORE_FILES["inventors"])),
-        "locations": stg.stage_locations(raw(CORE_FILES["locations"])),
-        "assignees": stg.stage_assignees(raw(CORE_FILES["assignees"]), latest=latest_assignee),
+        "patents": stg.stage_patents(raw("patents", CORE_FILES["patents"])),
+        "abstracts": stg.stage_abstracts(raw("abstracts", CORE_FILES["abstracts"])),
+        "inventors": stg.stage_inventors(raw("inventors", CORE_FILES["inventors"])),
+        "locations": stg.stage_locations(raw("locations", CORE_FILES["locations"])),
+        "assignees": stg.stage_assignees(raw("assignees", CORE_FILES["assignees"]), latest=latest_assignee),
     }
     rl_path = _path(raw_dir, OPTIONAL_FILES["raw_locations"])
-    staged["raw_locations"] = (stg.stage_raw_locations(raw(OPTIONAL_FILES["raw_locations"]))
+    staged["raw_locations"] = (stg.stage_raw_locations(raw("raw_locations", OPTIONAL_FILES["raw_locations"]))
                                if _exists(spark, rl_path)
                                else spark.createDataFrame([], "location_id string, country string"))
     nm_path = _path(raw_dir, OPTIONAL_FILES["names"])
-    staged["names"] = (stg.stage_assignee_names(raw(OPTIONAL_FILES["names"]))
+    staged["names"] = (stg.stage_assignee_names(raw("names", OPTIONAL_FILES["names"]))
                        if _exists(spark, nm_path)
                        else spark.createDataFrame([], "assignee_id string, organization string"))
-    return staged
+    if staging_dir is None:
+        return staged
+    paths = save_tables(staged, staging_dir)
+    return {k: spark.read.parquet(p) for k, p in paths.items()}
 
 
 def clean_tables_from_staging(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -112,10 +126,16 @@ def clean_tables_from_staging(staged: dict[str, DataFrame]) -> dict[str, DataFra
 
 def build_clean_tables(spark: SparkSession, raw_dir: str, out_dir: str | None = None,
                        **kwargs) -> dict[str, DataFrame]:
-    """Staging path; falls back to the built-in sample when core files are missing."""
+    """Staging path; falls back to the built-in sample when core files are missing.
+
+    With ``out_dir`` the staging frames are also persisted under
+    ``out_dir/_staging`` so every raw file is parsed exactly once.
+    """
     if not core_files_available(spark, raw_dir):
         tables = sample_tables(spark)
     else:
+        if out_dir is not None:
+            kwargs.setdefault("staging_dir", f"{out_dir.rstrip('/')}/_staging")
         tables = clean_tables_from_staging(build_staging(spark, raw_dir, **kwargs))
     if out_dir is None:
         return tables

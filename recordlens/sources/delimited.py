@@ -64,7 +64,8 @@ def read_delimited(spark: SparkSession, path: str | list[str], sep: str | None =
     """All-string read of files sharing one header; overlong rows dropped.
 
     ``columns`` selects a subset after the ragged-row filter (never before,
-    so pruning cannot hide an overlong row).  ``row_limit`` caps rows per
+    so pruning cannot hide an overlong row).  ``multiline=False`` gives a
+    splittable (parallel) read for files whose cells never hold newlines.  ``row_limit`` caps rows per
     source right after the read (negative -> 0), as the original's
     debugging cap did.
     """
@@ -76,6 +77,10 @@ def read_delimited(spark: SparkSession, path: str | list[str], sep: str | None =
     reader = (spark.read.schema(schema).option("header", True).option("sep", sep)
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
               .option("multiLine", multiline).option("enforceSchema", True))
+    if not multiline:
+        # Splittable read: every row must still be parsed in full, or column
+        # pruning would hide overlong rows from the ragged-row filter.
+        reader = reader.option("columnPruning", False)
     raw = reader.csv(paths)
     if with_source_file:
         raw = raw.withColumn("source_file", F.col("_metadata.file_name"))

@@ -60,3 +60,10 @@ def test_json_report(spark, tmpdir_fresh):
     row = read_json_report(spark, p).first()
     assert row["total_patents"] == 4 and row["top"][0]["c"] is None
     assert read_json_report(spark, os.path.join(tmpdir_fresh, "none.json")).count() == 0
+
+
+def test_splittable_read_still_drops_overlong_rows(spark, tmpdir_fresh):
+    text = "patent_id\tinventor_id\n1\ti1\n2\ti2\textra\n3\n"
+    p = write_text(os.path.join(tmpdir_fresh, "g_inventor.tsv"), text)
+    ids = sorted(r[0] for r in read_delimited(spark, p, multiline=False, columns=["patent_id"]).collect())
+    assert ids == ["1", "3"]

@@ -113,6 +113,15 @@ def test_pipeline_from_raw_files(spark, tmpdir_fresh):
     assert t["relationships"].count() == 3
 
 
+def test_pipeline_with_staging_dir(spark, tmpdir_fresh):
+    raw = os.path.join(tmpdir_fresh, "raw")
+    os.makedirs(raw)
+    _write_raw(raw)
+    t = pipeline.build_clean_tables(spark, raw, out_dir=os.path.join(tmpdir_fresh, "tables"))
+    assert os.path.isdir(os.path.join(tmpdir_fresh, "tables", "_staging", "inventors"))
+    assert t["relationships"].count() == 3 and t["patents"].count() == 2
+
+
 def test_pipeline_missing_optional_inputs(spark, tmpdir_fresh):
     _write_raw(tmpdir_fresh, with_optional=False)
     t = pipeline.build_clean_tables(spark, tmpdir_fresh)
