@@ -36,9 +36,11 @@ def fk_orphans(relationships: DataFrame, patents: DataFrame, inventors: DataFram
         aggs += [F.count(F.when(miss, 1)).alias(f"_rows_{key}"),
                  F.countDistinct(F.when(miss, F.col(key))).alias(f"_keys_{key}")]
     row = r.agg(*aggs)
-    parts = [row.select(F.lit(key).alias("foreign_key"), F.col(f"_rows_{key}").alias("orphan_rows"),
-                        F.col(f"_keys_{key}").alias("orphan_keys")) for key, _ in checks]
-    return reduce(DataFrame.unionByName, parts)
+    # One row -> one row per FK with explode (a union of three projections of
+    # the same aggregate would run the whole plan three times).
+    per_fk = F.array(*[F.struct(F.lit(key).alias("foreign_key"), F.col(f"_rows_{key}").alias("orphan_rows"),
+                                F.col(f"_keys_{key}").alias("orphan_keys")) for key, _ in checks])
+    return row.select(F.explode(per_fk).alias("_fk")).select("_fk.*")
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

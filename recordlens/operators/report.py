@@ -75,18 +75,28 @@ def report_diagnostics(relationships: DataFrame, patents: DataFrame, inventors:
     inv = an.inventor_patent_counts(relationships, inventors)
     com = an.company_patent_counts(relationships, companies)
     cty = an.country_patent_counts(relationships, inventors)
+    def top_one(df: DataFrame, id_col: str):
+        # Largest count, then smallest name, then smallest id: one aggregate pass
+        # gives both the row count and the top entity.
+        key = F.struct((-F.col("patent_count")).alias("k0"), F.col("name").alias("k1"), F.col(id_col).alias("k2"))
+        return F.min_by(F.struct(F.col("name").alias("name"), F.col("patent_count").alias("n")), key)
+
+    inv_row = inv.agg(F.count(F.lit(1)).alias("inventor_records"), top_one(inv, "inventor_id").alias("_ti")) \
+        .select("inventor_records", F.col("_ti.name").alias("top_inventor"),
+                F.col("_ti.n").alias("top_inventor_patents"))
+    com_row = com.agg(F.count(F.lit(1)).alias("companies_with_patents"), top_one(com, "company_id").alias("_tc")) \
+        .select("companies_with_patents", F.col("_tc.name").alias("top_company"),
+                F.col("_tc.n").alias("top_company_patents"))
     parts = [
         per_year.agg(F.sum("patent_count").alias("patents_in_years")),
-        inv.agg(F.count(F.lit(1)).alias("inventor_records")),
-        inv.orderBy(F.col("patent_count").desc(), F.col("name").asc(), F.col("inventor_id").asc()).limit(1)
-        .select(F.col("name").alias("top_inventor"), F.col("patent_count").alias("top_inventor_patents")),
-        com.agg(F.count(F.lit(1)).alias("companies_with_patents")),
-        com.orderBy(F.col("patent_count").desc(), F.col("name").asc(), F.col("company_id").asc()).limit(1)
-        .select(F.col("name").alias("top_company"), F.col("patent_count").alias("top_company_patents")),
+        inv_row,
+        com_row,
         cty.agg(F.count(F.lit(1)).alias("countries_reported"),
                 F.sum("patent_count").alias("patents_in_country_stats")),
     ]
     row = parts[0]
     for p in parts[1:]:
         row = row.crossJoin(F.broadcast(p))
-    return row
+    return row.select("patents_in_years", "inventor_records", "top_inventor", "top_inventor_patents",
+                      "companies_with_patents", "top_company", "top_company_patents", "countries_reported",
+                      "patents_in_country_stats")
