@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordlens.sources.testdata import TableSet
+from recordlens.sources.testdata import TableSet, widen
 
 # Nation key -> messy country text, as specified for the fixture
 # (covers every branch of the country normalisers).
@@ -183,8 +183,10 @@ class FixtureViews:
     # -- flat extracted-record form ------------------------------------------
     @cached_property
     def extracted_records(self) -> DataFrame:
-        li, o, c, d = self.t.lineitem, self.t.orders, self.t.customer, self.t.documents
+        li, o, c, d = widen(self.t.lineitem), self.t.orders, self.t.customer, self.t.documents
         rc = self.raw_country
+        # The flat records feed text cleaning and a full-row de-duplication:
+        # heavy per-row work, so an under-split line-item scan is spread first.
         j = (li.join(o, o.o_orderkey == li.l_orderkey)
              .join(c, c.c_custkey == o.o_custkey)
              .join(rc, rc.nk == c.c_nationkey, "left")

@@ -9,6 +9,24 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+def widen(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A Parquet file with a single row group is read by one task, and every
+    narrow step after the scan (filters, broadcast joins, map-side partial
+    aggregation) would then run in that one task.  When the scan has fewer
+    partitions than the default parallelism, a round-robin repartition
+    spreads the rows; a large input (many row groups / files) already has
+    enough splits and is left as it is, so no extra shuffle is added at scale.
+    Worth it only before heavy per-row work (wide multi-way joins, text
+    cleaning); light scans feeding a partial aggregate are cheaper unsplit.
+    """
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        return df.repartition(parallelism)
+    return df
+
+
 class TableSet:
     """Lazily opened base tables of one scale-factor directory.
 
