@@ -9,22 +9,41 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-def widen(df: DataFrame) -> DataFrame:
+def _local_bytes(df: DataFrame) -> int | None:
+    """Total size of the input files when they are local files, else None."""
+    import os
+    total = 0
+    for f in df.inputFiles():
+        if not f.startswith("file:"):
+            return None
+        try:
+            total += os.path.getsize(f[len("file:"):])
+        except OSError:
+            return None
+    return total
+
+
+def widen(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
     """Spread a scan that yields fewer splits than the cluster has cores.
 
     A Parquet file with a single row group is read by one task, and every
     narrow step after the scan (filters, broadcast joins, map-side partial
-    aggregation) would then run in that one task.  When the scan has fewer
+    aggregation) then runs in that one task.  When the scan has fewer
     partitions than the default parallelism, a round-robin repartition
-    spreads the rows; a large input (many row groups / files) already has
-    enough splits and is left as it is, so no extra shuffle is added at scale.
-    Worth it only before heavy per-row work (wide multi-way joins, text
-    cleaning); light scans feeding a partial aggregate are cheaper unsplit.
+    spreads the rows (tiny local inputs under ``min_bytes`` are left alone).
+    A large input (many row groups / files) already has enough splits and
+    is left as it is, so no extra shuffle is added at scale.
     """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism)
-    return df
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= parallelism:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave as is
+        return df
+    size = _local_bytes(df)
+    if size is not None and size < min_bytes:
+        return df
+    return df.repartition(parallelism)
 
 
 class TableSet:
@@ -43,7 +62,7 @@ class TableSet:
         if name.startswith("_") or name not in TABLES:
             raise AttributeError(name)
         if name not in self._frames:
-            self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._frames[name] = widen(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
         return self._frames[name]
 
     def register_views(self) -> None:
