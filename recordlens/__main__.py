@@ -40,7 +40,8 @@ def main(argv: list[str] | None = None) -> int:
                                              latest_assignee=args.latest_assignee)
         tables["companies"] = pipeline.enrich_companies(spark, args.raw_dir, tables["companies"])
         from recordlens.sinks import save_tables
-        save_tables(tables, args.tables_dir)
+        # Patents laid out by year: year filters prune whole directories.
+        save_tables(tables, args.tables_dir, partition_by={"patents": ["year"]})
     if args.command == "flat":
         pipeline.run_flat_path(spark, args.raw_dir, args.tables_dir)
     if args.command in ("report", "all"):

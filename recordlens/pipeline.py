@@ -153,23 +153,62 @@ def enrich_companies(spark: SparkSession, raw_dir: str, companies: DataFrame) ->
     return en.enrich_company_names(companies, m).select("company_id", "name")
 
 
-def run_queries(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def run_queries(tables: dict[str, DataFrame], shared: bool = False) -> dict[str, DataFrame]:
+    """q1..q7 over the clean tables.
+
+    With ``shared=True`` the per-inventor counts (used by q1 and q7) and the
+    per-country counts (q3 and q6) are built once and persisted
+    (memory and disk; recomputed from lineage if an executor is lost), as
+    the original pipeline re-ran the same join for every query.  Call
+    :func:`release` on the result when done.
+    """
     r, p, i, c = tables["relationships"], tables["patents"], tables["inventors"], tables["companies"]
-    return {
-        "q1_top_inventors": an.q1_top_inventors(r, i),
+    if not shared:
+        return {
+            "q1_top_inventors": an.q1_top_inventors(r, i),
+            "q2_top_companies": an.q2_top_companies(r, c),
+            "q3_top_countries": an.q3_top_countries(r, i),
+            "q4_patents_per_year": an.q4_patents_per_year(p),
+            "q5_patent_inventor_company_join": an.q5_patent_inventor_company_join(r, p, i, c),
+            "q6_country_share_cte": an.q6_country_share_cte(r, i),
+            "q7_inventor_ranking": an.q7_inventor_ranking(r, i),
+        }
+    from pyspark import StorageLevel
+    from recordlens.plans.rank import global_dense_rank
+    inv_counts = an.inventor_patent_counts(r, i).persist(StorageLevel.MEMORY_AND_DISK)
+    cty_counts = an.country_patent_counts(r, i).persist(StorageLevel.MEMORY_AND_DISK)
+    total = an.total_linked_patents(r)
+    share = F.round(F.col("patent_count").cast("double") / F.nullif(F.col("total"), F.lit(0)) * 100, 2)
+    ranked = global_dense_rank(inv_counts, [("patent_count", False), ("name", True)], "inventor_rank")
+    out = {
+        "q1_top_inventors": inv_counts.orderBy(F.col("patent_count").desc(), F.col("name").asc()),
         "q2_top_companies": an.q2_top_companies(r, c),
-        "q3_top_countries": an.q3_top_countries(r, i),
+        "q3_top_countries": cty_counts.orderBy(F.col("patent_count").desc(), F.col("country").asc()),
         "q4_patents_per_year": an.q4_patents_per_year(p),
         "q5_patent_inventor_company_join": an.q5_patent_inventor_company_join(r, p, i, c),
-        "q6_country_share_cte": an.q6_country_share_cte(r, i),
-        "q7_inventor_ranking": an.q7_inventor_ranking(r, i),
+        "q6_country_share_cte": cty_counts.crossJoin(F.broadcast(total))
+        .select("country", "patent_count", share.alias("patent_share_pct"))
+        .orderBy(F.col("patent_count").desc(), F.col("country").asc()),
+        "q7_inventor_ranking": ranked.select("inventor_id", "name", "country", "patent_count", "inventor_rank")
+        .orderBy(F.col("inventor_rank").asc(), F.col("name").asc()),
     }
+    out["_persisted"] = [inv_counts, cty_counts]  # type: ignore[assignment]
+    return out
+
+
+def release(results: dict) -> None:
+    for df in results.pop("_persisted", []):
+        df.unpersist()
 
 
 def generate_reports(tables: dict[str, DataFrame], reports_dir: str, exports_dir: str) -> dict[str, str]:
     """Exports of q1..q7, the top-entity CSVs and the summary JSON."""
     r, p, i, c = tables["relationships"], tables["patents"], tables["inventors"], tables["companies"]
-    paths = export_results(run_queries(tables), exports_dir)
+    results = run_queries(tables, shared=True)
+    persisted = results.pop("_persisted")
+    paths = export_results(results, exports_dir)
+    for df in persisted:
+        df.unpersist()
     tops = rp.top_entities(r, p, i, c)
     paths["top_inventors"] = write_csv(tops["top_inventors"], f"{exports_dir}/top_inventors")
     paths["top_companies"] = write_csv(tops["top_companies"], f"{exports_dir}/top_companies")

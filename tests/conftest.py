@@ -13,7 +13,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session(cores=4, extra={"spark.sql.shuffle.partitions": "4"})
+    warehouse = tempfile.mkdtemp(prefix="recordlens-warehouse-", dir="/tmp")
+    s = build_session(cores=4, extra={"spark.sql.shuffle.partitions": "4",
+                                      "spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 

@@ -47,3 +47,48 @@ def test_cache_reuses_and_invalidates(spark, tmpdir_fresh):
     spark.read.parquet(src).createOrReplaceTempView("cache_src")
     b = cached_sql(spark, "SELECT SUM(x) AS s FROM cache_src", [src], cache)
     assert b.first().s == 8 and len(os.listdir(cache)) == 2
+
+
+def test_year_partitioned_patents_prune(spark, tmpdir_fresh):
+    import contextlib
+    import io
+    from recordlens import pipeline
+    from recordlens.operators.explore import filter_years
+    t = pipeline.sample_tables(spark)
+    paths = save_tables({"patents": t["patents"]}, tmpdir_fresh, partition_by={"patents": ["year"]})
+    df = filter_years(spark.read.parquet(paths["patents"]), [2019, 2021])
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    part_filters = [ln for ln in buf.getvalue().splitlines() if ln.startswith("PartitionFilters")]
+    assert part_filters and "year" in part_filters[0] and "IN (2019,2021)" in part_filters[0]
+    assert sorted(r.year for r in df.collect()) == [2019, 2021]
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmpdir_fresh):
+    import contextlib
+    import io
+    from recordlens.operators.analytics import inventor_patent_counts
+    from recordlens.sinks import save_bucketed
+    rel = spark.createDataFrame([(f"p{i}", f"i{i % 7}", f"c{i % 3}") for i in range(50)],
+                                "patent_id string, inventor_id string, company_id string")
+    inv = spark.createDataFrame([(f"i{i}", f"n{i}", "US") for i in range(7)],
+                                "inventor_id string, name string, country string")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS rl_test LOCATION '{tmpdir_fresh}/db'")
+    names = save_bucketed({"relationships": rel, "inventors": inv},
+                          {"relationships": "inventor_id", "inventors": "inventor_id"}, 4, database="rl_test")
+    with_broadcast_off = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = spark.table(names["relationships"]).join(spark.table(names["inventors"]), "inventor_id")
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            joined.explain()
+        assert "SortMergeJoin" in buf.getvalue() and "Exchange" not in buf.getvalue()
+        counts = {r.inventor_id: r.patent_count for r in
+                  inventor_patent_counts(spark.table(names["relationships"]), spark.table(names["inventors"])).collect()}
+        assert counts == {f"i{k}": len([i for i in range(50) if i % 7 == k]) for k in range(7)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_broadcast_off)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -148,3 +148,30 @@ def test_flat_path_from_files(spark, tmpdir_fresh):
     assert sorted(r.patent_id for r in t["patents"].collect()) == ["1", "3"]
     assert {r.company_id: r.name for r in t["companies"].collect()} == {"c1": "Co"}
     assert t["relationships"].count() == 2
+
+
+def test_shared_run_queries_equal_plain(spark):
+    from recordlens.sources.fixture_views import fixture_views
+    from tests.conftest import SF_SMALL
+    tables = fixture_views(spark, SF_SMALL).clean_tables()
+    plain = pipeline.run_queries(tables)
+    shared = pipeline.run_queries(tables, shared=True)
+    try:
+        for k, df in plain.items():
+            assert df.columns == shared[k].columns, k
+            assert sorted(map(tuple, df.collect())) == sorted(map(tuple, shared[k].collect())), k
+    finally:
+        pipeline.release(shared)
+
+
+def test_generate_reports(spark, tmpdir_fresh):
+    import glob
+    import json
+    t = pipeline.sample_tables(spark)
+    paths = pipeline.generate_reports(t, os.path.join(tmpdir_fresh, "reports"), os.path.join(tmpdir_fresh, "exports"))
+    doc = json.loads("".join(open(f).read() for f in glob.glob(os.path.join(paths["summary_report"], "part-*"))))
+    assert doc["total_patents"] == 4
+    assert [r["inventor_id"] for r in doc["top_inventors"]] == ["INV001", "INV002", "INV003"]
+    assert [r["country"] for r in doc["top_countries"]] == ["US", "BR", "JP"]
+    q6 = "".join(open(f).read() for f in glob.glob(os.path.join(paths["q6_country_share_cte"], "part-*")))
+    assert "US,2,50.0" in q6
