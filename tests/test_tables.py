@@ -159,7 +159,9 @@ def test_shared_run_queries_equal_plain(spark):
     try:
         for k, df in plain.items():
             assert df.columns == shared[k].columns, k
-            assert sorted(map(tuple, df.collect())) == sorted(map(tuple, shared[k].collect())), k
+            def key(t):
+                return tuple((x is None, str(x)) for x in t)
+            assert sorted(map(tuple, df.collect()), key=key) == sorted(map(tuple, shared[k].collect()), key=key), k
     finally:
         pipeline.release(shared)
 
