@@ -177,3 +177,15 @@ def test_generate_reports(spark, tmpdir_fresh):
     assert [r["country"] for r in doc["top_countries"]] == ["US", "BR", "JP"]
     q6 = "".join(open(f).read() for f in glob.glob(os.path.join(paths["q6_country_share_cte"], "part-*")))
     assert "US,2,50.0" in q6
+
+
+def test_load_clean_tables_with_fallback(spark, tmpdir_fresh):
+    os.makedirs(os.path.join(tmpdir_fresh, "processed"))
+    write_text(os.path.join(tmpdir_fresh, "processed", "clean_patents.csv"),
+               "patent_id,title,abstract,filing_date,year,classification\n1,T,,2020-01-01,2020,B1\n")
+    write_text(os.path.join(tmpdir_fresh, "clean_relationships.csv"),
+               "patent_id,inventor_id,company_id\n1,i1,c1\n1,i1,c1\n")
+    t = pipeline.load_clean_tables(spark, tmpdir_fresh)
+    assert [tuple(r) for r in t["patents"].collect()] == [("1", "T", None, "2020-01-01", 2020, "B1")]
+    assert t["relationships"].count() == 2          # taken as is, no de-duplication
+    assert t["inventors"].count() == 0 and t["inventors"].columns == ["inventor_id", "name", "country"]
