@@ -189,3 +189,20 @@ def test_load_clean_tables_with_fallback(spark, tmpdir_fresh):
     assert [tuple(r) for r in t["patents"].collect()] == [("1", "T", None, "2020-01-01", 2020, "B1")]
     assert t["relationships"].count() == 2          # taken as is, no de-duplication
     assert t["inventors"].count() == 0 and t["inventors"].columns == ["inventor_id", "name", "country"]
+
+
+def test_null_country_group_kept_in_q3_dropped_in_dashboard(spark):
+    rel = spark.createDataFrame([("p1", "i1", "c"), ("p2", "i2", "c"), ("p3", "i3", "c")],
+                                "patent_id string, inventor_id string, company_id string")
+    inv = spark.createDataFrame([("i1", "A", "US"), ("i2", "B", None), ("i3", "C", "")],
+                                "inventor_id string, name string, country string")
+    q3 = {r.country: r.patent_count for r in an.q3_top_countries(rel, inv).collect()}
+    assert q3 == {"US": 1, None: 1, "": 1}
+    dash = {r.country: (r.patent_count, r.share_pct) for r in an.dash_country_share(rel, inv).collect()}
+    assert dash == {"US": (1, 33.33)}          # denominator still counts every linked patent
+
+
+def test_null_year_kept_in_q4(spark):
+    p = spark.createDataFrame([("1", 2020), ("2", None), ("3", None)], "patent_id string, year int")
+    assert sorted(map(tuple, an.q4_patents_per_year(p).collect()), key=lambda t: (t[0] is None, t[0])) == \
+        [(2020, 1), (None, 2)]
