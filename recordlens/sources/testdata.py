@@ -23,7 +23,7 @@ def _local_bytes(df: DataFrame) -> int | None:
     return total
 
 
-def widen(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
+def widen(df: DataFrame, min_bytes: int = 1 << 20, key: str | None = None) -> DataFrame:
     """Spread a scan that yields fewer splits than the cluster has cores.
 
     A Parquet file with a single row group is read by one task, and every
@@ -31,6 +31,10 @@ def widen(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
     aggregation) then runs in that one task.  When the scan has fewer
     partitions than the default parallelism, a round-robin repartition
     spreads the rows (tiny local inputs under ``min_bytes`` are left alone).
+    With ``key`` (a well-spread column such as the table key) the spread is a
+    hash repartition on it: deterministic on retry without the local sort a
+    round-robin repartition needs, and only the columns used downstream are
+    shuffled.
     A large input (many row groups / files) already has enough splits and
     is left as it is, so no extra shuffle is added at scale.
     """
@@ -43,6 +47,8 @@ def widen(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
     size = _local_bytes(df)
     if size is not None and size < min_bytes:
         return df
+    if key is not None:
+        return df.repartition(parallelism, key)
     return df.repartition(parallelism)
 
 
@@ -62,7 +68,9 @@ class TableSet:
         if name.startswith("_") or name not in TABLES:
             raise AttributeError(name)
         if name not in self._frames:
-            self._frames[name] = widen(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
+            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            # The first column of every test table is its (well-spread) key.
+            self._frames[name] = widen(df, key=df.columns[0])
         return self._frames[name]
 
     def register_views(self) -> None:
