@@ -2,6 +2,7 @@
 
 Commands
   build   raw record files -> four clean Parquet tables (staging path)
+  extract raw flat record files -> one unified CSV of mapped records
   flat    raw flat record files -> four clean Parquet tables (flat path)
   report  clean tables -> q1..q7 CSV exports, top-entity CSVs, summary JSON
   all     build (+ name enrichment) then report
@@ -24,7 +25,7 @@ def _tables(spark, path: str):
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="recordlens")
-    ap.add_argument("command", choices=["build", "flat", "report", "all"])
+    ap.add_argument("command", choices=["build", "extract", "flat", "report", "all"])
     ap.add_argument("--raw-dir", default="data/raw")
     ap.add_argument("--tables-dir", default="data/processed")
     ap.add_argument("--reports-dir", default="outputs/reports")
@@ -42,6 +43,10 @@ def main(argv: list[str] | None = None) -> int:
         from recordlens.sinks import save_tables
         # Patents laid out by year: year filters prune whole directories.
         save_tables(tables, args.tables_dir, partition_by={"patents": ["year"]})
+    if args.command == "extract":
+        out = pipeline.run_extraction(spark, args.raw_dir, f"{args.tables_dir.rstrip('/')}/extracted_records")
+        for r in pipeline.extraction_summary(out).collect():
+            print(f"{r['source_file']}: {r['records']} records, {r['columns']} columns")
     if args.command == "flat":
         pipeline.run_flat_path(spark, args.raw_dir, args.tables_dir)
     if args.command in ("report", "all"):

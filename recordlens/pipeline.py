@@ -253,6 +253,20 @@ def extract_records(spark: SparkSession, raw_dir: str, legacy_na: bool = False)
     return union_all(frames)
 
 
+def extraction_summary(records: DataFrame) -> DataFrame:
+    """Rows extracted per source file, plus the column count (one row per file)."""
+    n_cols = len([c for c in records.columns if c != "source_file"])
+    return (records.groupBy("source_file").agg(F.count(F.lit(1)).alias("records"))
+            .withColumn("columns", F.lit(n_cols)).orderBy("source_file"))
+
+
+def run_extraction(spark: SparkSession, raw_dir: str, output: str) -> DataFrame:
+    """Flat path extract stage: unified records written once as CSV with a header."""
+    write_csv(extract_records(spark, raw_dir), output)
+    return spark.read.option("header", True).schema(
+        schemas.all_strings(list(fl.RELEVANT_FIELDS) + ["source_file"])).csv(output)
+
+
 def run_flat_path(spark: SparkSession, raw_dir: str, out_dir: str | None = None,
                   metrics: dict | None = None) -> dict[str, DataFrame]:
     """Flat path: extract, clean once, split into four tables.

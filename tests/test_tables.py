@@ -206,3 +206,16 @@ def test_null_year_kept_in_q4(spark):
     p = spark.createDataFrame([("1", 2020), ("2", None), ("3", None)], "patent_id string, year int")
     assert sorted(map(tuple, an.q4_patents_per_year(p).collect()), key=lambda t: (t[0] is None, t[0])) == \
         [(2020, 1), (None, 2)]
+
+
+def test_extraction_stage(spark, tmpdir_fresh):
+    raw = os.path.join(tmpdir_fresh, "raw")
+    os.makedirs(raw)
+    write_text(os.path.join(raw, "a.csv"), "patent,title,date\n1,T,2020-01-01\n2,U,2021-01-01\n")
+    write_text(os.path.join(raw, "b.txt"), "id\tpatent_title\n3\tV\n")
+    write_text(os.path.join(raw, "empty.tsv"), "patent_id\ttitle\n")
+    out = pipeline.run_extraction(spark, raw, os.path.join(tmpdir_fresh, "extracted"))
+    summary = {r.source_file: (r.records, r.columns) for r in pipeline.extraction_summary(out).collect()}
+    assert summary == {"a.csv": (2, 10), "b.txt": (1, 10)}          # a file with no rows adds nothing
+    rows = {r.patent_id: (r.title, r.filing_date) for r in out.collect()}
+    assert rows == {"1": ("T", "2020-01-01"), "2": ("U", "2021-01-01"), "3": ("V", None)}
