@@ -10,6 +10,8 @@ ranks and years INTEGER, shares DOUBLE.
 
 from __future__ import annotations
 
+from recordlens.functions.country import ISO2_VARIANTS, ISO3_VARIANTS
+
 VIEWS: dict[str, str] = {
     "raw_country": """SELECT * FROM (VALUES (0,'US'),(1,'usa '),(2,'United States'),(3,'JP'),(4,'Japan'),
  (5,'DE'),(6,'Deutschland'),(7,'GB'),(8,'UK'),(9,'FR'),(10,'KR'),(11,'South Korea'),(12,'CN'),(13,'TW'),
@@ -174,7 +176,6 @@ register("inventors_by_country", ["inventors"],
  ORDER BY inventor_count DESC, country ASC NULLS FIRST LIMIT 30""")
 
 # -- country normalisers in SQL ---------------------------------------------------
-from recordlens.functions.country import ISO2_VARIANTS, ISO3_VARIANTS  # noqa: E402
 
 
 def _values_cte(name: str, mapping: dict[str, str]) -> tuple[str, str]:

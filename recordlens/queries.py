@@ -2,8 +2,21 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from recordlens.functions.country import normalize_country
 from recordlens.operators import analytics as an
+from recordlens.operators import enrich as en
+from recordlens.operators import explore as ex
+from recordlens.operators import flat as fl
+from recordlens.operators import links as lk
+from recordlens.operators import quality as qa
+from recordlens.operators import report as rp
+from recordlens.operators import staging as stg
+from recordlens.operators import stats as st
+from recordlens.operators import tables as tb
 from recordlens.registry import query
+from recordlens.streaming import ingest as si
 
 
 # -- q1..q7 -------------------------------------------------------------------
@@ -84,10 +97,6 @@ def _ibc(v):
 
 
 # -- staging ------------------------------------------------------------------------
-from recordlens.functions.country import normalize_country  # noqa: E402
-from recordlens.operators import staging as stg  # noqa: E402
-from recordlens.operators import tables as tb  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 
 @query("stage_patents")
@@ -176,7 +185,6 @@ def _cr(v):
 
 
 # -- flat path ------------------------------------------------------------------------
-from recordlens.operators import flat as fl  # noqa: E402
 
 
 @query("map_columns")
@@ -222,8 +230,6 @@ def _fr(v):
 
 
 # -- statistics ------------------------------------------------------------------------
-from recordlens.operators import explore as ex  # noqa: E402
-from recordlens.operators import stats as st  # noqa: E402
 
 
 @query("pareto_companies")
@@ -373,10 +379,6 @@ def _kpi(v):
 
 
 # -- enrichment / quality ------------------------------------------------------------------
-from recordlens.operators import enrich as en  # noqa: E402
-from recordlens.operators import links as lk  # noqa: E402
-from recordlens.operators import quality as qa  # noqa: E402
-from recordlens.operators import report as rp  # noqa: E402
 
 
 @query("uuid_name_map")
@@ -481,7 +483,6 @@ def _jp(v):
 
 
 # -- streaming -------------------------------------------------------------------------
-from recordlens.streaming import ingest as si  # noqa: E402
 
 
 @query("stream_ingest")

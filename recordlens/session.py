@@ -34,6 +34,8 @@ def build_session(master: str | None = None, cores: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Checkpoint files of DataFrames that are no longer referenced are removed.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if local:
         builder = (builder.config("spark.sql.shuffle.partitions", str(max(cores, 1)))
