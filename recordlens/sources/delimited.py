@@ -111,12 +111,24 @@ def list_raw_files(spark: SparkSession, raw_dir: str,
 
 def read_raw_files(spark: SparkSession, paths: list[str], legacy_na: bool = False,
                    with_source_file: bool = True) -> list[DataFrame]:
-    """One all-string frame per file (headers may differ between files)."""
-    frames = []
+    """One all-string frame per distinct (separator, header) layout.
+
+    Files sharing a layout are read by a single scan (one plan node however
+    many monthly dumps there are); headers differ between layouts, so each
+    layout is mapped on its own before the union.
+    """
+    layouts: dict[tuple[str, tuple[str, ...]], list[str]] = {}
     for p in paths:
-        df = read_delimited(spark, p, legacy_na=legacy_na, with_source_file=with_source_file)
-        frames.append(df)
-    return frames
+        sep = detect_separator(p)
+        try:
+            header = tuple(read_header(spark, p, sep))
+        except Exception:  # noqa: BLE001 - an empty file has no header and adds nothing
+            continue
+        if not header:
+            continue
+        layouts.setdefault((sep, header), []).append(p)
+    return [read_delimited(spark, group, sep=sep, legacy_na=legacy_na, with_source_file=with_source_file)
+            for (sep, _), group in layouts.items()]
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

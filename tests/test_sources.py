@@ -67,3 +67,14 @@ def test_splittable_read_still_drops_overlong_rows(spark, tmpdir_fresh):
     p = write_text(os.path.join(tmpdir_fresh, "g_inventor.tsv"), text)
     ids = sorted(r[0] for r in read_delimited(spark, p, multiline=False, columns=["patent_id"]).collect())
     assert ids == ["1", "3"]
+
+
+def test_files_grouped_by_layout(spark, tmpdir_fresh):
+    from recordlens.sources.delimited import read_raw_files
+    for i in range(3):
+        write_text(os.path.join(tmpdir_fresh, f"m{i}.tsv"), f"patent_id\ttitle\n{i}\tT{i}\n")
+    write_text(os.path.join(tmpdir_fresh, "other.csv"), "id,name\n9,x\n")
+    frames = read_raw_files(spark, list_raw_files(spark, tmpdir_fresh))
+    assert len(frames) == 2
+    rows = sorted((r.source_file, r.patent_id) for f in frames if "patent_id" in f.columns for r in f.collect())
+    assert rows == [("m0.tsv", "0"), ("m1.tsv", "1"), ("m2.tsv", "2")]
