@@ -42,7 +42,9 @@ def main(argv: list[str] | None = None) -> int:
         tables["companies"] = pipeline.enrich_companies(spark, args.raw_dir, tables["companies"])
         from recordlens.sinks import save_tables
         # Patents laid out by year: year filters prune whole directories.
-        save_tables(tables, args.tables_dir, partition_by={"patents": ["year"]})
+        written: dict[str, int] = {}
+        save_tables(tables, args.tables_dir, partition_by={"patents": ["year"]}, row_counts=written)
+        print(json.dumps({"rows_written": written}))
     if args.command == "extract":
         out = pipeline.run_extraction(spark, args.raw_dir, f"{args.tables_dir.rstrip('/')}/extracted_records")
         for r in pipeline.extraction_summary(out).collect():

@@ -15,14 +15,22 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def save_tables(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet",
-                partition_by: dict[str, list[str]] | None = None) -> dict[str, str]:
+                partition_by: dict[str, list[str]] | None = None,
+                row_counts: dict[str, int] | None = None) -> dict[str, str]:
     """Write each table under ``out_dir/<name>``; Parquet keeps explicit schemas.
 
     ``partition_by`` (e.g. {"patents": ["year"]}) lays a table out for
-    partition pruning of year filters.
+    partition pruning of year filters.  With ``row_counts`` the number of
+    rows written per table is observed during the write itself (no second
+    pass to verify the load).
     """
+    from pyspark.sql import Observation
     out = {}
     for name, df in tables.items():
+        obs = None
+        if row_counts is not None:
+            obs = Observation(f"rows_{name}")
+            df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         path = f"{out_dir.rstrip('/')}/{name}"
         w = df.write.mode("overwrite")
         if partition_by and name in partition_by:
@@ -31,6 +39,8 @@ def save_tables(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet"
             w.option("header", True).csv(path)
         else:
             w.format(fmt).save(path)
+        if obs is not None:
+            row_counts[name] = obs.get["rows"]
         out[name] = path
     return out
 

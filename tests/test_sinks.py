@@ -92,3 +92,10 @@ def test_bucketed_tables_join_without_shuffle(spark, tmpdir_fresh):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_broadcast_off)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_save_tables_observes_row_counts(spark, tmpdir_fresh):
+    from recordlens import pipeline
+    counts = {}
+    save_tables(pipeline.sample_tables(spark), tmpdir_fresh, row_counts=counts)
+    assert counts == {"patents": 4, "inventors": 3, "companies": 3, "relationships": 4}
