@@ -33,12 +33,14 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--master", default=None, help="'' keeps the spark-submit master")
     ap.add_argument("--legacy-na", action="store_true", help="null pandas' NA tokens in raw text")
     ap.add_argument("--latest-assignee", action="store_true", help="rightmost dated assignee id wins")
+    ap.add_argument("--max-rows", type=int, default=None,
+                    help="cap rows read per raw source (debug runs); negative means 0")
     args = ap.parse_args(argv)
 
     spark = build_session(master=args.master)
     if args.command in ("build", "all"):
         tables = pipeline.build_clean_tables(spark, args.raw_dir, legacy_na=args.legacy_na,
-                                             latest_assignee=args.latest_assignee)
+                                             latest_assignee=args.latest_assignee, row_limit=args.max_rows)
         tables["companies"] = pipeline.enrich_companies(spark, args.raw_dir, tables["companies"])
         from recordlens.sinks import save_tables
         # Patents laid out by year: year filters prune whole directories.
