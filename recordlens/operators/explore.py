@@ -104,7 +104,11 @@ def country_geo_map(country_frame: DataFrame) -> DataFrame:
 
 
 def top_n(frame: DataFrame, order: list[F.Column], default: int = 10, max_value: int = 20) -> DataFrame:
-    """First n rows, n = count if count <= 1 else min(default, min(max_value, count))."""
+    """First n rows, n = count if count <= 1 else min(default, min(max_value, count)).
+
+    Meant for an already-cut frame (a top-20 list): the ordered window runs
+    in one task, which is only right for a bounded input.
+    """
     w = Window.orderBy(*order)
     df = frame.withColumn("_rn", F.row_number().over(w)) \
         .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy()))
