@@ -43,10 +43,19 @@ def test_entry_runs(spark):
     assert df.columns == ["inventor_id", "name", "country", "patent_count"]
 
 
+SPARK_TO_DUCK = {"StringType": "VARCHAR", "LongType": "BIGINT", "IntegerType": "INTEGER",
+                 "DoubleType": "DOUBLE", "BooleanType": "BOOLEAN", "DateType": "DATE"}
+
+
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, key):
     df = QUERIES[key](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
+    rel = duck.sql(ORACLE[key])
+    types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    ours = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__)
+            for f in df.schema.fields}
+    assert ours == types                                  # same names and column types
     res = duck.execute(ORACLE[key])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
