@@ -16,6 +16,7 @@ from recordlens.operators import staging as stg
 from recordlens.operators import stats as st
 from recordlens.operators import tables as tb
 from recordlens.registry import query
+from recordlens.session import materialize
 from recordlens.streaming import ingest as si
 
 
@@ -409,7 +410,9 @@ def _em(v):
 
 
 def _flat_tables(v):
-    return fl.split_tables(fl.flat_clean(v.extracted_records))
+    # As in the pipeline, the cleaned records feed several table builds, so
+    # they are cleaned once and frozen (reliable checkpoint) before the split.
+    return fl.split_tables(materialize(fl.flat_clean(v.extracted_records)))
 
 
 @query("fk_orphans")
