@@ -15,6 +15,7 @@ from recordlens import schemas
 from recordlens.operators import analytics as an
 from recordlens.operators import enrich as en
 from recordlens.operators import flat as fl
+from recordlens.operators import quality as qa
 from recordlens.operators import report as rp
 from recordlens.operators import staging as stg
 from recordlens.operators import tables as tb
@@ -294,9 +295,10 @@ def run_flat_path(spark: SparkSession, raw_dir: str, out_dir: str | None = None,
 
 
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    from recordlens.operators.quality import table_counts
-    return table_counts(tables)
+    """(table, row_count) per table, all counted in parallel."""
+    return qa.table_counts(tables)
 
 
 __all__ = ["build_clean_tables", "build_staging", "clean_tables_from_staging", "enrich_companies",
-           "extract_records", "generate_reports", "run_flat_path", "run_queries", "sample_tables", "F"]
+           "extract_records", "extraction_summary", "generate_reports", "load_clean_tables", "release",
+           "run_extraction", "run_flat_path", "run_queries", "sample_tables", "table_row_counts"]
