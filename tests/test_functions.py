@@ -40,3 +40,15 @@ def test_nullif_blank(spark):
     from recordlens.functions.text import blank_to_null
     assert _apply(spark, ["", " ", "x"], lambda c: blank_to_null(c, strip=True)) == [None, None, "x"]
     assert _apply(spark, ["a"], lambda c: F.upper(c)) == ["A"]
+
+
+def test_search_regex_and_literal(spark):
+    from recordlens.operators.explore import search_inventors, search_patents
+    p = spark.createDataFrame([("1", "A.C motor", None), ("2", "abc", "x"), ("3", None, "ABC drive")],
+                              "patent_id string, title string, abstract string")
+    regex = sorted(r.patent_id for r in search_patents(p, "a.c").collect())
+    literal = sorted(r.patent_id for r in search_patents(p, "a.c", literal=True).collect())
+    assert regex == ["1", "2", "3"] and literal == ["1"]
+    assert search_patents(p, "").count() == 3          # empty keyword: no filter
+    inv = spark.createDataFrame([("Ann Lee",), ("BOB",), (None,)], "name string")
+    assert [r.name for r in search_inventors(inv, "^b").collect()] == ["BOB"]
