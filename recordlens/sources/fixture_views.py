@@ -41,8 +41,10 @@ class FixtureViews:
     """All fixture views of one scale-factor directory, built lazily."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        import uuid
         self.spark = spark
         self.t = TableSet(spark, sf_dir)
+        self._run_id = uuid.uuid4().hex[:12]
 
     # -- lookup --------------------------------------------------------------
     @cached_property
@@ -141,7 +143,7 @@ class FixtureViews:
 
     # -- clean star model -----------------------------------------------------
     @cached_property
-    def patents(self) -> DataFrame:
+    def patents_view(self) -> DataFrame:
         o, d = self.t.orders, self.t.documents
         return o.join(d, d.doc_id == o.o_orderkey, "left").select(
             _s("o_orderkey").alias("patent_id"),
@@ -154,7 +156,7 @@ class FixtureViews:
         )
 
     @cached_property
-    def inventors(self) -> DataFrame:
+    def inventors_view(self) -> DataFrame:
         c = self.t.customer
         rc = self.raw_country
         return c.join(rc, rc.nk == c.c_nationkey, "left").select(
@@ -164,7 +166,7 @@ class FixtureViews:
         )
 
     @cached_property
-    def companies(self) -> DataFrame:
+    def companies_view(self) -> DataFrame:
         return self.t.supplier.select(
             _s("s_suppkey").alias("company_id"),
             F.when(F.col("s_suppkey") % 7 == 0, _s("s_suppkey")).otherwise(F.col("s_name"))
@@ -172,7 +174,7 @@ class FixtureViews:
         )
 
     @cached_property
-    def relationships(self) -> DataFrame:
+    def relationships_view(self) -> DataFrame:
         li, o = self.t.lineitem, self.t.orders
         return li.join(o, o.o_orderkey == li.l_orderkey).select(
             _s("o_orderkey").alias("patent_id"),
@@ -231,6 +233,41 @@ class FixtureViews:
             products, bag, name, uri, size)
         return self.t.pages.select("page_id", doc.alias("manifest"))
 
+    # -- the clean star model as tables ------------------------------------------
+    # The analytical queries run against the loaded clean tables, as the
+    # original queries ran against its database.  Each table is built from
+    # the base tables once per session and written as Parquet into the
+    # shared checkpoint folder (a written table survives executor loss and
+    # keeps column pruning and size statistics); every later query reads it.
+    def _table(self, name: str, view: DataFrame) -> DataFrame:
+        from recordlens.session import ensure_checkpoint_dir
+        base = ensure_checkpoint_dir(self.spark)
+        if not base:
+            return view
+        path = f"{base.rstrip('/')}/recordlens-fixture-tables/{self._run_id}/{name}"
+        view.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    @cached_property
+    def patents(self) -> DataFrame:
+        return self._table("patents", self.patents_view)
+
+    @cached_property
+    def inventors(self) -> DataFrame:
+        return self._table("inventors", self.inventors_view)
+
+    @cached_property
+    def companies(self) -> DataFrame:
+        return self._table("companies", self.companies_view)
+
+    @cached_property
+    def relationships(self) -> DataFrame:
+        return self._table("relationships", self.relationships_view)
+
+    def build_clean_tables(self) -> dict[str, DataFrame]:
+        """Write the four clean tables now (otherwise each is built on first use)."""
+        return self.clean_tables()
+
     def clean_tables(self) -> dict[str, DataFrame]:
         return {"patents": self.patents, "inventors": self.inventors,
                 "companies": self.companies, "relationships": self.relationships}
