@@ -60,3 +60,53 @@ def test_observed_metrics_equal_clean_metrics(spark):
     expected = fl.clean_metrics(df).first().asDict()
     assert metrics.get == expected == {"input_rows": 5, "duplicates_removed": 1, "rows_dropped": 2,
                                        "cleaned_rows": 2}
+
+
+loc_st = st.lists(st.tuples(st.sampled_from(["L1", "L2", "L3"]), st.sampled_from([None, "AA", "BB"])),
+                  max_size=8)
+raw_st = st.lists(st.tuples(st.sampled_from(["L1", "L2", "L3"]), st.sampled_from(["CC", "DD"])), max_size=6)
+
+
+@SETTINGS
+@given(loc_st, raw_st)
+def test_location_rewrite_equals_join_then_max(spark, locs, raws):
+    """The one-row-per-location rewrite equals MAX(COALESCE(l, n)) over the joined rows."""
+    from recordlens.operators.tables import clean_inventors
+    inv = spark.createDataFrame([("p", f"i{i}", "A", "B", loc) for i, loc in enumerate(["L1", "L2", "L3", None])],
+                                "patent_id string, inventor_id string, disambig_inventor_name_first string, "
+                                "disambig_inventor_name_last string, location_id string")
+    l_df = spark.createDataFrame(locs, "location_id string, disambig_country string")
+    n_df = spark.createDataFrame(raws, "location_id string, country string")
+    ours = {r.inventor_id: r.country for r in clean_inventors(inv, l_df, n_df).collect()}
+    brute = {}
+    for i, loc in enumerate(["L1", "L2", "L3", None]):
+        ls = [c for lid, c in locs if lid == loc and loc is not None] or [None]
+        ns = [c for lid, c in raws if lid == loc and loc is not None] or [None]
+        vals = [lc if lc is not None else nc for lc in ls for nc in ns]
+        vals = [v for v in vals if v is not None]
+        brute[f"i{i}"] = max(vals) if vals else None
+    assert ours == brute
+
+
+name_rows_st = st.lists(st.tuples(st.sampled_from(["p1", "p2"]), st.sampled_from(["0", "1"]),
+                                  st.sampled_from(["Zeta", "Acme", "Beta", "  "])), max_size=8)
+uuid_rows_st = st.lists(st.tuples(st.sampled_from(["p1", "p2"]), st.sampled_from(["0", "1"]),
+                                  st.sampled_from(["u1", "u2", ""])), max_size=8)
+
+
+@SETTINGS
+@given(uuid_rows_st, name_rows_st)
+def test_uuid_map_reduction_equals_brute_force(spark, uuids, names):
+    """Reducing the name side to MIN(org) per key before the join picks the same first name."""
+    from recordlens.operators.enrich import uuid_name_map
+    pers = spark.createDataFrame(uuids, "patent_id string, assignee_sequence string, disamb_assignee_id_2020 string")
+    nm = spark.createDataFrame([(p, s, "x", o) for p, s, o in names],
+                               "patent_id string, assignee_sequence string, assignee_id string, "
+                               "disambig_assignee_organization string")
+    ours = {r.uuid: r.name for r in uuid_name_map(pers, nm).collect()}
+    joined = sorted((p, s, o, u) for p, s, u in uuids if u for p2, s2, o in names
+                    if (p, s) == (p2, s2) and o.strip())
+    brute = {}
+    for p, s, o, u in joined:
+        brute.setdefault(u, o)
+    assert ours == brute
