@@ -83,12 +83,14 @@ FREE_TEXT_FILES = {"patents", "abstracts", "names"}
 
 def build_staging(spark: SparkSession, raw_dir: str, legacy_na: bool = False,
                   row_limit: int | None = None, latest_assignee: bool = False,
-                  staging_dir: str | None = None) -> dict[str, DataFrame]:
+                  staging_dir: str | None = None,
+                  row_counts: dict[str, int] | None = None) -> dict[str, DataFrame]:
     """Staging frames from the raw files (all text, staging rules applied).
 
     With ``staging_dir`` each staging frame is written once as Parquet (an
     empty input keeps its explicit schema) and read back, so the clean-table
-    builds never parse raw text twice.
+    builds never parse raw text twice; ``row_counts`` then receives the rows
+    written per staging table, observed during those writes.
     """
     def raw(key: str, name: str) -> DataFrame:
         return read_delimited(spark, _path(raw_dir, name), legacy_na=legacy_na, row_limit=row_limit,
@@ -111,7 +113,7 @@ def build_staging(spark: SparkSession, raw_dir: str, legacy_na: bool = False,
                        else spark.createDataFrame([], "assignee_id string, organization string"))
     if staging_dir is None:
         return staged
-    paths = save_tables(staged, staging_dir)
+    paths = save_tables(staged, staging_dir, row_counts=row_counts)
     return {k: spark.read.parquet(p) for k, p in paths.items()}
 
 

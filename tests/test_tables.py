@@ -219,3 +219,13 @@ def test_extraction_stage(spark, tmpdir_fresh):
     assert summary == {"a.csv": (2, 10), "b.txt": (1, 10)}          # a file with no rows adds nothing
     rows = {r.patent_id: (r.title, r.filing_date) for r in out.collect()}
     assert rows == {"1": ("T", "2020-01-01"), "2": ("U", "2021-01-01"), "3": ("V", None)}
+
+
+def test_staging_row_counts(spark, tmpdir_fresh):
+    raw = os.path.join(tmpdir_fresh, "raw")
+    os.makedirs(raw)
+    _write_raw(raw)
+    counts = {}
+    pipeline.build_staging(spark, raw, staging_dir=os.path.join(tmpdir_fresh, "stg"), row_counts=counts)
+    assert counts == {"patents": 2, "abstracts": 1, "inventors": 3, "locations": 2, "assignees": 2,
+                      "raw_locations": 1, "names": 1}
