@@ -39,14 +39,23 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = build_session(master=args.master)
     if args.command in ("build", "all"):
-        tables = pipeline.build_clean_tables(spark, args.raw_dir, legacy_na=args.legacy_na,
-                                             latest_assignee=args.latest_assignee, row_limit=args.max_rows)
+        staged_rows: dict[str, int] = {}
+        if pipeline.core_files_available(spark, args.raw_dir):
+            # Each raw file is parsed once into Parquet staging, then the clean
+            # tables are built from that staging.
+            staged = pipeline.build_staging(
+                spark, args.raw_dir, legacy_na=args.legacy_na, row_limit=args.max_rows,
+                latest_assignee=args.latest_assignee,
+                staging_dir=f"{args.tables_dir.rstrip('/')}/_staging", row_counts=staged_rows)
+            tables = pipeline.clean_tables_from_staging(staged)
+        else:
+            tables = pipeline.sample_tables(spark)
         tables["companies"] = pipeline.enrich_companies(spark, args.raw_dir, tables["companies"])
         from recordlens.sinks import save_tables
-        # Patents laid out by year: year filters prune whole directories.
         written: dict[str, int] = {}
+        # Patents laid out by year: year filters prune whole directories.
         save_tables(tables, args.tables_dir, partition_by={"patents": ["year"]}, row_counts=written)
-        print(json.dumps({"rows_written": written}))
+        print(json.dumps({"staging_rows": staged_rows, "rows_written": written}))
     if args.command == "extract":
         out = pipeline.run_extraction(spark, args.raw_dir, f"{args.tables_dir.rstrip('/')}/extracted_records")
         for r in pipeline.extraction_summary(out).collect():
