@@ -50,21 +50,36 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
 
+def _has_any(text: Column, characters: str) -> Column:
+    found = text.contains(characters[0])
+    for c in characters[1:]:
+        found = found | text.contains(c)
+    return found
+
+
 def line_passes(line: Column, rules: Rules) -> Column:
-    """Whether a line that has a word passes all line rules."""
+    """Whether a line that has a word passes all line rules.
+
+    Cheap byte searches come first: most lines need no regular expression.
+    """
     n = F.size(words_of(line))
-    low = F.lower(line)
-    phrase = F.lit(False)
-    for p in BOILERPLATE:
-        phrase = phrase | low.contains(p)
-    share = lambda count, percent: count * 100 > n * percent
-    separators = F.regexp_count(line, F.lit(_SEPARATOR))
-    stops = line.rlike(_END) | ((n >= rules.long_line_words) & line.rlike(_INSIDE))
+
+    def within(marks: str, pattern: str, percent: int, least: int = 0) -> Column:
+        count = F.regexp_count(line, F.lit(pattern))
+        return ~_has_any(line, marks) | F.exists(F.array(count), lambda k: (k < least) | (k * 100 <= n * percent))
+
+    def has_phrase(low: Column) -> Column:
+        found = low.contains(BOILERPLATE[0])
+        for p in BOILERPLATE[1:]:
+            found = found | low.contains(p)
+        return found
+
+    stops = line.endswith(".") | line.rlike(_END) | (line.rlike(_INSIDE) & (n >= rules.long_line_words))
     return (stops
-            & ~share(F.regexp_count(line, F.lit(_SHOUT)), rules.max_shout_percent)
-            & ~share(F.regexp_count(line, F.lit(_SYMBOL)), rules.max_symbol_percent)
-            & ~((separators >= rules.min_separators) & share(separators, rules.max_separator_percent))
-            & ~(phrase & (n <= rules.boilerplate_words)))
+            & within("!?", _SHOUT, rules.max_shout_percent)
+            & within("#*$%&|<>", _SYMBOL, rules.max_symbol_percent)
+            & within("|»›>•·", _SEPARATOR, rules.max_separator_percent, rules.min_separators)
+            & ~(F.exists(F.array(F.lower(line)), has_phrase) & (n <= rules.boilerplate_words)))
 
 
 def repeated_words(words: Column) -> Column:
