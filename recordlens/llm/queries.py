@@ -30,6 +30,28 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer file, the same on all machines."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token-id files of all documents, written and read back."""
+    from recordlens.llm import tokenfile
+    path = tokenfile.write_token_files(read_table(spark, sf_dir, "documents"), tokenfile.new_path(spark),
+                                       tokenizer_path("byte_bpe_50k.json"))
+    return tokenfile.digest(spark, path)
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of power-of-two lengths."""
+    from recordlens.llm import packing
+    return packing.digest(packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json")))
+
+
 @query
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark hits of every document."""
