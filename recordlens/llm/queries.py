@@ -23,6 +23,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read_table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+@query
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from recordlens.llm import html
+    pages = read_table(spark, sf_dir, "pages")
+    return html.extract(pages, html.train(pages, read_table(spark, sf_dir, "documents")))
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
