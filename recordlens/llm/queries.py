@@ -23,6 +23,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read_table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document from its text, declared language and address."""
+    from recordlens.llm.language import identify
+    return identify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "pages"))
+
+
 @query
 def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
