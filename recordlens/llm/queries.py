@@ -86,6 +86,13 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json")))
 
 
+@query
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model and unigram log probability of every document."""
+    from recordlens.llm import lm
+    return lm.score(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark hits of every document."""
