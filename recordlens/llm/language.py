@@ -188,9 +188,9 @@ def identify(documents: DataFrame, pages: DataFrame | None = None, *, id_col: st
 def keep_identified(documents: DataFrame, pages: DataFrame | None = None, *, id_col: str = "doc_id", **options) -> DataFrame:
     """The documents that ``identify`` keeps, with their own columns.
 
-    The rows of one id share their fate: one rejected row rejects the id.  The
-    rejected ids are few as a rule and are then joined without a shuffle of the
-    texts; Spark decides by their size.
+    The rows of one id share their fate: one rejected row rejects the id.  Rows
+    without an id stay.  The rejected ids are few as a rule and are then joined
+    without a shuffle of the texts; Spark decides by their size.
     """
     rejected = stage(identify(documents, pages, id_col=id_col, **options).where(~F.col("kept")).select(F.col("doc_id").alias("__rejected")).distinct(), "rejected")
-    return documents.join(rejected, F.col(id_col).eqNullSafe(F.col("__rejected")), "left_anti")
+    return documents.join(rejected, F.col(id_col) == F.col("__rejected"), "left_anti")

@@ -262,3 +262,19 @@ def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: s
     lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(lowest, "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(documents: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """The documents without near-duplicates, with their own columns: of each component the smallest id stays, once.
+
+    Rows without an id stay.  Of several rows with one id that stays, one stays.
+    """
+    found = stage(near_duplicates(documents, id_col=id_col, **options), "components").where(F.col("doc_id").isNotNull())
+    dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__dropped")).distinct()
+    left = documents.join(dropped, F.col(id_col) == F.col("__dropped"), "left_anti")
+    repeated = stage(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__repeated")), "repeated")
+    if repeated.isEmpty():
+        return left
+    same = F.col(id_col) == F.col("__repeated")
+    once = left.join(repeated, same, "left_semi").dropDuplicates([id_col])
+    return left.join(repeated, same, "left_anti").unionByName(once)
