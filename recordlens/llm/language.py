@@ -77,8 +77,10 @@ def train(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> np.ndarray
     summed = own.mapInArrow(run, "lang bigint, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     for r in summed.toLocalIterator():                  # at most languages x BUCKETS rows
         counts[r["lang"], r["bucket"]] = r["n"]
+    never = counts.sum(axis=1) == 0
     counts += 0.5
     known = np.log(counts / counts.sum(axis=1, keepdims=True))
+    known[never] -= 1.0                                 # a language without any text loses to the background
     return np.vstack([known, np.full((1, BUCKETS), -np.log(BUCKETS))]).astype(np.float32)
 
 

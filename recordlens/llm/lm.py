@@ -137,7 +137,7 @@ class Trainer:
             own, count = sorted_rows[first], np.diff(np.append(first, len(r)))
             total = np.add.reduceat(error[order], first, axis=0)
             self.seen[which][own] += count
-            table[own] -= (STEP / len(rows) / (self.seen[which][own] + 10)).astype(np.float32)[:, None] * total
+            table[own] -= (STEP / len(rows) / (self.seen[which][own] + 30)).astype(np.float32)[:, None] * total
 
     def learn(self, ids: np.ndarray, features: np.ndarray) -> None:
         m = self.model

@@ -153,17 +153,18 @@ class Model:
     threshold: dict[str, float]
 
     def added(self, text: str, base: list[Span]) -> list[Span]:
-        """Accepted candidates beside the base spans; of overlapping ones the best score stays."""
+        """Accepted candidates that no base span covers; of overlapping ones the best score stays."""
         if not self.trees:
             return []
         proposed = candidates(text)
         if not proposed:
             return []
         score = self.trees.score(np.array([features(text, s) for s in proposed]))
-        taken, kept = [(a, b) for _, a, b in base], []
+        taken, kept = [], []
         for i in sorted(range(len(proposed)), key=lambda i: (-score[i], proposed[i][1], proposed[i][2])):
             kind, a, b = proposed[i]
-            if score[i] >= self.threshold.get(kind, math.inf) and all(b <= x or y <= a for x, y in taken):
+            inside = any(x <= a and b <= y for _, x, y in base)
+            if score[i] >= self.threshold.get(kind, math.inf) and not inside and all(b <= x or y <= a for x, y in taken):
                 taken.append((a, b))
                 kept.append(proposed[i])
         return kept
