@@ -35,14 +35,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write to the shared folder as Parquet and read it back.
 
     Later steps read the files, so a lost executor costs re-reading them and
     never the work above; all consumers see the same rows.
     """
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -9,6 +9,7 @@ whole text: a text with any other white space is encoded whole.
 from __future__ import annotations
 
 import os
+import struct
 
 import numpy as np
 
@@ -34,6 +35,26 @@ def _plain(word: str) -> bool:
     return word.isalpha() and (word.isascii() or max(word) < "\u0250" and "\u0130" not in word)
 
 
+class _Pieces(dict):
+    """Ids of pieces as bytes; a piece that is not known yet is encoded on its first use."""
+
+    def __init__(self, encoder: "PieceEncoder", lead: str):
+        self.encoder, self.lead = encoder, lead
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= CACHE_PIECES:
+            self.clear()
+        core, tail = (piece[:-1], self.encoder.tail[piece[-1]]) if piece[-1:] in _TAIL else (piece, b"")
+        if not _plain(core):
+            ids = self.encoder.whole(self.lead + piece)
+        elif tail:
+            ids = self[core] + tail
+        else:
+            ids = self.encoder.word(core, self.lead)
+        self[piece] = ids
+        return ids
+
+
 class PieceEncoder:
     """Encodes texts to ids. ``spaces`` tells whether a piece keeps its leading space."""
 
@@ -44,82 +65,39 @@ class PieceEncoder:
         self.tokenizer.encode_special_tokens = True   # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.spaces = spaces
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {} if spaces else self.first
-        self.newline = self._encode(["\n"])[0]
-        self.tail = dict(zip(_TAIL, self._encode(list(_TAIL))))
+        self.first = _Pieces(self, "")
+        self.later = _Pieces(self, " ") if spaces else self.first
+        self.newline = self.whole("\n")
+        self.tail = {c: self.whole(c) for c in _TAIL}
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.dtype.itemsize == 2 else 'I'}", *ids)
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def whole(self, text: str) -> bytes:
+        """Ids of any text, by the library alone."""
+        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _word(self, word: str, lead: str) -> bytes:
+    def word(self, word: str, lead: str) -> bytes:
         """Ids of one pre-token of letters."""
         if not self.spaces:
             word = word.lower()
         letters = (lead + word).encode().decode("latin-1").translate(_BYTE_LETTERS)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(letters)], dtype=self.dtype).tobytes()
-
-    def _fill(self, cache: dict[str, bytes], pieces: set[str], lead: str) -> None:
-        new = pieces - cache.keys()
-        if len(cache) + len(new) > CACHE_PIECES:
-            cache.clear()
-            new = pieces
-        rest, words = [], {}
-        for p in new:
-            core, tail = (p[:-1], self.tail[p[-1]]) if p[-1] in _TAIL else (p, b"")
-            if _plain(core):
-                if core not in words:
-                    words[core] = cache[core] if core in cache else self._word(core, lead)
-                cache[p] = words[core] + tail
-            else:
-                rest.append(p)
-        for i in range(0, len(rest), 10_000):
-            part = rest[i:i + 10_000]
-            cache.update(zip(part, self._encode([lead + p for p in part] if lead else part)))
-
-    def _cut(self, text: str) -> list[list[str]] | None:
-        """Lines of pieces, or None where white space needs the tokenizer's view of the whole text."""
-        lines = [line.split(" ") for line in text.split("\n")]
-        if self.spaces:
-            for line in lines:
-                # Only the ends of a piece matter: they must be visible characters.
-                if "" in line or any(p[0].isspace() or p[-1].isspace() for p in line):
-                    return None
-        else:
-            lines = [[p for p in line if p] if "" in line else line for line in lines]
-        return lines
+        return self._bytes([t.id for t in self.tokenizer.model.tokenize(letters)])
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cuts = [self._cut(t) if t else [] for t in texts]
-        known = [c for c in cuts if c]
-        if self.spaces:
-            self._fill(self.first, {line[0] for c in known for line in c}, "")
-            later: set[str] = set()
-            for c in known:
-                for line in c:
-                    later.update(line)
-            self._fill(self.later, later, " ")
-        else:
-            every: set[str] = set()
-            for c in known:
-                for line in c:
-                    every.update(line)
-            self._fill(self.first, every, "")
-        whole = [i for i, c in enumerate(cuts) if c is None]
-        direct = dict(zip(whole, self._encode([texts[i] for i in whole])))
+    def _encode(self, text: str) -> bytes:
+        later = self.later.__getitem__
+        if not self.spaces:
+            return b"".join([later(p) for line in text.split("\n") for p in line.split(" ") if p])
         out = []
-        for i, cut in enumerate(cuts):
-            if cut is None:
-                data = direct[i]
-            elif self.spaces:
-                first, get = self.first, self.later.__getitem__
-                data = self.newline.join([b"".join([first[line[0]], *map(get, line[1:])]) for line in cut])
-            else:
-                get = self.first.__getitem__
-                data = b"".join([x for line in cut for x in map(get, line)])
-            out.append(np.frombuffer(data, dtype=self.dtype))
-        return out
+        for line in text.split("\n"):
+            pieces = line.split(" ")
+            if line.split() != pieces:                  # other white space than single spaces between words
+                return self.whole(text)
+            out.append(b"".join([self.first[pieces[0]], *map(later, pieces[1:])]))
+        return self.newline.join(out)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.frombuffer(self._encode(t) if t else b"", dtype=self.dtype) for t in texts]
 
 
 _ENCODERS: dict[tuple[str, bool], PieceEncoder] = {}

@@ -96,7 +96,7 @@ def write_token_files(documents: DataFrame, path: str, tokenizer: str, *, id_col
     spark = documents.sparkSession
     enc = encoder(tokenizer, spaces=True)
     width, vocabulary = enc.dtype.str, max(enc.tokenizer.get_vocab_size(), end_id + 1)
-    encoded = stage(encode_ids(documents, id_col, text_col, tokenizer, end_id), "ids")
+    encoded = stage(encode_ids(documents, id_col, text_col, tokenizer, end_id), "ids", "zstd")
     counts = np.zeros(vocabulary, dtype=np.int64)
     for row in count_ids(encoded, width, vocabulary).toLocalIterator():     # at most one row per id
         counts[row["id"]] = row["n"]
