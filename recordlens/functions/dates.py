@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 from recordlens.functions.text import as_col, strip_ws
 
 
-def iso_date(c: str | Column) -> Column:
-    """Date of an ISO date or date-time text; null when it does not parse.
+_TIME = r"(?:[01][0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9](?:\.[0-9]+)?)?(?: ?(?:Z|[+-][0-9]{2}:[0-9]{2}))?"
+_ISO_DATE_TIME = rf"^([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})(?:[ T]{_TIME})?$"
+_ISO_START = r"^[0-9]{4}(?:-[0-9]{1,2}(?:-[0-9]{1,2})?)?$"
 
-    Only the first ten characters are read, as with SQLite's date functions
-    on 'YYYY-MM-DD...' text.
-    """
-    return F.try_to_date(F.substring(as_col(c), 1, 10), "yyyy-MM-dd")
+#: Date forms beside ISO, tried in this order (month names in any case).
+DATE_FORMATS = ("M/d/yyyy", "yyyy/M/d", "yyyyMMdd", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "d-MMM-yyyy")
+
+
+def iso_date(c: str | Column) -> Column:
+    """Date of an ISO date, alone or followed by a valid time; null for anything else."""
+    return F.try_to_date(F.nullif(F.regexp_extract(as_col(c), _ISO_DATE_TIME, 1), F.lit("")), "yyyy-MM-dd")
 
 
 def year_of(c: str | Column) -> Column:
@@ -24,10 +28,15 @@ def year_of(c: str | Column) -> Column:
 def parse_date_lenient(c: str | Column) -> Column:
     """Date of a date-like text, null when it does not parse (whitespace stripped).
 
-    Spark's string-to-date cast takes 'yyyy', 'yyyy-[m]m', 'yyyy-[m]m-[d]d'
-    and a date followed by a time part ('2018-04-10 00:00:00',
-    '2018-04-10T08:00'), like a lenient pandas parse; ``try_cast`` yields
-    null instead of raising.  It is a hand-written parser, far cheaper than
-    pattern-based parsing with exceptions on failure.
+    ISO dates ('yyyy', 'yyyy-[m]m', 'yyyy-[m]m-[d]d') go through the cheap
+    cast; a text that is not ISO is tried against ``DATE_FORMATS``.  A valid
+    time may follow the date; any other text after it makes the value null.
     """
-    return strip_ws(as_col(c)).try_cast("date")
+    day = F.regexp_replace(strip_ws(as_col(c)), rf"[ T]{_TIME}$", "")
+
+    def read(text: Column) -> Column:
+        iso = F.when(text.rlike(_ISO_START), text.try_cast("date"))
+        return F.coalesce(iso, *[F.try_to_date(F.initcap(text), f) for f in DATE_FORMATS])
+
+    # Bound to a name first: the stripped text is computed once for all forms.
+    return F.get(F.transform(F.array(day), read), F.lit(0))

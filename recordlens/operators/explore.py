@@ -39,12 +39,12 @@ def year_choices(patents: DataFrame) -> DataFrame:
 
 
 def patent_page(filtered: DataFrame, page: int = 1, size: int = 100,
-                window: int | None = 1_000_000) -> DataFrame:
-    """Page ``page`` (1-based) of the first ``window`` rows in patent_id order.
+                window: int | None = None) -> DataFrame:
+    """Page ``page`` (1-based) of the rows in patent_id order.
 
     Spark plans this as a top-k (TakeOrderedAndProject) bounded by
-    ``page * size``, never more than the preview window.  For sequential
-    reads of deep pages use :func:`patent_page_after`.
+    ``page * size``; for deep pages use :func:`patent_page_after`.  A caller
+    may ask for a preview of the first ``window`` rows; there is none by default.
     """
     start = (max(int(page), 1) - 1) * size
     end = start + size
@@ -61,8 +61,8 @@ def patent_page_after(filtered: DataFrame, last_patent_id: str | None, size: int
     return df.orderBy(F.col("patent_id").asc()).limit(size)
 
 
-def page_count(filtered: DataFrame, size: int = 100, window: int | None = 1_000_000) -> DataFrame:
-    """One row: window rows and pages = max(1, ceil(rows / size))."""
+def page_count(filtered: DataFrame, size: int = 100, window: int | None = None) -> DataFrame:
+    """One row: rows (of the preview window, if one is given) and pages = max(1, ceil(rows / size))."""
     n = F.count(F.lit(1))
     rows = F.least(n, F.lit(window)) if window is not None else n
     return filtered.agg(rows.alias("window_rows")).select(
