@@ -33,24 +33,26 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--master", default=None, help="'' keeps the spark-submit master")
     ap.add_argument("--legacy-na", action="store_true", help="null pandas' NA tokens in raw text")
     ap.add_argument("--latest-assignee", action="store_true", help="rightmost dated assignee id wins")
-    ap.add_argument("--max-rows", type=int, default=None,
-                    help="cap rows read per raw source (debug runs); negative means 0")
+    ap.add_argument("--sample", action="store_true", help="use the built-in sample when core files are missing")
+    ap.add_argument("--rebuild", action="store_true", help="build the clean tables although they are there")
     args = ap.parse_args(argv)
 
     spark = build_session(master=args.master)
-    if args.command in ("build", "all"):
+    if args.command in ("build", "all") and (args.rebuild or not pipeline.clean_tables_exist(spark, args.tables_dir)):
         staged_rows: dict[str, int] = {}
         if pipeline.core_files_available(spark, args.raw_dir):
             # Each raw file is parsed once into Parquet staging, then the clean
             # tables are built from that staging.
             staged = pipeline.build_staging(
-                spark, args.raw_dir, legacy_na=args.legacy_na, row_limit=args.max_rows,
+                spark, args.raw_dir, legacy_na=args.legacy_na,
                 latest_assignee=args.latest_assignee,
                 staging_dir=f"{args.tables_dir.rstrip('/')}/_staging", row_counts=staged_rows)
             tables = pipeline.clean_tables_from_staging(staged)
-        else:
+            tables["companies"] = pipeline.enrich_companies(staged, tables["companies"])
+        elif args.sample:
             tables = pipeline.sample_tables(spark)
-        tables["companies"] = pipeline.enrich_companies(spark, args.raw_dir, tables["companies"])
+        else:
+            ap.error(f"core record files are missing in {args.raw_dir} (--sample uses the built-in sample)")
         from recordlens.sinks import save_tables
         written: dict[str, int] = {}
         # Patents laid out by year: year filters prune whole directories.

@@ -19,10 +19,30 @@ from recordlens.plans.keep_one import keep_first
 NAME_ORDER = ["patent_id", "assignee_sequence", "organization"]
 
 
-def _named_rows(names_raw: DataFrame) -> DataFrame:
-    org = F.col("disambig_assignee_organization")
+def name_columns(columns: list[str]) -> tuple[str, str]:
+    """(id column, name column) of a names file, whose headers vary between releases.
+
+    The id is ``assignee_id`` or any column that contains
+    ``disambig_assignee_id``; the name is ``disambig_assignee_organization``,
+    else a column that contains ``organization``, else ``assignee_name``.
+    """
+    def pick(*tests):
+        return next((c for test in tests for c in columns if test(c)), None)
+
+    found = (pick(lambda c: c == "assignee_id" or "disambig_assignee_id" in c),
+             pick(lambda c: c == "disambig_assignee_organization", lambda c: "organization" in c, lambda c: "assignee_name" in c))
+    if None in found:
+        raise ValueError(f"no id and name columns among {columns}")
+    return found
+
+
+def named_rows(names_raw: DataFrame) -> DataFrame:
+    """(patent_id, assignee_sequence, assignee_id, organization) of the rows with a name."""
+    key, name = name_columns(names_raw.columns)
+    org = F.col(name)
+    link = [F.col(c) if c in names_raw.columns else F.lit(None).cast("string").alias(c) for c in ("patent_id", "assignee_sequence")]
     return names_raw.where(org.isNotNull() & (strip_ws(org) != "")).select(
-        "patent_id", "assignee_sequence", "assignee_id", org.alias("organization"))
+        *link, F.col(key).alias("assignee_id"), org.alias("organization"))
 
 
 def uuid_name_map(persistent_raw: DataFrame, names_raw: DataFrame, latest: bool = False) -> DataFrame:
@@ -35,11 +55,15 @@ def uuid_name_map(persistent_raw: DataFrame, names_raw: DataFrame, latest: bool
     MIN(organization) per key before the join.  The join is then
     many-to-one: no pair explosion even when a key repeats on both sides.
     """
-    uuids = (stage_assignees(persistent_raw, latest=latest, extra_keys=("assignee_sequence",))
-             .where(F.col("assignee_sequence").isNotNull())
+    return name_map_from_links(stage_assignees(persistent_raw, latest=latest, extra_keys=("assignee_sequence",)), named_rows(names_raw))
+
+
+def name_map_from_links(assignee_links: DataFrame, name_links: DataFrame) -> DataFrame:
+    """``uuid_name_map`` over staged links (see there)."""
+    uuids = (assignee_links.where(F.col("assignee_sequence").isNotNull())
              .select("patent_id", "assignee_sequence", F.col("company_id").alias("uuid"))
              .distinct())
-    orgs = (_named_rows(names_raw).groupBy("patent_id", "assignee_sequence")
+    orgs = (name_links.groupBy("patent_id", "assignee_sequence")
             .agg(F.min("organization").alias("organization")))
     linked = uuids.join(orgs, ["patent_id", "assignee_sequence"])
     first = keep_first(linked.select("uuid", *NAME_ORDER), ["uuid"], order=NAME_ORDER)
@@ -48,7 +72,7 @@ def uuid_name_map(persistent_raw: DataFrame, names_raw: DataFrame, latest: bool
 
 def name_map_last(names_raw: DataFrame, order: list[str] | None = None) -> DataFrame:
     """assignee_id -> organisation where the last row (by ``order``) wins."""
-    rows = _named_rows(names_raw).where(F.col("assignee_id").isNotNull())
+    rows = named_rows(names_raw).where(F.col("assignee_id").isNotNull())
     order = order or NAME_ORDER
     last = keep_first(rows.select("assignee_id", *order), ["assignee_id"], order=order, last=True)
     return last.select("assignee_id", F.col("organization").alias("name"))

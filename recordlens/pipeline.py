@@ -8,10 +8,12 @@ names).  Missing optional inputs become empty frames with their schema.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlens import schemas
+from recordlens.cache import file_exists
 from recordlens.operators import analytics as an
 from recordlens.operators import enrich as en
 from recordlens.operators import flat as fl
@@ -20,7 +22,7 @@ from recordlens.operators import report as rp
 from recordlens.operators import staging as stg
 from recordlens.operators import tables as tb
 from recordlens.sinks import export_results, save_tables, write_csv, write_json_document
-from recordlens.sources.delimited import (list_raw_files, read_delimited, read_header,
+from recordlens.sources.delimited import (list_raw_files, path_is_missing, read_delimited, read_header,
                                           read_raw_files, union_all)
 
 # File names of the raw record format.
@@ -36,22 +38,15 @@ OPTIONAL_FILES = {
     "names": "g_assignee_disambiguated.tsv",
 }
 
-# The built-in four-record sample used when core inputs are missing.
+# A tiny made-up data set for trying the library without raw files.
 SAMPLE_PATENTS = [
-    ("US1000001", "Battery cooling optimization",
-     "System and method for electric battery thermal regulation.", "2018-04-10", 2018, "H01M10/0525"),
-    ("US1000002", "AI scheduling for manufacturing",
-     "Machine learning model to optimize factory throughput.", "2019-06-22", 2019, "G06Q10/06"),
-    ("US1000003", "Low-latency network routing",
-     "Adaptive path computation for reduced network latency.", "2020-02-15", 2020, "H04L45/00"),
-    ("US1000004", "Genome pattern detection",
-     "Parallel algorithm for gene sequence anomaly detection.", "2021-11-03", 2021, "C12Q1/6869"),
+    ("P1", "Folding bicycle frame", "A frame whose halves turn about one hinge.", "2015-03-02", 2015, "B62K"),
+    ("P2", "Solar water pump", "A pump that a panel drives without a battery.", "2016-09-19", 2016, "F04B"),
+    ("P3", "Quiet fan blade", "A blade with a toothed trailing edge.", "2016-12-30", 2016, "F04D"),
 ]
-SAMPLE_INVENTORS = [("INV001", "Alicia Gomez", "US"), ("INV002", "Kenji Tanaka", "JP"),
-                    ("INV003", "Sofia Martins", "BR")]
-SAMPLE_COMPANIES = [("CMP001", "Voltix Labs"), ("CMP002", "NexFab Systems"), ("CMP003", "BioNova Analytics")]
-SAMPLE_RELATIONSHIPS = [("US1000001", "INV001", "CMP001"), ("US1000002", "INV002", "CMP002"),
-                        ("US1000003", "INV001", "CMP001"), ("US1000004", "INV003", "CMP003")]
+SAMPLE_INVENTORS = [("I1", "Ada Example", "GB"), ("I2", "Ben Muster", "DE")]
+SAMPLE_COMPANIES = [("C1", "Hinge Works"), ("C2", "Blade and Pump")]
+SAMPLE_RELATIONSHIPS = [("P1", "I1", "C1"), ("P2", "I2", "C2"), ("P3", "I2", "C2"), ("P3", "I1", "C2")]
 
 
 def sample_tables(spark: SparkSession) -> dict[str, DataFrame]:
@@ -65,56 +60,59 @@ def _path(raw_dir: str, name: str) -> str:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a raw file is there; any other fault than a missing path raises."""
     try:
         read_header(spark, path)
         return True
-    except Exception:  # noqa: BLE001 - AnalysisException PATH_NOT_FOUND
-        return False
+    except AnalysisException as exc:
+        if path_is_missing(exc):
+            return False
+        raise
 
 
 def core_files_available(spark: SparkSession, raw_dir: str) -> bool:
     return all(_exists(spark, _path(raw_dir, f)) for f in CORE_FILES.values())
 
 
-# Files whose cells may hold newlines (free text) need a whole-file parse;
-# the id-only files are read splittably.
-FREE_TEXT_FILES = {"patents", "abstracts", "names"}
-
-
 def build_staging(spark: SparkSession, raw_dir: str, legacy_na: bool = False,
-                  row_limit: int | None = None, latest_assignee: bool = False,
-                  staging_dir: str | None = None,
+                  latest_assignee: bool = False, staging_dir: str | None = None,
                   row_counts: dict[str, int] | None = None) -> dict[str, DataFrame]:
     """Staging frames from the raw files (all text, staging rules applied).
 
-    With ``staging_dir`` each staging frame is written once as Parquet (an
-    empty input keeps its explicit schema) and read back, so the clean-table
-    builds never parse raw text twice; ``row_counts`` then receives the rows
-    written per staging table, observed during those writes.
+    ``assignee_links`` and ``name_links`` keep the assignee sequence for the
+    name enrichment; ``assignees`` and ``names`` are projections of them.
+    With ``staging_dir`` each frame that is read from a raw file is written
+    once as Parquet (an empty input keeps its explicit schema) and read back,
+    so the clean-table builds and the enrichment never parse raw text again;
+    ``row_counts`` then receives the rows written per staging table,
+    observed during those writes.
     """
-    def raw(key: str, name: str) -> DataFrame:
-        return read_delimited(spark, _path(raw_dir, name), legacy_na=legacy_na, row_limit=row_limit,
-                              multiline=key in FREE_TEXT_FILES)
+    def raw(name: str) -> DataFrame:
+        return read_delimited(spark, _path(raw_dir, name), legacy_na=legacy_na)
 
+    assignees = raw(CORE_FILES["assignees"])
+    if "assignee_sequence" not in assignees.columns:
+        assignees = assignees.withColumn("assignee_sequence", F.lit(None).cast("string"))
     staged = {
-        "patents": stg.stage_patents(raw("patents", CORE_FILES["patents"])),
-        "abstracts": stg.stage_abstracts(raw("abstracts", CORE_FILES["abstracts"])),
-        "inventors": stg.stage_inventors(raw("inventors", CORE_FILES["inventors"])),
-        "locations": stg.stage_locations(raw("locations", CORE_FILES["locations"])),
-        "assignees": stg.stage_assignees(raw("assignees", CORE_FILES["assignees"]), latest=latest_assignee),
+        "patents": stg.stage_patents(raw(CORE_FILES["patents"])),
+        "abstracts": stg.stage_abstracts(raw(CORE_FILES["abstracts"])),
+        "inventors": stg.stage_inventors(raw(CORE_FILES["inventors"])),
+        "locations": stg.stage_locations(raw(CORE_FILES["locations"])),
+        "assignee_links": stg.stage_assignees(assignees, latest=latest_assignee, extra_keys=("assignee_sequence",)),
     }
     rl_path = _path(raw_dir, OPTIONAL_FILES["raw_locations"])
-    staged["raw_locations"] = (stg.stage_raw_locations(raw("raw_locations", OPTIONAL_FILES["raw_locations"]))
+    staged["raw_locations"] = (stg.stage_raw_locations(raw(OPTIONAL_FILES["raw_locations"]))
                                if _exists(spark, rl_path)
                                else spark.createDataFrame([], "location_id string, country string"))
     nm_path = _path(raw_dir, OPTIONAL_FILES["names"])
-    staged["names"] = (stg.stage_assignee_names(raw("names", OPTIONAL_FILES["names"]))
-                       if _exists(spark, nm_path)
-                       else spark.createDataFrame([], "assignee_id string, organization string"))
-    if staging_dir is None:
-        return staged
-    paths = save_tables(staged, staging_dir, row_counts=row_counts)
-    return {k: spark.read.parquet(p) for k, p in paths.items()}
+    staged["name_links"] = (en.named_rows(raw(OPTIONAL_FILES["names"])) if _exists(spark, nm_path)
+                            else spark.createDataFrame([], "patent_id string, assignee_sequence string, assignee_id string, organization string"))
+    if staging_dir is not None:
+        paths = save_tables(staged, staging_dir, row_counts=row_counts)
+        staged = {k: spark.read.parquet(p) for k, p in paths.items()}
+    staged["assignees"] = staged["assignee_links"].select("patent_id", "company_id")
+    staged["names"] = staged["name_links"].where("assignee_id is not null").select("assignee_id", "organization")
+    return staged
 
 
 def clean_tables_from_staging(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -127,14 +125,16 @@ def clean_tables_from_staging(staged: dict[str, DataFrame]) -> dict[str, DataFra
     }
 
 
-def build_clean_tables(spark: SparkSession, raw_dir: str, out_dir: str | None = None,
+def build_clean_tables(spark: SparkSession, raw_dir: str, out_dir: str | None = None, sample: bool = False,
                        **kwargs) -> dict[str, DataFrame]:
-    """Staging path; falls back to the built-in sample when core files are missing.
+    """Staging path; missing core files are an error unless ``sample`` asks for the built-in sample.
 
     With ``out_dir`` the staging frames are also persisted under
     ``out_dir/_staging`` so every raw file is parsed exactly once.
     """
     if not core_files_available(spark, raw_dir):
+        if not sample:
+            raise FileNotFoundError(f"core record files are missing in {raw_dir}")
         tables = sample_tables(spark)
     else:
         if out_dir is not None:
@@ -169,16 +169,17 @@ def load_clean_tables(spark: SparkSession, base_dir: str) -> dict[str, DataFrame
     return out
 
 
-def enrich_companies(spark: SparkSession, raw_dir: str, companies: DataFrame) -> DataFrame:
-    """Company names from the (persistent id, organisation) files when present."""
-    p_path = _path(raw_dir, CORE_FILES["assignees"])
-    n_path = _path(raw_dir, OPTIONAL_FILES["names"])
-    if not (_exists(spark, p_path) and _exists(spark, n_path)):
-        return companies
-    m = en.uuid_name_map(read_delimited(spark, p_path), read_delimited(spark, n_path))
+def enrich_companies(staged: dict[str, DataFrame], companies: DataFrame) -> DataFrame:
+    """Company names from the (persistent id, organisation) links of the staging frames."""
+    m = en.name_map_from_links(staged["assignee_links"], staged["name_links"])
     return en.enrich_company_names(companies, m).select("company_id", "name")
 
 
+def clean_tables_exist(spark: SparkSession, tables_dir: str) -> bool:
+    """Whether all four clean tables have been written to the end."""
+    return all(file_exists(spark, f"{tables_dir.rstrip('/')}/{k}/_SUCCESS") for k in schemas.CLEAN)
+
+
 def run_queries(tables: dict[str, DataFrame], shared: bool = False) -> dict[str, DataFrame]:
     """q1..q7 over the clean tables.
 
@@ -264,10 +265,12 @@ def extraction_summary(records: DataFrame) -> DataFrame:
 
 
 def run_extraction(spark: SparkSession, raw_dir: str, output: str) -> DataFrame:
-    """Flat path extract stage: unified records written once as CSV with a header."""
-    write_csv(extract_records(spark, raw_dir), output)
-    return spark.read.option("header", True).schema(
-        schemas.all_strings(list(fl.RELEVANT_FIELDS) + ["source_file"])).csv(output)
+    """Flat path extract stage: unified records as Parquet (``<output>_parquet``), exported once as CSV."""
+    path = f"{output.rstrip('/')}_parquet"
+    extract_records(spark, raw_dir).write.mode("overwrite").parquet(path)
+    records = spark.read.parquet(path)
+    write_csv(records, output)
+    return records
 
 
 def run_flat_path(spark: SparkSession, raw_dir: str, out_dir: str | None = None,
@@ -301,6 +304,6 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return qa.table_counts(tables)
 
 
-__all__ = ["build_clean_tables", "build_staging", "clean_tables_from_staging", "enrich_companies",
+__all__ = ["build_clean_tables", "build_staging", "clean_tables_exist", "clean_tables_from_staging", "enrich_companies",
            "extract_records", "extraction_summary", "generate_reports", "load_clean_tables", "release",
            "run_extraction", "run_flat_path", "run_queries", "sample_tables", "table_row_counts"]

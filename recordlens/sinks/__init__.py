@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordlens.session import materialize
+
+#: A quote inside a cell is doubled, as standard readers expect.
+CSV_OPTIONS = {"header": "true", "emptyValue": "", "quote": '"', "escape": '"'}
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """CSV with one header line per part file (empty result: header-only file)."""
-    df.write.mode(mode).option("header", True).option("emptyValue", "").csv(path)
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
     return path
 
 
@@ -34,9 +36,11 @@ def save_tables(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet"
         path = f"{out_dir.rstrip('/')}/{name}"
         w = df.write.mode("overwrite")
         if partition_by and name in partition_by:
-            w = w.partitionBy(*partition_by[name])
+            # Rows of one value are brought together first (large values are split
+            # at run time), else every task writes a file per value.
+            w = df.hint("rebalance", *partition_by[name]).write.mode("overwrite").partitionBy(*partition_by[name])
         if fmt == "csv":
-            w.option("header", True).csv(path)
+            w.options(**CSV_OPTIONS).csv(path)
         else:
             w.format(fmt).save(path)
         if obs is not None:
@@ -77,12 +81,20 @@ def write_json_document(df: DataFrame, path: str) -> str:
 
 
 def overwrite_in_place(df: DataFrame, path: str, fmt: str = "parquet") -> str:
-    """Overwrite the path ``df`` was read from.
+    """Replace the files at ``path``, which ``df`` may have been read from.
 
-    Spark cannot overwrite a path that the same plan still reads, so the
-    result is first checkpointed to the shared checkpoint folder (lineage
-    cut, survives executor loss), then written over the original path.
+    The result is written whole beside the old files, then swapped in by
+    renames: a failure while writing leaves the old files as they were, and
+    one between the renames leaves them under ``<path>.old``.
     """
-    frozen = materialize(df)
-    frozen.write.mode("overwrite").format(fmt).save(path)
+    new, old = f"{path.rstrip('/')}.new", f"{path.rstrip('/')}.old"
+    df.write.mode("overwrite").format(fmt).save(new)
+    jvm = df.sparkSession._jvm
+    at = {p: jvm.org.apache.hadoop.fs.Path(p) for p in (path, new, old)}
+    fs = at[path].getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    if fs.exists(at[old]):
+        fs.delete(at[old], True)
+    if fs.exists(at[path]) and not fs.rename(at[path], at[old]) or not fs.rename(at[new], at[path]):
+        raise OSError(f"could not swap {new} into {path}")
+    fs.delete(at[old], True)
     return path

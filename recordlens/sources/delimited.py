@@ -9,17 +9,20 @@ Rules kept from the original loader:
 * only an empty cell is null; ``legacy_na=True`` also nulls the NA tokens a
   pandas reader would (so a Namibia code ``NA`` survives by default).
 
-Ragged-row detection needs the parser to see the whole row, so files are
-parsed with ``multiLine`` (quoted newlines stay inside their cell) and a
-corrupt-record column; the filter then counts the fields of each rejected
-line.  ``multiLine`` makes each file one task: convert raw files to
-Parquet once (:func:`ingest_to_parquet`) and run everything else on that.
+Quotes inside a quoted cell are doubled, as spreadsheet and pandas writers do.
+
+Ragged-row detection needs the parser to see the whole row, so rows are
+parsed in full with a corrupt-record column; the filter then counts the
+fields of each rejected row.  A file is read as splittable lines when none of
+its lines has an odd number of quotes, which proves that no quoted cell spans
+lines; else each file is parsed whole (``multiLine``), one task per file.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,14 +45,25 @@ def detect_separator(path: str) -> str:
     return "\t" if path.lower().endswith((".tsv", ".txt")) else ","
 
 
+def path_is_missing(exc: AnalysisException) -> bool:
+    """Whether an error says that the path does not exist (and nothing else)."""
+    return exc.getCondition() == "PATH_NOT_FOUND"
+
+
 def read_header(spark: SparkSession, path: str, sep: str | None = None) -> list[str]:
     """Normalised header names of one file (reads only the first line)."""
     sep = sep or detect_separator(path)
     cols = spark.read.option("header", True).option("sep", sep).option("inferSchema", False) \
-        .csv(path).columns
+        .option("escape", '"').csv(path).columns
     return [normalize_header(c) for c in cols]
 
 
+def cells_span_lines(spark: SparkSession, paths: list[str]) -> bool:
+    """Whether a quoted cell may hold a line break: some line has an odd number of quotes."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(paths).where(quotes % 2 == 1).isEmpty()
+
+
 def _field_count(line, sep: str):
     # Remove quoted sections, then count separators outside quotes.
     unquoted = F.regexp_replace(line, r'"[^"]*"', "")
@@ -59,23 +73,22 @@ def _field_count(line, sep: str):
 
 def read_delimited(spark: SparkSession, path: str | list[str], sep: str | None = None,
                    columns: list[str] | None = None, legacy_na: bool = False,
-                   multiline: bool = True, row_limit: int | None = None,
-                   with_source_file: bool = False) -> DataFrame:
+                   multiline: bool | None = None, with_source_file: bool = False) -> DataFrame:
     """All-string read of files sharing one header; overlong rows dropped.
 
     ``columns`` selects a subset after the ragged-row filter (never before,
-    so pruning cannot hide an overlong row).  ``multiline=False`` gives a
-    splittable (parallel) read for files whose cells never hold newlines.  ``row_limit`` caps rows per
-    source right after the read (negative -> 0), as the original's
-    debugging cap did.
+    so pruning cannot hide an overlong row).  ``multiline`` says whether cells
+    may hold line breaks; by default the files are asked (one pass over them).
     """
     paths = [path] if isinstance(path, str) else list(path)
     sep = sep or detect_separator(paths[0])
     header = read_header(spark, paths[0], sep)
+    if multiline is None:
+        multiline = cells_span_lines(spark, paths)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header]
                           + [T.StructField(CORRUPT, T.StringType())])
     reader = (spark.read.schema(schema).option("header", True).option("sep", sep)
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+              .option("escape", '"').option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
               .option("multiLine", multiline).option("enforceSchema", True))
     if not multiline:
         # Splittable read: every row must still be parsed in full, or column
@@ -86,8 +99,6 @@ def read_delimited(spark: SparkSession, path: str | list[str], sep: str | None =
         raw = raw.withColumn("source_file", F.col("_metadata.file_name"))
     keep = F.col(CORRUPT).isNull() | (_field_count(F.col(CORRUPT), sep) <= len(header))
     df = raw.where(keep).drop(CORRUPT)
-    if row_limit is not None:
-        df = df.limit(max(int(row_limit), 0))
     if legacy_na:
         df = df.select(*[F.when(F.col(c).isin(PANDAS_NA_TOKENS), F.lit(None).cast("string"))
                          .otherwise(F.col(c)).alias(c) if c in header else F.col(c) for c in df.columns])
@@ -104,8 +115,10 @@ def list_raw_files(spark: SparkSession, raw_dir: str,
         listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
                    .option("recursiveFileLookup", False).load(raw_dir).select("path", "length"))
         rows = listing.collect()  # one row per file: bounded by the file count
-    except Exception:  # noqa: BLE001 - a missing directory lists nothing
-        return []
+    except AnalysisException as exc:
+        if path_is_missing(exc):
+            return []
+        raise
     return sorted(r["path"] for r in rows if r["path"].lower().endswith(suffixes))
 
 
@@ -120,11 +133,8 @@ def read_raw_files(spark: SparkSession, paths: list[str], legacy_na: bool = Fals
     layouts: dict[tuple[str, tuple[str, ...]], list[str]] = {}
     for p in paths:
         sep = detect_separator(p)
-        try:
-            header = tuple(read_header(spark, p, sep))
-        except Exception:  # noqa: BLE001 - an empty file has no header and adds nothing
-            continue
-        if not header:
+        header = tuple(read_header(spark, p, sep))
+        if not header:                      # an empty file adds nothing
             continue
         layouts.setdefault((sep, header), []).append(p)
     return [read_delimited(spark, group, sep=sep, legacy_na=legacy_na, with_source_file=with_source_file)
@@ -141,25 +151,31 @@ def ingest_to_parquet(spark: SparkSession, path: str | list[str], out_path: str,
     return spark.read.parquet(out_path)
 
 
+#: CSV written by this library or by pandas: doubled quotes, line breaks inside quotes.
+CLEAN_CSV = {"header": "true", "mode": "PERMISSIVE", "escape": '"', "multiLine": "true"}
+
+
 def read_clean_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:
     """A clean table with its declared schema (CSV with header, or Parquet)."""
     if fmt == "parquet":
         return spark.read.schema(schema).parquet(path)
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    return spark.read.schema(schema).options(**CLEAN_CSV).csv(path)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | None = None,
                   fmt: str = "csv") -> DataFrame:
     """Read an export; a missing path gives an empty frame (with ``schema`` if given)."""
     try:
-        reader = spark.read.option("header", True)
+        reader = spark.read.options(**(CLEAN_CSV if fmt == "csv" else {}))
         if schema is not None:
             reader = reader.schema(schema)
         df = reader.format(fmt).load(path)
         df.schema  # resolve now so a missing path raises here
         return df
-    except Exception:  # noqa: BLE001 - AnalysisException: PATH_NOT_FOUND
-        return spark.createDataFrame([], schema or T.StructType([]))
+    except AnalysisException as exc:
+        if path_is_missing(exc):
+            return spark.createDataFrame([], schema or T.StructType([]))
+        raise
 
 
 def read_json_report(spark: SparkSession, path: str) -> DataFrame:
@@ -168,5 +184,7 @@ def read_json_report(spark: SparkSession, path: str) -> DataFrame:
         df = spark.read.option("multiLine", True).json(path)
         df.schema
         return df
-    except Exception:  # noqa: BLE001
-        return spark.createDataFrame([], T.StructType([]))
+    except AnalysisException as exc:
+        if path_is_missing(exc):
+            return spark.createDataFrame([], T.StructType([]))
+        raise
