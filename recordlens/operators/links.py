@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recordlens.functions.text import WHITESPACE
+
 # The three link patterns (attribute links, absolute archive
 # URLs in text, root-relative archive paths in text).
 HREF_PATTERN = r"""(?i)href=["']([^"']+)["']"""
@@ -39,16 +41,26 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html",
         F.regexp_extract_all(F.col(html_col), F.lit(ABSOLUTE_ZIP_PATTERN), 1),
         F.regexp_extract_all(F.col(html_col), F.lit(RELATIVE_ZIP_PATTERN), 1),
     )
-    raw = (pages.select(id_col, url_col, F.explode(F.array_distinct(cands)).alias("_cand"))
-           .distinct())
-    return (raw.select(id_col, resolve_link(F.col(url_col), F.col("_cand")).alias("link"))
-            .where(F.col("link").isNotNull()).distinct())
+    raw = (pages.where(F.col(url_col).isNotNull() & F.col(html_col).isNotNull())
+           .select(id_col, url_col, F.explode(F.array_distinct(cands)).alias("_cand"))
+           .withColumn("_cand", F.btrim("_cand", F.lit(WHITESPACE))).distinct())
+    # Absolute links and rooted paths without entities, dot segments or empty
+    # tails resolve by concatenation; only the others go through Python.
+    cand, base = F.col("_cand"), F.col(url_col)
+    origin = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", 0)
+    plain = ~cand.contains("&") & ~cand.rlike(r"/\.{1,2}(?:[/?#]|$)|[?#;]$|[?;]#|[\x00-\x1f]")
+    absolute = plain & cand.rlike(r"^https?://[^/?#]+/")
+    rooted = plain & cand.rlike(r"^/[^/]") & base.rlike(r"^https?://[^/?#]+")
+    simple = F.when(absolute, cand).when(rooted, F.concat(origin, cand))
+    odd = simple.isNull()
+    resolved = raw.select(id_col, simple.alias("_simple"), resolve_link(F.when(odd, base), F.when(odd, cand)).alias("_odd"))
+    return resolved.select(id_col, F.coalesce("_simple", "_odd").alias("link")).distinct()
 
 
 def page_archives(links: DataFrame, link_col: str = "link") -> DataFrame:
     """Only links whose URL path ends in .zip (case-insensitive)."""
-    path = F.try_parse_url(F.col(link_col), F.lit("PATH"))
-    return links.where(F.lower(F.coalesce(path, F.lit(""))).endswith(".zip"))
+    path = F.regexp_extract(F.col(link_col), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
+    return links.where(F.lower(path).endswith(".zip"))
 
 
 # Nested manifest: products -> file bag -> list of files.
@@ -63,6 +75,11 @@ MANIFEST_SCHEMA = T.StructType([
 ])
 
 
+def _first_filled(*lists):
+    """The first list that has an element (explode skips the null of none)."""
+    return F.coalesce(*[F.when(F.size(x) > 0, x) for x in lists])
+
+
 def manifest_files(manifests: DataFrame, json_col: str, base_url: str,
                    name_pattern: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """File rows (name, url, size) from JSON manifests, one row per listed file.
@@ -73,11 +90,9 @@ def manifest_files(manifests: DataFrame, json_col: str, base_url: str,
     URIs are prefixed with ``base_url``; size becomes a long or null.
     """
     parsed = manifests.select(*keep, F.from_json(F.col(json_col), MANIFEST_SCHEMA).alias("_m"))
-    products = F.coalesce(F.col("_m.bulkDataProductBags"), F.col("_m.bulkDataProductBag"),
-                          F.array().cast(T.ArrayType(_PRODUCT)))
+    products = _first_filled(F.col("_m.bulkDataProductBags"), F.col("_m.bulkDataProductBag"))
     prod = parsed.select(*keep, F.explode(products).alias("_p"))
-    files = F.coalesce(F.col("_p.bulkDataFileBag.fileDataBag"), F.col("_p.productFileBag.fileDataBag"),
-                       F.array().cast(T.ArrayType(_FILE)))
+    files = _first_filled(F.col("_p.bulkDataFileBag.fileDataBag"), F.col("_p.productFileBag.fileDataBag"))
     f = prod.select(*keep, F.explode(files).alias("_f"))
     name, url, size = F.col("_f.fileName"), F.col("_f.fileDownloadURI"), F.col("_f.fileSize")
     cond = (name.isNotNull() & (name != "") & url.isNotNull() & (url != "")
@@ -87,7 +102,7 @@ def manifest_files(manifests: DataFrame, json_col: str, base_url: str,
     full = F.when(url.startswith("http"), url).otherwise(F.concat(F.lit(base_url), url))
     sz = F.nullif(size, F.lit("")).try_cast("long")
     return f.where(cond).select(*keep, name.alias("name"), full.alias("url"),
-                                F.when(sz != 0, sz).alias("size"))
+                                sz.alias("size"))
 
 
 def json_props(df: DataFrame, json_col: str, fields: dict[str, str], keep: tuple[str, ...] = ()) -> DataFrame:
