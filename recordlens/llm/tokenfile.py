@@ -7,7 +7,7 @@ byte holds the lengths of four ids.  A reader looks the four lengths up in a
 
 A file set is a folder with two Parquet tables written by Spark:
 
-* ``shards``: rows (doc_id, seq, shard, n_tokens, local_start, crc, control, data),
+* ``shards``: rows (doc_id, shard, seq, local_start, n_tokens, crc, control, data),
   in ascending document order within and over the shards; ``local_start`` counts
   the ids before the document in its shard.
 * ``ranks``: (rank, id), the code table, bounded by the vocabulary.
@@ -90,8 +90,8 @@ def write_token_files(documents: DataFrame, path: str, tokenizer: str, *, id_col
                       end_id: int = END_ID) -> str:
     """Write the file set to ``path``; returns ``path``.
 
-    Texts are encoded once (staged in the shared folder), counted, coded and
-    then range-partitioned by document id, so only coded ids are shuffled.
+    Texts are encoded once (staged in the shared folder) and counted; the ids,
+    not the texts, are then range-partitioned by document id and coded in place.
     """
     spark = documents.sparkSession
     enc = encoder(tokenizer, spaces=True)
@@ -107,39 +107,28 @@ def write_token_files(documents: DataFrame, path: str, tokenizer: str, *, id_col
     spark.createDataFrame(pa.table({"rank": np.arange(len(ids), dtype=np.int64), "id": ids.astype(np.int64)}).to_pandas()
                           ).coalesce(1).write.parquet(f"{path}/ranks")
     shared = spark.sparkContext.broadcast(rank)
-    kind = encoded.schema["doc_id"].dataType
+    # A repeated id is spread by its content too, so that equal ids need not meet in one task.
+    # The ranges are drawn from the staged rows, before any coding.
+    placed = encoded.withColumn("content", F.xxhash64("ids")).repartitionByRange("doc_id", "content").sortWithinPartitions("doc_id", "content")
 
     def code(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        from pyspark import TaskContext
+        table, shard, start, seq = shared.value, TaskContext.get().partitionId(), 0, 0
         for b in batches(rows):
             out = []
             for raw in b.column(1).to_pylist():
                 own = np.frombuffer(raw, dtype=width)
-                out.append((len(own), zlib.crc32(own.astype("<u4").tobytes()), *pack(table[own])))
-            n, crc, control, data = zip(*out)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(control, pa.binary()), pa.array(data, pa.binary())],
-                names=["doc_id", "n_tokens", "crc", "control", "data"])
-
-    coded = encoded.mapInArrow(code, StructType([
-        StructField("doc_id", kind), StructField("n_tokens", LongType()), StructField("crc", LongType()),
-        StructField("control", BinaryType()), StructField("data", BinaryType())]))
-    # A repeated id is spread by its checksum too, so that equal ids need not meet in one task.
-    placed = coded.repartitionByRange("doc_id", "crc").sortWithinPartitions("doc_id", "crc")
-
-    def number(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        shard, start, seq = TaskContext.get().partitionId(), 0, 0
-        for b in batches(rows):
-            n = b.column(1).to_numpy()
-            before = np.cumsum(n) - n + start
+                out.append((start, len(own), zlib.crc32(own.astype("<u4").tobytes()), *pack(table[own])))
+                start += len(own)
+            before, n, crc, control, data = zip(*out)
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(np.full(len(n), shard), pa.int64()), pa.array(np.arange(seq, seq + len(n)), pa.int64()), pa.array(before, pa.int64())],
-                names=[*b.schema.names, "shard", "seq", "local_start"])
-            start, seq = start + int(n.sum()), seq + len(n)
+                [b.column(0), pa.array(np.full(len(out), shard), pa.int64()), pa.array(np.arange(seq, seq + len(out)), pa.int64()),
+                 *(pa.array(c, pa.int64()) for c in (before, n, crc)), pa.array(control, pa.binary()), pa.array(data, pa.binary())],
+                names=["doc_id", "shard", "seq", "local_start", "n_tokens", "crc", "control", "data"])
+            seq += len(out)
 
-    schema = StructType([*coded.schema, StructField("shard", LongType()), StructField("seq", LongType()), StructField("local_start", LongType())])
-    placed.mapInArrow(number, schema).write.parquet(f"{path}/shards")
+    placed.mapInArrow(code, StructType([encoded.schema["doc_id"], *StructType.fromDDL(
+        "shard bigint, seq bigint, local_start bigint, n_tokens bigint, crc bigint, control binary, data binary")])).write.parquet(f"{path}/shards")
     return path
 
 

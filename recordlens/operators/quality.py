@@ -21,26 +21,17 @@ def fk_orphans(relationships: DataFrame, patents: DataFrame, inventors: DataFram
                companies: DataFrame) -> DataFrame:
     """Rows of the bridge whose key is missing from its dimension, per FK.
 
-    Each check is a left-anti join on one key (the dimension side is
-    reduced to its distinct keys) followed by a count.
+    Per key the bridge is reduced to (key, rows) on the map side and
+    anti-joined with the dimension's keys: the join sees keys, not rows.
     """
+    def orphans(key: str, dim: DataFrame) -> DataFrame:
+        counts = relationships.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+        lost = counts.join(dim.select(key).distinct(), key, "left_anti")
+        return lost.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("orphan_rows"), F.count(key).alias("orphan_keys")).select(
+            F.lit(key).alias("foreign_key"), "orphan_rows", "orphan_keys")
+
     checks = [("patent_id", patents), ("inventor_id", inventors), ("company_id", companies)]
-    # One pass over the bridge: a left join per dimension (reduced to its
-    # distinct keys, flagged) and one aggregate over the misses.
-    r = relationships.select("patent_id", "inventor_id", "company_id")
-    for key, dim in checks:
-        r = r.join(dim.select(key).distinct().withColumn(f"_hit_{key}", F.lit(True)), key, "left")
-    aggs = []
-    for key, _ in checks:
-        miss = F.col(f"_hit_{key}").isNull()
-        aggs += [F.count(F.when(miss, 1)).alias(f"_rows_{key}"),
-                 F.countDistinct(F.when(miss, F.col(key))).alias(f"_keys_{key}")]
-    row = r.agg(*aggs)
-    # One row -> one row per FK with explode (a union of three projections of
-    # the same aggregate would run the whole plan three times).
-    per_fk = F.array(*[F.struct(F.lit(key).alias("foreign_key"), F.col(f"_rows_{key}").alias("orphan_rows"),
-                                F.col(f"_keys_{key}").alias("orphan_keys")) for key, _ in checks])
-    return row.select(F.explode(per_fk).alias("_fk")).select("_fk.*")
+    return reduce(DataFrame.unionByName, [orphans(*c) for c in checks])
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

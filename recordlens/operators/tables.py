@@ -56,6 +56,8 @@ def clean_inventors(inventors_stg: DataFrame, locations_stg: DataFrame,
         "inventor_id", "location_id",
         person_name("disambig_inventor_name_first", "disambig_inventor_name_last",
                     "inventor_id").alias("_name"))
+    # One row per inventor and place, so a place shared by many rows is joined once per inventor.
+    i = i.groupBy("inventor_id", "location_id").agg(F.max("_name").alias("_name"))
     return (i.join(loc, "location_id", "left")
             .groupBy("inventor_id")
             .agg(F.max("_name").alias("name"), F.max("country").alias("country")))

@@ -16,7 +16,6 @@ from recordlens.operators import staging as stg
 from recordlens.operators import stats as st
 from recordlens.operators import tables as tb
 from recordlens.registry import query
-from recordlens.session import materialize
 from recordlens.streaming import ingest as si
 
 
@@ -148,8 +147,8 @@ def staged(v):
         "patents": stg.stage_patents(v.patents_raw),
         "abstracts": stg.stage_abstracts(v.abstracts_raw),
         "inventors": stg.stage_inventors(v.inventors_raw),
-        "locations": stg.stage_locations(v.locations_raw),
-        "raw_locations": stg.stage_raw_locations(v.locations_nd_raw),
+        "locations": stg.stage_locations(v.location_mentions),
+        "raw_locations": stg.stage_raw_locations(v.raw_location_mentions),
         "assignees": stg.stage_assignees(v.persistent_assignee_raw),
         "names": stg.stage_assignee_names(v.assignee_names_raw),
     }
@@ -411,8 +410,11 @@ def _em(v):
 
 def _flat_tables(v):
     # As in the pipeline, the cleaned records feed several table builds, so
-    # they are cleaned once and frozen (reliable checkpoint) before the split.
-    return fl.split_tables(materialize(fl.flat_clean(v.extracted_records)))
+    # they are cleaned once and written (column pruning for the builds that
+    # need few columns) before the split.
+    path = si.scratch_path(v.spark, "flat_clean")
+    fl.flat_clean(v.extracted_records).write.parquet(path)
+    return fl.split_tables(v.spark.read.parquet(path))
 
 
 @query("fk_orphans")
@@ -467,12 +469,12 @@ MANIFEST_BASE_URL = "https://data.example.org"
 
 @query("page_links")
 def _pl(v):
-    return lk.page_links(v.t.pages)
+    return lk.page_links(v.link_pages)
 
 
 @query("page_archives")
 def _pa(v):
-    return lk.page_archives(lk.page_links(v.t.pages))
+    return lk.page_archives(lk.page_links(v.link_pages))
 
 
 @query("manifest_files")
@@ -486,12 +488,13 @@ def _jp(v):
 
 
 # -- streaming -------------------------------------------------------------------------
+STREAM_FILES = 8
 
 
 @query("stream_ingest")
 def _sti(v):
     """Orders files streamed in, each batch shaped into patents rows."""
-    spark, sf = v.spark, v.t.sf_dir
+    spark = v.spark
     docs = v.t.documents.select("doc_id", "text")
 
     def to_patents(orders):
@@ -506,14 +509,16 @@ def _sti(v):
             .otherwise(F.col("o_orderpriority")).alias("classification"))
 
     base = si.scratch_path(spark, "stream_ingest")
-    return si.ingest(spark, sf, v.t.orders.schema, to_patents, f"{base}/out", f"{base}/ckpt",
-                     glob="orders.parquet")
+    # The table as arriving files, taken in several micro-batches.
+    v.t.orders.repartition(STREAM_FILES).write.parquet(f"{base}/in")
+    return si.ingest(spark, f"{base}/in", v.t.orders.schema, to_patents, f"{base}/out", f"{base}/ckpt",
+                     max_files_per_trigger=STREAM_FILES // 2)
 
 
 @query("stream_dedup")
 def _std(v):
     """Line items streamed in, linked to orders, de-duplicated to distinct triples."""
-    spark, sf = v.spark, v.t.sf_dir
+    spark = v.spark
     orders = v.t.orders.select("o_orderkey", "o_custkey")
 
     def to_links(items):
@@ -523,5 +528,6 @@ def _std(v):
                         F.col("l_suppkey").cast("string").alias("company_id"))
 
     base = si.scratch_path(spark, "stream_dedup")
-    return si.ingest(spark, sf, v.t.lineitem.schema, to_links, f"{base}/out", f"{base}/ckpt",
-                     glob="lineitem.parquet", dedup_keys=["patent_id", "inventor_id", "company_id"])
+    v.t.lineitem.repartition(STREAM_FILES).write.parquet(f"{base}/in")
+    return si.ingest(spark, f"{base}/in", v.t.lineitem.schema, to_links, f"{base}/out", f"{base}/ckpt",
+                     max_files_per_trigger=STREAM_FILES // 2, dedup_keys=["patent_id", "inventor_id", "company_id"])

@@ -34,6 +34,9 @@ def build_session(master: str | None = None, cores: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Streaming state on disk: it may outgrow an executor's heap.
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         # Checkpoint files of DataFrames that are no longer referenced are removed.
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )

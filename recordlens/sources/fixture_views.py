@@ -37,6 +37,13 @@ def _date10(c: str) -> Column:
     return F.substring(F.col(c).cast("string"), 1, 10)
 
 
+def _odd_dates(key: Column, date: str) -> Column:
+    """ISO dates, some with a time after them and some with other text."""
+    day = _date10(date)
+    return (F.when(key % 43 == 0, F.concat(day, F.lit("garbage"))).when(key % 47 == 0, F.concat(day, F.lit("T08:30:00")))
+            .when(key % 53 == 0, F.concat(day, F.lit("T99"))).when(key % 59 == 0, F.concat(day, F.lit(" 23:15"))).otherwise(day))
+
+
 class FixtureViews:
     """All fixture views of one scale-factor directory, built lazily."""
 
@@ -60,7 +67,7 @@ class FixtureViews:
         li, part = self.t.lineitem, self.t.part
         return li.join(part, part.p_partkey == li.l_partkey).select(
             _s("l_orderkey").alias("patent_id"),
-            _date10("l_shipdate").alias("patent_date"),
+            _odd_dates(F.col("l_orderkey"), "l_shipdate").alias("patent_date"),
             F.col("p_name").alias("title"),
             F.when(F.col("l_returnflag") == "A", "B1").when(F.col("l_returnflag") == "N", "B2")
             .otherwise("").alias("wipo_kind"),
@@ -196,8 +203,13 @@ class FixtureViews:
             F.when(ok % 10 == 0, F.concat(F.lit(" "), _s(ok))).otherwise(_s(ok)).alias("patent_id"),
             F.when(ok % 9 == 0, F.lit("  ")).otherwise(F.col("o_orderpriority")).alias("title"),
             F.col("text").alias("abstract"),
-            F.when(ok % 17 == 0, F.lit("not-a-date")).otherwise(_date10("o_orderdate"))
-            .alias("filing_date"),
+            F.when(ok % 17 == 0, F.lit("not-a-date"))
+            .when(ok % 23 == 0, F.date_format("o_orderdate", "M/d/yyyy"))
+            .when(ok % 29 == 0, F.date_format("o_orderdate", "yyyy/MM/dd"))
+            .when(ok % 31 == 0, F.date_format("o_orderdate", "yyyyMMdd"))
+            .when(ok % 37 == 0, F.date_format("o_orderdate", "MMMM d, yyyy"))
+            .when(ok % 41 == 0, F.upper(F.date_format("o_orderdate", "d MMM yyyy")))
+            .otherwise(_odd_dates(ok, "o_orderdate")).alias("filing_date"),
             F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("string"))
             .otherwise(F.col("o_orderstatus")).alias("classification"),
             _s("c_custkey").alias("inventor_id"),
@@ -218,19 +230,31 @@ class FixtureViews:
             F.col("country").alias("inventor_country"), F.col("assignee_id").alias("organization_id"),
             F.col("company_name").alias("assigneeName"), F.lit("x").alias("Notes"))
 
+    @cached_property
+    def link_pages(self) -> DataFrame:
+        """The pages with links to archives added: odd paths, queries, names that only look like archives."""
+        pid = F.col("page_id")
+        extra = F.format_string(
+            '<a href="https://files.example.org/data set/p%1$s.zip">a</a> <a href=\'/odd|path/{x}/P%1$s.ZIP?sig=1\'>b</a>'
+            ' <a href="/docs/p%1$s.zip.html">c</a> <a href="rel/p%1$s.zip#top">d</a> <a href="https://p%1$s.zip">e</a>', _s(pid))
+        return self.t.pages.select("page_id", "url", F.when(pid % 3 == 0, F.concat("html", extra)).otherwise(F.col("html")).alias("html"))
+
     @cached_property
     def manifests(self) -> DataFrame:
-        """One JSON file manifest per page (both key spellings, mixed file types)."""
+        """One JSON file manifest per page (both key spellings, empty lists, zero sizes, mixed file types)."""
         pid = F.col("page_id")
         ext = F.when(pid % 3 == 0, ".zip").when(pid % 3 == 1, ".ZIP").otherwise(".html")
         name = F.concat(F.lit("page_"), _s(pid), ext)
         uri = F.when(pid % 2 == 0, F.col("url")).otherwise(F.concat(F.lit("/files/"), _s(pid)))
-        size = _s(F.length("html"))
+        size = F.when(pid % 5 == 0, "0").when(pid % 7 == 0, "").otherwise(_s(F.length("html")))
+        before = F.when(pid % 8 == 0, '"bulkDataProductBags":[],').otherwise("")
+        empty = F.when(pid % 3 == 0, F.concat(F.lit('"'), F.when(pid % 4 == 0, "productFileBag").otherwise("bulkDataFileBag"),
+                                              F.lit('":{"fileDataBag":[]},'))).otherwise("")
         products = F.when(pid % 4 == 0, "bulkDataProductBag").otherwise("bulkDataProductBags")
         bag = F.when(pid % 4 == 0, "bulkDataFileBag").otherwise("productFileBag")
         doc = F.format_string(
-            '{"%s":[{"%s":{"fileDataBag":[{"fileName":"%s","fileDownloadURI":"%s","fileSize":"%s"}]}}]}',
-            products, bag, name, uri, size)
+            '{%s"%s":[{%s"%s":{"fileDataBag":[{"fileName":"%s","fileDownloadURI":"%s","fileSize":"%s"}]}}]}',
+            before, products, empty, bag, name, uri, size)
         return self.t.pages.select("page_id", doc.alias("manifest"))
 
     # -- the clean star model as tables ------------------------------------------
@@ -272,13 +296,6 @@ class FixtureViews:
         return {"patents": self.patents, "inventors": self.inventors,
                 "companies": self.companies, "relationships": self.relationships}
 
-    def register_views(self) -> None:
-        names = ["raw_country", "patents_raw", "abstracts_raw", "inventors_raw", "locations_raw",
-                 "locations_nd_raw", "persistent_assignee_raw", "assignee_names_raw", "patents",
-                 "inventors", "companies", "relationships", "extracted_records"]
-        for name in names:
-            getattr(self, name).createOrReplaceTempView(name)
-
 
 _CACHE: dict[tuple[str, str], FixtureViews] = {}
 

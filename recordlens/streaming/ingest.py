@@ -3,8 +3,8 @@
 The original loop read a large file in fixed-size chunks, transformed each
 chunk and appended it, committing every 50,000 rows and rebuilding from
 scratch on restart.  Here the same job is a Structured Streaming query over
-a file directory: each micro-batch takes at most ``max_files_per_trigger``
-new files, applies the (stateless) transform and appends to a Parquet sink.
+a file directory: each micro-batch takes the new files (at most
+``max_files_per_trigger``, if the caller sets it), applies the (stateless) transform and appends to a Parquet sink.
 The checkpoint records which files were committed, so a restart resumes
 where it stopped and a rerun over unchanged input adds nothing.
 ``trigger(availableNow=True)`` processes everything present, then stops.
@@ -60,7 +60,7 @@ def run_to_parquet(stream: DataFrame, sink_path: str, checkpoint_path: str,
 
 def ingest(spark: SparkSession, source_dir: str, schema: T.StructType,
            transform: Callable[[DataFrame], DataFrame], sink_path: str, checkpoint_path: str,
-           fmt: str = "parquet", glob: str | None = None, max_files_per_trigger: int | None = 1,
+           fmt: str = "parquet", glob: str | None = None, max_files_per_trigger: int | None = None,
            dedup_keys: list[str] | None = None, options: dict | None = None) -> DataFrame:
     """Stream files -> transform -> (optional global dedup) -> Parquet; return the sink.
 

@@ -42,3 +42,35 @@ def test_json_props(spark):
     df = spark.createDataFrame([(1, '{"k": 5, "s": "x"}'), (2, '{"k": "bad"}'), (3, "nope")], "id long, p string")
     got = {r.id: (r.k, r.s) for r in json_props(df, "p", {"k": "int", "s": "string"}, keep=("id",)).collect()}
     assert got == {1: (5, "x"), 2: (None, None), 3: (None, None)}
+
+
+def test_archive_links_with_odd_paths(spark):
+    links = ["https://h/a b/x.zip", "https://h/a|b/{c}.ZIP?x=1", "https://h/x.zip#top", "https://h/x.zip.html", "https://x.zip", "https://h/q?f=x.zip", "/x.zip"]
+    got = [r.link for r in page_archives(spark.createDataFrame([(x,) for x in links], "link string")).collect()]
+    assert got == [links[0], links[1], links[2], links[6]]
+
+
+def test_simple_links_resolve_like_urljoin(spark):
+    import html
+    from urllib.parse import urljoin
+    bases = ["https://host.example.com/dir/index.html?q=1", "http://h", "https://h/a/b/#x"]
+    hrefs = ["/a/b.zip", "/a/../b", "/a/./b", "//other/x", "rel", "rel/x?y#z", "https://o/x", "https://o", "https://o/?", "https://o/a#", "/p?", "/p;", "/p?a;b", "#f",
+             "?q=2", "mailto:x@y", "/a&amp;b", "https://o/a/../b", " /sp ", "/x y|{z}", "HTTP://O/x", "/..", "/a/.."]
+    pages = [(i * 100 + k, b, f'<a href="{h}">') for i, b in enumerate(bases) for k, h in enumerate(hrefs)]
+    got = {r.page_id: r.link for r in page_links(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i, b in enumerate(bases):
+        for k, h in enumerate(hrefs):
+            assert got[i * 100 + k] == urljoin(b, html.unescape(h.strip())), (b, h)
+
+
+def test_manifest_empty_lists_and_zero_size(spark):
+    doc = ('{"bulkDataProductBags":[],"bulkDataProductBag":[{"bulkDataFileBag":{"fileDataBag":[]},"productFileBag":{"fileDataBag":['
+           '{"fileName":"a.zip","fileDownloadURI":"/a.zip","fileSize":"0"}]}}]}')
+    got = manifest_files(spark.createDataFrame([(doc,)], "doc string"), "doc", "https://b").collect()
+    assert [tuple(r) for r in got] == [("a.zip", "https://b/a.zip", 0)]
+
+
+def test_page_links_plan_has_one_python_step(spark):
+    pages = spark.createDataFrame([(1, "https://h/x", HTML)], "page_id long, url string, html string")
+    plan = page_links(pages)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

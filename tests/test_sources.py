@@ -1,6 +1,8 @@
 import os
 
-from recordlens.sources.delimited import (detect_separator, list_raw_files, read_delimited,
+import pytest
+
+from recordlens.sources.delimited import (cells_span_lines, detect_separator, list_raw_files, read_delimited,
                                           read_header, read_json_report, read_or_empty)
 from tests.conftest import write_text
 
@@ -39,10 +41,41 @@ def test_header_and_separator(spark, tmpdir_fresh):
     assert read_header(spark, p) == ["patent id", "patenttitle"]
 
 
-def test_row_limit(spark, tmpdir_fresh):
-    p = write_text(os.path.join(tmpdir_fresh, "g.tsv"), RAGGED)
-    assert len(read_delimited(spark, p, row_limit=2).collect()) == 2
-    assert len(read_delimited(spark, p, row_limit=-5).collect()) == 0
+QUOTED = [("1", 'A "smart" device'), ("2", "tab\there"), ("3", "line\nbreak"), ("4", "path C:\\"), ("5", 'two""'), ("6", "plain"), ("7", '"')]
+
+
+def test_quoted_cells_equal_pandas(spark, tmpdir_fresh):
+    import pandas as pd
+    for name, rows in (("all.tsv", QUOTED), ("lines.tsv", [r for r in QUOTED if "\n" not in r[1]])):
+        path = os.path.join(tmpdir_fresh, name)
+        pd.DataFrame(rows, columns=["id", "title"]).to_csv(path, sep="\t", index=False)
+        want = sorted(map(tuple, pd.read_csv(path, sep="\t", dtype=str).values.tolist()))
+        assert want == sorted(rows)
+        assert cells_span_lines(spark, [path]) == (name == "all.tsv")
+        for multiline in (None, True) if name == "all.tsv" else (None, True, False):
+            assert sorted(map(tuple, read_delimited(spark, path, multiline=multiline).collect())) == want
+
+
+def test_files_without_line_breaks_are_split(spark, tmpdir_fresh):
+    path = write_text(os.path.join(tmpdir_fresh, "big.tsv"), "id\ttitle\n" + "".join(f'{i}\t"a ""b"" {i}"\n' for i in range(20000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        df = read_delimited(spark, path)
+        assert df.rdd.getNumPartitions() > 3 and df.where("title like 'a \"b\" %'").count() == 20000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_unreadable_input_raises(spark, tmpdir_fresh):
+    from recordlens import pipeline
+    os.makedirs(os.path.join(tmpdir_fresh, "t.parquet"))
+    write_text(os.path.join(tmpdir_fresh, "t.parquet", "part-0.parquet"), "not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        read_or_empty(spark, os.path.join(tmpdir_fresh, "t.parquet"), fmt="parquet").count()
+    with pytest.raises(FileNotFoundError):
+        pipeline.build_clean_tables(spark, os.path.join(tmpdir_fresh, "nothing"))
+    assert pipeline.build_clean_tables(spark, os.path.join(tmpdir_fresh, "nothing"), sample=True)["patents"].count() == 3
 
 
 def test_list_files_and_missing(spark, tmpdir_fresh):

@@ -37,3 +37,13 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmpdir_fresh):
     again = ingest(spark, src, schema, upper, sink, ckpt, max_files_per_trigger=1,
                    dedup_keys=["patent_id", "inventor_id"])
     assert again.count() == n
+
+
+def test_several_micro_batches_dedup_across_files(spark, tmpdir_fresh):
+    src = os.path.join(tmpdir_fresh, "many")
+    spark.range(1000).selectExpr("id % 100 as k", "'x' as v").repartition(8).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    ckpt = os.path.join(tmpdir_fresh, "many_ckpt")
+    out = ingest(spark, src, schema, lambda df: df, os.path.join(tmpdir_fresh, "many_out"), ckpt, max_files_per_trigger=2, dedup_keys=["k"])
+    assert out.count() == 100
+    assert len([f for f in os.listdir(os.path.join(ckpt, "commits")) if f.isdigit()]) >= 4

@@ -50,14 +50,14 @@ def test_location_country_with_repeated_ids(spark):
 def test_worked_sample(spark):
     t = pipeline.sample_tables(spark)
     q1 = {r.inventor_id: r.patent_count for r in an.q1_top_inventors(t["relationships"], t["inventors"]).collect()}
-    assert q1 == {"INV001": 2, "INV002": 1, "INV003": 1}
+    assert q1 == {"I1": 2, "I2": 2}
     q2 = {r.company_id: r.patent_count for r in an.q2_top_companies(t["relationships"], t["companies"]).collect()}
-    assert q2 == {"CMP001": 2, "CMP002": 1, "CMP003": 1}
+    assert q2 == {"C1": 1, "C2": 2}
     q6 = {r.country: (r.patent_count, r.patent_share_pct)
           for r in an.q6_country_share_cte(t["relationships"], t["inventors"]).collect()}
-    assert q6 == {"US": (2, 50.0), "JP": (1, 25.0), "BR": (1, 25.0)}
+    assert q6 == {"GB": (2, 66.67), "DE": (2, 66.67)}
     q4 = sorted(tuple(r) for r in an.q4_patents_per_year(t["patents"]).collect())
-    assert q4 == [(2018, 1), (2019, 1), (2020, 1), (2021, 1)]
+    assert q4 == [(2015, 1), (2016, 2)]
 
 
 def test_legacy_load_dedup_replay(spark):
@@ -131,8 +131,33 @@ def test_pipeline_missing_optional_inputs(spark, tmpdir_fresh):
 
 
 def test_pipeline_sample_fallback(spark, tmpdir_fresh):
-    t = pipeline.build_clean_tables(spark, os.path.join(tmpdir_fresh, "empty"))
-    assert t["patents"].count() == 4 and t["relationships"].count() == 4
+    t = pipeline.build_clean_tables(spark, os.path.join(tmpdir_fresh, "empty"), sample=True)
+    assert t["patents"].count() == 3 and t["relationships"].count() == 4
+
+
+def test_enrichment_follows_the_chosen_assignee(spark, tmpdir_fresh):
+    raw = os.path.join(tmpdir_fresh, "raw")
+    os.makedirs(raw)
+    _write_raw(raw)
+    write_text(os.path.join(raw, "g_persistent_assignee.tsv"),
+               "patent_id\tassignee_sequence\tdisamb_assignee_id_20200331\tdisamb_assignee_id_20220929\np1\t0\told\tnew\n")
+    write_text(os.path.join(raw, "g_assignee_disambiguated.tsv"),
+               "patent_id\tassignee_sequence\tx_disambig_assignee_id\tmy_organization\np1\t0\tz\tAcme\n")
+    for latest, company in ((False, "old"), (True, "new")):
+        staged = pipeline.build_staging(spark, raw, latest_assignee=latest, staging_dir=os.path.join(tmpdir_fresh, f"stg{latest}"))
+        companies = pipeline.clean_tables_from_staging(staged)["companies"]
+        got = pipeline.enrich_companies(staged, companies)
+        assert [tuple(r) for r in got.collect()] == [(company, "Acme")]
+
+
+def test_name_columns():
+    import pytest
+    from recordlens.operators.enrich import name_columns
+    assert name_columns(["a", "assignee_id", "disambig_assignee_organization"]) == ("assignee_id", "disambig_assignee_organization")
+    assert name_columns(["x_disambig_assignee_id", "raw_organization"]) == ("x_disambig_assignee_id", "raw_organization")
+    assert name_columns(["assignee_id", "raw_assignee_name_last"]) == ("assignee_id", "raw_assignee_name_last")
+    with pytest.raises(ValueError):
+        name_columns(["assignee_id", "country"])
 
 
 def test_flat_path_from_files(spark, tmpdir_fresh):
@@ -172,11 +197,11 @@ def test_generate_reports(spark, tmpdir_fresh):
     t = pipeline.sample_tables(spark)
     paths = pipeline.generate_reports(t, os.path.join(tmpdir_fresh, "reports"), os.path.join(tmpdir_fresh, "exports"))
     doc = json.loads("".join(open(f).read() for f in glob.glob(os.path.join(paths["summary_report"], "part-*"))))
-    assert doc["total_patents"] == 4
-    assert [r["inventor_id"] for r in doc["top_inventors"]] == ["INV001", "INV002", "INV003"]
-    assert [r["country"] for r in doc["top_countries"]] == ["US", "BR", "JP"]
+    assert doc["total_patents"] == 3
+    assert [r["inventor_id"] for r in doc["top_inventors"]] == ["I1", "I2"]
+    assert [r["country"] for r in doc["top_countries"]] == ["DE", "GB"]
     q6 = "".join(open(f).read() for f in glob.glob(os.path.join(paths["q6_country_share_cte"], "part-*")))
-    assert "US,2,50.0" in q6
+    assert "GB,2,66.67" in q6
 
 
 def test_load_clean_tables_with_fallback(spark, tmpdir_fresh):
@@ -227,5 +252,5 @@ def test_staging_row_counts(spark, tmpdir_fresh):
     _write_raw(raw)
     counts = {}
     pipeline.build_staging(spark, raw, staging_dir=os.path.join(tmpdir_fresh, "stg"), row_counts=counts)
-    assert counts == {"patents": 2, "abstracts": 1, "inventors": 3, "locations": 2, "assignees": 2,
-                      "raw_locations": 1, "names": 1}
+    assert counts == {"patents": 2, "abstracts": 1, "inventors": 3, "locations": 2, "assignee_links": 2,
+                      "raw_locations": 1, "name_links": 1}
