@@ -30,7 +30,7 @@ class Rules:
     max_separator_percent: int = 20     # ... and their share of its words
     max_shout_percent: int = 30         # punctuation: words that end in ! or ?
     max_symbol_percent: int = 30        # punctuation: words that end in a symbol
-    long_line_words: int = 20           # such a line may stop without a full stop if it has one inside
+    long_line_words: int = 20           # punctuation: shorter lines must end like a sentence
     boilerplate_words: int = 25         # boilerplate phrases condemn lines up to this length
 
 
@@ -40,7 +40,6 @@ BOILERPLATE = ("licensed under", "all rights reserved", "terms of use", "terms o
                "click here to", "general public license", "mit license", "copyright (c)")
 
 _END = r"[.!?…。！？:;][\"'”’»)\]]*[\x20\x09-\x0D]*$"
-_INSIDE = r"[.!?…。！？](?:[\x20\x09-\x0D]|$)"
 _SEPARATOR = r"(?:^|[\x20\x09-\x0D])[|»›>•·](?:$|(?=[\x20\x09-\x0D]))"
 _SHOUT = r"[!?][\"'”’»)\]]*(?:$|(?=[\x20\x09-\x0D]))"
 _SYMBOL = r"[#*$%&|<>][.,;:!?]*(?:$|(?=[\x20\x09-\x0D]))"
@@ -74,7 +73,7 @@ def line_passes(line: Column, rules: Rules) -> Column:
             found = found | low.contains(p)
         return found
 
-    stops = line.endswith(".") | line.rlike(_END) | (line.rlike(_INSIDE) & (n >= rules.long_line_words))
+    stops = line.endswith(".") | line.rlike(_END) | (n >= rules.long_line_words)
     return (stops
             & within("!?", _SHOUT, rules.max_shout_percent)
             & within("#*$%&|<>", _SYMBOL, rules.max_symbol_percent)
