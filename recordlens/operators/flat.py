@@ -141,9 +141,12 @@ def clean_metrics(records: DataFrame) -> DataFrame:
     """Stage statistics as one row: input, duplicates removed, dropped, output.
 
     One shuffle: group identical raw rows (count the copies and evaluate the
-    keep condition once per distinct row), then sum over the groups.
+    keep condition once per distinct row), then sum over the groups.  Texts
+    that the keep condition does not read are grouped by their 256-bit hash,
+    so no text is shuffled.
     """
     snake = snake_columns(records)
+    snake = snake.select(*[F.sha2(c, 256).alias(c) if c in TEXT_COLUMNS and c not in REQUIRED else F.col(c) for c in snake.columns])
     groups = snake.groupBy(*snake.columns).agg(F.count(F.lit(1)).alias("_copies"))
     flagged = _prepare(groups)
     flagged = flagged.withColumn("_keep", _clean_keep_condition(flagged).cast("long"))
