@@ -24,36 +24,23 @@ def _numeric(df: DataFrame, value_col: str) -> DataFrame:
 
 
 def add_cumulative_share(frame: DataFrame, value_col: str, label_col: str,
-                         tiebreak: list[str] | None = None, distributed: bool = False) -> DataFrame:
+                         tiebreak: list[str] | None = None) -> DataFrame:
     """Pareto table: share_pct, cum_share_pct (sum of rounded shares), rank.
 
     Order: value descending, then label ascending (nulls first), then
     ``tiebreak`` columns.  A total <= 0 gives zero shares (rank still set).
-    ``distributed=True`` computes the running sum without a single-task
-    window (for entity-sized frames); the default single window suits the
-    grouped or top-n frames the dashboard feeds in.
+    The running sum is computed over range partitions: no frame, however
+    large, passes through one task.
     """
-    df = _numeric(frame, value_col)
     order = [(value_col, False), (label_col, True)] + [(c, True) for c in (tiebreak or [])]
-    if distributed:
-        # Entity-sized input: freeze it once so the total and the running sum
-        # read the same rows without recomputing the upstream aggregation.
-        df = materialize(df)
-        total = df.agg(F.sum(value_col).cast("double").alias("_total"))
-        df = df.crossJoin(F.broadcast(total))  # one row: proven size
-    else:
-        df = df.withColumn("_total", F.sum(value_col).over(Window.partitionBy()).cast("double"))
+    # Frozen once, so that the total and the running sum read the same rows
+    # without recomputing the upstream aggregation.
+    df = materialize(_numeric(frame, value_col))
+    total = df.agg(F.sum(value_col).cast("double").alias("_total"))
+    df = df.crossJoin(F.broadcast(total))  # one row: proven size
     share = F.when(F.col("_total") > 0,
                    F.bround(F.col(value_col) / F.col("_total") * 100, 2)).otherwise(F.lit(0.0))
-    df = df.withColumn("share_pct", share)
-    if distributed:
-        out = global_running_sum(df, order, "share_pct", "_cum", "rank")
-    else:
-        w = Window.orderBy(*[F.col(c).desc_nulls_last() if not asc else F.col(c).asc_nulls_first()
-                             for c, asc in order])
-        out = (df.withColumn("_cum", F.sum("share_pct").over(
-                   w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-               .withColumn("rank", F.row_number().over(w)))
+    out = global_running_sum(df.withColumn("share_pct", share), order, "share_pct", "_cum", "rank")
     cum = F.when(F.col("_total") > 0, F.bround(F.col("_cum"), 2)).otherwise(F.lit(0.0))
     keep = [c for c in frame.columns if c not in ("share_pct", "cum_share_pct", "rank")]
     return out.select(*keep, "share_pct", cum.alias("cum_share_pct"), "rank")

@@ -80,7 +80,10 @@ def clean_relationships(inventors_stg: DataFrame, assignees_stg: DataFrame) -> D
     """Distinct (patent, inventor, company) triples linked through the patent.
 
     Both sides are made distinct on (patent, entity) first; the join of two
-    distinct pair sets on patent_id is already unique on the triple.
+    distinct pair sets on patent_id is already unique on the triple.  A blank
+    (not null) patent id is an id like any other here: input in which many
+    rows have it should be filtered before, as it links all of their
+    inventors with all of their companies.
     """
     inv = (inventors_stg.where(F.col("patent_id").isNotNull() & F.col("inventor_id").isNotNull())
            .select("patent_id", "inventor_id").distinct())

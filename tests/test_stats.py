@@ -40,20 +40,22 @@ def test_pareto_zero_total_keeps_rank(spark):
 def test_pareto_shares_sum_to_100(spark):
     vals = [(f"k{i}", i * 7 % 13 + 1) for i in range(40)]
     df = spark.createDataFrame(vals, "k string, n long")
-    for distributed in (False, True):
-        rows = add_cumulative_share(df, "n", "k", distributed=distributed).orderBy("rank").collect()
-        assert [r.rank for r in rows] == list(range(1, 41))
-        assert abs(rows[-1].cum_share_pct - 100.0) <= 0.01 * 40
-        cum = [r.cum_share_pct for r in rows]
-        assert cum == sorted(cum)
-
-
-def test_pareto_distributed_equals_window(spark):
-    vals = [(f"k{i % 17}", i % 5) for i in range(300)]
-    df = spark.createDataFrame(vals, "k string, n long").withColumn("id", F.monotonically_increasing_id())
-    a = add_cumulative_share(df, "n", "k", tiebreak=["id"]).collect()
-    b = add_cumulative_share(df, "n", "k", tiebreak=["id"], distributed=True).collect()
-    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    rows = add_cumulative_share(df, "n", "k").orderBy("rank").collect()
+    assert [r.rank for r in rows] == list(range(1, 41))
+    assert abs(rows[-1].cum_share_pct - 100.0) <= 0.01 * 40
+    cum = [r.cum_share_pct for r in rows]
+    assert cum == sorted(cum)
+
+
+def test_pareto_equals_a_running_sum(spark):
+    vals = [(f"k{i % 17}", i % 5, i) for i in range(300)]
+    got = add_cumulative_share(spark.createDataFrame(vals, "k string, n long, id long"), "n", "k", tiebreak=["id"]).orderBy("rank").collect()
+    total, cum = sum(n for _, n, _ in vals), 0.0
+    for place, (k, n, i) in enumerate(sorted(vals, key=lambda v: (-v[1], v[0], v[2])), 1):
+        share = round(n / total * 100, 2)
+        cum += share
+        assert (got[place - 1].id, got[place - 1].rank, got[place - 1].share_pct) == (i, place, share)
+        assert abs(got[place - 1].cum_share_pct - cum) < 0.006
 
 
 def test_two_phase_rank_equals_window(spark):
