@@ -4,6 +4,7 @@ Commands
   build   raw record files -> four clean Parquet tables (staging path)
   extract raw flat record files -> one unified CSV of mapped records
   flat    raw flat record files -> four clean Parquet tables (flat path)
+  preview raw files -> the first --max-rows rows of each, printed (nothing is written)
   report  clean tables -> q1..q7 CSV exports, top-entity CSVs, summary JSON
   all     build (+ name enrichment) then report
 """
@@ -16,6 +17,7 @@ import sys
 
 from recordlens import pipeline
 from recordlens.session import build_session
+from recordlens.sources.delimited import list_raw_files, preview_delimited
 
 
 def _tables(spark, path: str):
@@ -25,7 +27,7 @@ def _tables(spark, path: str):
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="recordlens")
-    ap.add_argument("command", choices=["build", "extract", "flat", "report", "all"])
+    ap.add_argument("command", choices=["build", "extract", "flat", "preview", "report", "all"])
     ap.add_argument("--raw-dir", default="data/raw")
     ap.add_argument("--tables-dir", default="data/processed")
     ap.add_argument("--reports-dir", default="outputs/reports")
@@ -33,6 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--master", default=None, help="'' keeps the spark-submit master")
     ap.add_argument("--legacy-na", action="store_true", help="null pandas' NA tokens in raw text")
     ap.add_argument("--latest-assignee", action="store_true", help="rightmost dated assignee id wins")
+    ap.add_argument("--max-rows", type=int, default=20, help="rows per file of preview")
     ap.add_argument("--sample", action="store_true", help="use the built-in sample when core files are missing")
     ap.add_argument("--rebuild", action="store_true", help="build the clean tables although they are there")
     args = ap.parse_args(argv)
@@ -58,6 +61,11 @@ def main(argv: list[str] | None = None) -> int:
         # Patents laid out by year: year filters prune whole directories.
         save_tables(tables, args.tables_dir, partition_by={"patents": ["year"]}, row_counts=written)
         print(json.dumps({"staging_rows": staged_rows, "rows_written": written}))
+    if args.command == "preview":
+        for path in list_raw_files(spark, args.raw_dir):
+            print(path)
+            for r in preview_delimited(spark, path, args.max_rows, legacy_na=args.legacy_na).collect():
+                print(json.dumps(r.asDict(), ensure_ascii=False))
     if args.command == "extract":
         out = pipeline.run_extraction(spark, args.raw_dir, f"{args.tables_dir.rstrip('/')}/extracted_records")
         for r in pipeline.extraction_summary(out).collect():

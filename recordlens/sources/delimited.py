@@ -107,6 +107,15 @@ def read_delimited(spark: SparkSession, path: str | list[str], sep: str | None =
     return df
 
 
+def preview_delimited(spark: SparkSession, path: str | list[str], rows: int, **kwargs) -> DataFrame:
+    """The first ``rows`` rows of a raw file (negative: none), for debugging only.
+
+    The row cap of the original loader; no build takes it, so it cannot end
+    up in the clean tables.
+    """
+    return read_delimited(spark, path, **kwargs).limit(max(int(rows), 0))
+
+
 def list_raw_files(spark: SparkSession, raw_dir: str,
                    suffixes: tuple[str, ...] = SUPPORTED_SUFFIXES) -> list[str]:
     """Sorted paths of supported raw files in a directory (metadata only)."""

@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from recordlens.sources.delimited import (cells_span_lines, detect_separator, list_raw_files, read_delimited,
+from recordlens.sources.delimited import (cells_span_lines, detect_separator, list_raw_files, preview_delimited, read_delimited,
                                           read_header, read_json_report, read_or_empty)
 from tests.conftest import write_text
 
@@ -41,6 +41,12 @@ def test_header_and_separator(spark, tmpdir_fresh):
     assert read_header(spark, p) == ["patent id", "patenttitle"]
 
 
+def test_preview_rows(spark, tmpdir_fresh):
+    p = write_text(os.path.join(tmpdir_fresh, "g.tsv"), RAGGED)
+    assert len(preview_delimited(spark, p, 2).collect()) == 2
+    assert len(preview_delimited(spark, p, -5).collect()) == 0
+
+
 QUOTED = [("1", 'A "smart" device'), ("2", "tab\there"), ("3", "line\nbreak"), ("4", "path C:\\"), ("5", 'two""'), ("6", "plain"), ("7", '"')]
 
 
