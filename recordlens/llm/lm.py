@@ -26,6 +26,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ CLASS_ROWS = 1 << 13
 WORD_ROWS = 1 << 14
 ROUNDS = 2
 STEP = 2.0
-BATCH_TOKENS = 1 << 15
+BATCH_TOKENS = 1 << 14
 LOCAL_TOKENS = 1 << 18
 END = b"\n"             # no word holds white space
 FOLDS, HELD_FOLD = 7, 2
@@ -70,18 +71,13 @@ class Model:
     def start(self) -> int:
         return CLASSES * CLASS_WORDS
 
-    def context(self, docs: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(token ids, document of each token, feature hashes) of documents that end with the end id."""
-        pad = [self.start] * 3
-        flat: list[int] = []
-        for d in docs:
-            flat += pad
-            flat += d
-        ids = np.array(flat, dtype=np.uint32)
-        size = np.fromiter(map(len, docs), np.int64, len(docs))
-        owner = np.repeat(np.arange(len(docs)), size)
+    def context(self, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(document of each token, feature hashes); ``ids`` of documents of the given sizes, end to end."""
+        owner = np.repeat(np.arange(len(size)), size)
         at = np.arange(len(owner)) + 3 * (owner + 1)
-        one, two, three = ids[at - 1], ids[at - 2], ids[at - 3]
+        padded = np.full(len(ids) + 3 * len(size), self.start, dtype=np.uint32)
+        padded[at] = ids
+        one, two, three = padded[at - 1], padded[at - 2], padded[at - 3]
         mix = np.uint32(2654435761)
         features = np.empty((4, len(at)), dtype=np.uint32)
         features[0] = (one + np.uint32(0x1000)) * mix
@@ -89,7 +85,7 @@ class Model:
         features[2] = (two + np.uint32(0x4000)) * mix
         features[3] = (three + np.uint32(0x5000)) * mix
         features ^= features >> np.uint32(15)
-        return ids[at].astype(np.int64), owner, features
+        return owner, features
 
     def rows_of(self, ids: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         cls = (ids // CLASS_WORDS).astype(np.uint32)
@@ -97,61 +93,91 @@ class Model:
         mixed = (features ^ (cls + np.uint32(1)) * np.uint32(0x9E3779B1)) * np.uint32(2246822519)
         return first, (mixed >> np.uint32(32 - 14)).astype(np.uint16)
 
-    @staticmethod
-    def _softmax(bias: np.ndarray, table: np.ndarray, rows: np.ndarray, target: np.ndarray):
-        """(probabilities, log probability of the target) of one factor."""
-        z = bias + table[rows[0]]
-        for r in rows[1:]:
-            z += table[r]
-        z -= z.max(axis=1, keepdims=True)
-        own = z[np.arange(len(z)), target].copy()
-        np.exp(z, out=z)
-        total = z.sum(axis=1)
-        z /= total[:, None]
-        return z, own - np.log(total)
+    def factors(self, ids: np.ndarray, features: np.ndarray):
+        """The two softmax factors: (table of biases, bias row of each token, weights, weight rows, target)."""
+        first, second = self.rows_of(ids, features)
+        cls = ids // CLASS_WORDS
+        return ((self.class_bias[None], np.zeros(len(ids), dtype=np.intp), self.class_rows, first, cls),
+                (self.word_bias, cls, self.word_rows, second, ids % CLASS_WORDS))
 
     def log_probability(self, ids: np.ndarray, features: np.ndarray) -> np.ndarray:
         """Natural log probability of each token."""
-        out = np.empty(len(ids))
+        out, work = np.zeros(len(ids)), Work()
         for i in range(0, len(ids), BATCH_TOKENS):
-            own, f = ids[i:i + BATCH_TOKENS], features[:, i:i + BATCH_TOKENS]
-            first, second = self.rows_of(own, f)
-            cls = own // CLASS_WORDS
-            out[i:i + BATCH_TOKENS] = (self._softmax(self.class_bias, self.class_rows, first, cls)[1]
-                                       + self._softmax(self.word_bias[cls], self.word_rows, second, own % CLASS_WORDS)[1])
+            for bias, bias_row, table, rows, target in self.factors(ids[i:i + BATCH_TOKENS], features[:, i:i + BATCH_TOKENS]):
+                z = work.logits(bias, bias_row, table, rows)
+                own = z[np.arange(len(z)), target]
+                np.exp(z, out=z)
+                out[i:i + BATCH_TOKENS] += own - np.log(z.sum(axis=1))
         return out
 
 
+class Work:
+    """Buffers of one batch, used again and again: new ones would cost more than the sums in them."""
+
+    def __init__(self):
+        width = max(CLASSES, CLASS_WORDS)
+        self.sum, self.part = np.empty((BATCH_TOKENS, width), np.float32), np.empty((BATCH_TOKENS, width), np.float32)
+
+    def logits(self, bias: np.ndarray, bias_row: np.ndarray, table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        z, part = self.sum[:len(bias_row)], self.part[:len(bias_row)]
+        bias.take(bias_row, axis=0, out=z, mode="clip")
+        for r in rows:
+            table.take(r.astype(np.intp), axis=0, out=part, mode="clip")
+            z += part
+        return np.clip(z, -60, 60, out=z)       # far beyond any trained weight: exp stays finite
+
+
+def segment_sums(values: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows; long runs one by one, single rows as they are, the others by ``reduceat``."""
+    out = values[first]
+    for i in np.flatnonzero(count > 32).tolist():
+        out[i] = values[first[i]:first[i] + count[i]].sum(axis=0)
+    some = np.flatnonzero((count > 1) & (count <= 32))
+    if len(some):
+        size = count[some]
+        start = np.cumsum(size) - size
+        rows = np.arange(int(size.sum())) + np.repeat(first[some] - start, size)
+        out[some] = np.add.reduceat(values[rows], start, axis=0)
+    return out
+
+
 class Trainer:
     """Gradient steps of one task on its own copy of the weights."""
 
     def __init__(self, model: Model):
         self.model = Model(model.vocabulary, model.other, model.class_bias, model.word_bias, model.class_rows.copy(), model.word_rows.copy())
         self.seen = [np.zeros(CLASS_ROWS), np.zeros(WORD_ROWS)]
+        self.work = Work()
 
     def _update(self, which: int, table: np.ndarray, rows: np.ndarray, error: np.ndarray) -> None:
+        sorted_error = self.work.part[:len(error)]
         for r in rows:
             order = np.argsort(r, kind="stable")
             sorted_rows = r[order]
             first = np.flatnonzero(np.append(True, sorted_rows[1:] != sorted_rows[:-1]))
             own, count = sorted_rows[first], np.diff(np.append(first, len(r)))
-            total = np.add.reduceat(error[order], first, axis=0)
+            error.take(order, axis=0, out=sorted_error, mode="clip")
+            total = segment_sums(sorted_error, first, count)
             self.seen[which][own] += count
             table[own] -= (STEP / len(rows) / (self.seen[which][own] + 30)).astype(np.float32)[:, None] * total
 
     def learn(self, ids: np.ndarray, features: np.ndarray) -> None:
-        m = self.model
         for i in range(0, len(ids), BATCH_TOKENS):
-            own, f = ids[i:i + BATCH_TOKENS], features[:, i:i + BATCH_TOKENS]
-            first, second = m.rows_of(own, f)
-            cls, word = own // CLASS_WORDS, own % CLASS_WORDS
-            for which, (bias, table, rows, target) in enumerate(((m.class_bias, m.class_rows, first, cls),
-                                                                 (m.word_bias[cls], m.word_rows, second, word))):
-                p, _ = m._softmax(bias, table, rows, target)
+            for which, (bias, bias_row, table, rows, target) in enumerate(self.model.factors(ids[i:i + BATCH_TOKENS], features[:, i:i + BATCH_TOKENS])):
+                p = self.work.logits(bias, bias_row, table, rows)
+                np.exp(p, out=p)
+                p *= (1 / p.sum(axis=1))[:, None]
                 p[np.arange(len(p)), target] -= 1
                 self._update(which, table, rows, p)
 
 
+def places(tokens: list[list[bytes]], number: dict[bytes, int], missing: int) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of all tokens end to end, tokens of each document)."""
+    size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    return np.fromiter(map(number.get, chain.from_iterable(tokens), repeat(missing)), np.int64, int(size.sum())), size
+
+
 def count_tokens(rows: DataFrame) -> DataFrame:
     """(token, n) over the training rows; tokens are summed in each task before the shuffle."""
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,14 +244,14 @@ def train(rows: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
     def one(turn: int, shared):
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base: Model = shared.value
-            task, get, other, end = Trainer(base), base.vocabulary.get, base.other, base.vocabulary[END]
+            task = Trainer(base)
             used = False
             for b in batches(parts):
-                docs = [[get(w, other) for w in words(text)] + [end] for doc_id, text in zip(b.column(0).to_pylist(), utf8(b.column(1)))
+                docs = [[*words(text), END] for doc_id, text in zip(b.column(0).to_pylist(), utf8(b.column(1)))
                         if not held_out(doc_id) and zlib.crc32(f"{doc_id}/turn".encode()) % rounds == turn]
                 for k in range(0, len(docs), 250):
-                    ids, _, features = task.model.context(docs[k:k + 250])
-                    task.learn(ids, features)
+                    ids, size = places(docs[k:k + 250], base.vocabulary, base.other)
+                    task.learn(ids, task.model.context(ids, size)[1])
                     used = True
             if used:
                 changed = np.vstack([task.model.class_rows - base.class_rows, task.model.word_rows - base.word_rows])
@@ -280,17 +306,23 @@ def score(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
             out = []
             ids, texts = b.column(0).to_pylist(), utf8(b.column(1))
             for k in range(0, len(ids), 250):
-                tokens = [words(t) + [END] for t in texts[k:k + 250]]
-                places = [np.fromiter((place.get(w, missing) for w in t), np.int64, len(t)) for t in tokens]
-                known_ids = [model_id[p].tolist()[:-1] + [end] for p in places]
-                own, doc, features = m.context(known_ids)
-                log = np.bincount(doc, m.log_probability(own, features), len(tokens)) / ln10
-                for j, (t, p, w) in enumerate(zip(tokens, places, known_ids)):
-                    far = p == missing
-                    rest = Counter(t[x] for x in np.flatnonzero(far).tolist())
-                    others = np.array(w) == m.other
-                    out.append((row, ids[k + j], held_out(ids[k + j]), len(t), int((~far).sum()), float(log_count[p].sum()),
-                                float(log[j]) + float(log_count[p[others]].sum()), int(others.sum()), list(rest.keys()), list(rest.values())))
+                tokens = [[*words(t), END] for t in texts[k:k + 250]]
+                at, size = places(tokens, place, missing)
+                last = np.cumsum(size)
+                own = model_id[at]
+                own[last - 1] = end
+                doc, features = m.context(own, size)
+                far, others = at == missing, own == m.other
+                per = lambda weights: np.bincount(doc, weights, len(tokens))
+                log = per(m.log_probability(own, features)) / ln10 + per(log_count[at] * others)
+                near, count, n_others = per(~far), per(log_count[at]), per(others)
+                beyond = np.flatnonzero(far)
+                split = np.searchsorted(beyond, last - size)
+                for j, t in enumerate(tokens):
+                    mine = beyond[split[j]:split[j + 1] if j + 1 < len(tokens) else len(beyond)] - (last[j] - size[j])
+                    rest = Counter([t[x] for x in mine.tolist()])
+                    out.append((row, ids[k + j], held_out(ids[k + j]), len(t), int(near[j]), float(count[j]), float(log[j]), int(n_others[j]),
+                                list(rest.keys()), list(rest.values())))
                     row += 1
             cols = list(zip(*out))
             yield pa.RecordBatch.from_arrays(

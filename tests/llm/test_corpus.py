@@ -249,7 +249,7 @@ def test_lm_is_a_distribution():
     model.class_rows += rng.normal(size=model.class_rows.shape).astype(np.float32)
     model.word_rows += rng.normal(size=model.word_rows.shape).astype(np.float32)
     size = lm.CLASSES * lm.CLASS_WORDS
-    ids, _, features = model.context([[k, 5, 7, j] for k, j in ((3, 0), (400, 2))])
+    _, features = model.context(np.array([3, 5, 7, 0, 400, 5, 7, 2]), np.array([4, 4]))
     for at in (2, 3, 7):
         every = np.arange(size)
         p = np.exp(model.log_probability(every, np.repeat(features[:, at:at + 1], size, axis=1)))
