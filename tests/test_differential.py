@@ -34,7 +34,9 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    """All record operators; of the training-data operators only what SQL can express."""
+    from recordlens.registry import load_all
+    assert set(load_all()) <= set(ORACLE) <= set(QUERIES)
 
 
 def test_entry_runs(spark):
@@ -47,7 +49,7 @@ SPARK_TO_DUCK = {"StringType": "VARCHAR", "LongType": "BIGINT", "IntegerType": "
                  "DoubleType": "DOUBLE", "BooleanType": "BOOLEAN", "DateType": "DATE"}
 
 
-@pytest.mark.parametrize("key", sorted(QUERIES))
+@pytest.mark.parametrize("key", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, key):
     df = QUERIES[key](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
