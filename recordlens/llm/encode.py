@@ -14,7 +14,7 @@ import struct
 import numpy as np
 
 #: Pieces kept per worker; the cache starts anew when it is full.
-CACHE_PIECES = 700_000
+CACHE_PIECES = 900_000
 
 #: A piece of letters may end in one of these; the pre-tokenizer cuts before it.
 _TAIL = frozenset(".,!?;:")
