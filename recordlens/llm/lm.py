@@ -1,10 +1,17 @@
 """Language-model scoring: a hashed maximum-entropy model with class-factored softmax.
 
-P(word | context) = P(class | context) * P(word | class, context).  Both factors
-are log-linear in hashed features of the context: the previous word, the previous
-two, and the words two and three back alone (skips).  The vocabulary is the most
-frequent ``CLASSES * CLASS_WORDS`` tokens with one entry for all others; among the
-others a word has its add-one share of their count.
+P(word | context) = P(class | context) * P(word | class, context), where a class of
+more than ``CLASS_WORDS`` words is factored into classes again, so that a factor never
+has more than ``CLASSES`` outcomes.  All factors are log-linear in hashed features of
+the context: the previous word, the previous two, and the words two and three back
+alone (skips).
+
+The model follows the input.  Its vocabulary is every token that the training texts
+hold at least twice, in order of count (frequent words lie higher in the tree of
+classes), with one entry for all others; a token seen once stands for the unseen ones
+there, and among the others a word has its add-one share of their count.  The weight
+rows grow with the training tokens.  Two bounds keep a task's memory: ``LOCAL_TOKENS``
+of the vocabulary and ``MODEL_BYTES`` of the weights.
 
 Training is distributed: in each round every task starts from the shared weights,
 takes gradient steps over its own documents and returns the change of each weight
@@ -25,7 +32,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import chain, repeat
 
 import numpy as np
@@ -38,8 +45,11 @@ from recordlens.llm.common import batches, bounded_batches, stage, utf8
 
 CLASSES = 32
 CLASS_WORDS = 32
-CLASS_ROWS = 1 << 13
-WORD_ROWS = 1 << 14
+LEAST_ROWS = 1 << 13    # of the first factor; the others share twice as many
+ROW_TOKENS = 512        # training tokens for each row of the first factor
+MODEL_BYTES = 48 << 20
+BLOCK_ROWS = 1 << 8     # rows whose changes travel together
+CHANGES = "block bigint, task bigint, rows binary, seen binary, change binary"
 ROUNDS = 2
 STEP = 2.0
 BATCH_TOKENS = 1 << 14
@@ -56,20 +66,60 @@ def words(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
+def class_depths(size: int) -> list[int]:
+    """Levels below each of the first ``CLASSES`` classes, for at least ``size`` words; the first classes stay flat."""
+    most = 1
+    while True:
+        depths, left = [], CLASSES
+        for d in range(1, most + 1):
+            own = left if d == most else left // 2
+            depths += [d] * own
+            left -= own
+        if sum(CLASS_WORDS ** d for d in depths) >= size:
+            return depths
+        most += 1
+
+
+def class_paths(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """By level and word place: class that is left (0 is the root, -1 the word is reached), branch that is taken."""
+    depths = np.array(class_depths(size))
+    sizes = CLASS_WORDS ** depths
+    child = np.repeat(np.arange(CLASSES), sizes)
+    place, depth = np.arange(len(child)) - (np.cumsum(sizes) - sizes)[child], depths[child]
+    inner = np.array([sum(CLASS_WORDS ** j for j in range(d)) for d in depths])
+    start = (1 + np.cumsum(inner) - inner)[child]
+    node, branch = [np.zeros(len(child), np.int32)], [child.astype(np.uint8)]
+    for level in range(1, int(depths.max()) + 1):
+        below = CLASS_WORDS ** np.maximum(depth - level, 0)
+        above = sum(CLASS_WORDS ** j for j in range(level - 1))
+        node.append(np.where(depth >= level, start + above + place // below // CLASS_WORDS, -1).astype(np.int32))
+        branch.append((place // below % CLASS_WORDS).astype(np.uint8))
+    return np.array(node), np.array(branch)
+
+
+def row_counts(train_tokens: int, model_bytes: int = MODEL_BYTES) -> tuple[int, int]:
+    """Weight rows (powers of two) of the first factor and of all others."""
+    wanted = max(LEAST_ROWS, train_tokens // ROW_TOKENS)
+    most = max(model_bytes // (3 * 4 * max(CLASSES, CLASS_WORDS)), 1)
+    first = min(1 << (wanted - 1).bit_length(), 1 << (most.bit_length() - 1))
+    return first, 2 * first
+
+
 @dataclass
 class Model:
-    """``vocabulary`` maps the known tokens to ids; id // CLASS_WORDS is the class."""
+    """``vocabulary`` maps the known tokens to ids; ``node`` and ``branch`` are the paths of all ids."""
 
     vocabulary: dict[bytes, int]
     other: int
-    class_bias: np.ndarray
-    word_bias: np.ndarray
+    node: np.ndarray
+    branch: np.ndarray
+    bias: np.ndarray
     class_rows: np.ndarray
     word_rows: np.ndarray
 
     @property
     def start(self) -> int:
-        return CLASSES * CLASS_WORDS
+        return self.node.shape[1]
 
     def context(self, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(document of each token, feature hashes); ``ids`` of documents of the given sizes, end to end."""
@@ -80,35 +130,36 @@ class Model:
         one, two, three = padded[at - 1], padded[at - 2], padded[at - 3]
         mix = np.uint32(2654435761)
         features = np.empty((4, len(at)), dtype=np.uint32)
-        features[0] = (one + np.uint32(0x1000)) * mix
-        features[1] = ((one + np.uint32(0x2000)) * mix ^ (two + np.uint32(0x3000)) * np.uint32(2246822519)) * np.uint32(3266489917)
-        features[2] = (two + np.uint32(0x4000)) * mix
-        features[3] = (three + np.uint32(0x5000)) * mix
+        features[0] = one * mix ^ np.uint32(0x1B873593)
+        features[1] = (one * mix ^ (two + np.uint32(1)) * np.uint32(2246822519)) * np.uint32(3266489917) ^ np.uint32(0x2545F491)
+        features[2] = (two + np.uint32(1)) * np.uint32(668265263) ^ np.uint32(0x38B34AE5)
+        features[3] = (three + np.uint32(1)) * np.uint32(374761393) ^ np.uint32(0x4F1BBCDC)
         features ^= features >> np.uint32(15)
         return owner, features
 
-    def rows_of(self, ids: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        cls = (ids // CLASS_WORDS).astype(np.uint32)
-        first = (features & np.uint32(CLASS_ROWS - 1)).astype(np.uint16)
-        mixed = (features ^ (cls + np.uint32(1)) * np.uint32(0x9E3779B1)) * np.uint32(2246822519)
-        return first, (mixed >> np.uint32(32 - 14)).astype(np.uint16)
-
     def factors(self, ids: np.ndarray, features: np.ndarray):
-        """The two softmax factors: (table of biases, bias row of each token, weights, weight rows, target)."""
-        first, second = self.rows_of(ids, features)
-        cls = ids // CLASS_WORDS
-        return ((self.class_bias[None], np.zeros(len(ids), dtype=np.intp), self.class_rows, first, cls),
-                (self.word_bias, cls, self.word_rows, second, ids % CLASS_WORDS))
+        """The softmax factors: (tokens that have it, table of weights, weight rows, bias row of each token, target)."""
+        own, bits = np.arange(len(ids)), len(self.word_rows).bit_length() - 1
+        yield own, self.class_rows, features & np.uint32(len(self.class_rows) - 1), np.zeros(len(ids), dtype=np.intp), self.branch[0][ids]
+        for node, branch in zip(self.node[1:], self.branch[1:]):
+            at = node[ids]
+            deeper = at >= 0
+            if not deeper.all():
+                own, ids, at, features = own[deeper], ids[deeper], at[deeper], features[:, deeper]
+            if not len(ids):
+                return
+            mixed = (features ^ at.astype(np.uint32) * np.uint32(0x9E3779B1)) * np.uint32(2246822519)
+            yield own, self.word_rows, mixed >> np.uint32(32 - bits), at, branch[ids]
 
     def log_probability(self, ids: np.ndarray, features: np.ndarray) -> np.ndarray:
         """Natural log probability of each token."""
         out, work = np.zeros(len(ids)), Work()
         for i in range(0, len(ids), BATCH_TOKENS):
-            for bias, bias_row, table, rows, target in self.factors(ids[i:i + BATCH_TOKENS], features[:, i:i + BATCH_TOKENS]):
-                z = work.logits(bias, bias_row, table, rows)
-                own = z[np.arange(len(z)), target]
+            for own, table, rows, bias_row, target in self.factors(ids[i:i + BATCH_TOKENS], features[:, i:i + BATCH_TOKENS]):
+                z = work.logits(self.bias, bias_row, table, rows)
+                right = z[np.arange(len(z)), target]
                 np.exp(z, out=z)
-                out[i:i + BATCH_TOKENS] += own - np.log(z.sum(axis=1))
+                out[i + own] += right - np.log(z.sum(axis=1))
         return out
 
 
@@ -146,15 +197,15 @@ class Trainer:
     """Gradient steps of one task on its own copy of the weights."""
 
     def __init__(self, model: Model):
-        self.model = Model(model.vocabulary, model.other, model.class_bias, model.word_bias, model.class_rows.copy(), model.word_rows.copy())
-        self.seen = [np.zeros(CLASS_ROWS), np.zeros(WORD_ROWS)]
+        self.model = replace(model, class_rows=model.class_rows.copy(), word_rows=model.word_rows.copy())
+        self.seen = [np.zeros(len(model.class_rows)), np.zeros(len(model.word_rows))]
         self.work = Work()
 
     def _update(self, which: int, table: np.ndarray, rows: np.ndarray, error: np.ndarray) -> None:
         sorted_error = self.work.part[:len(error)]
         for r in rows:
-            order = np.argsort(r, kind="stable")
-            sorted_rows = r[order]
+            keyed = np.sort(r.astype(np.uint64) << np.uint64(32) | np.arange(len(r), dtype=np.uint64))     # faster than argsort
+            order, sorted_rows = (keyed & np.uint64(0xFFFFFFFF)).astype(np.intp), (keyed >> np.uint64(32)).astype(np.intp)
             first = np.flatnonzero(np.append(True, sorted_rows[1:] != sorted_rows[:-1]))
             own, count = sorted_rows[first], np.diff(np.append(first, len(r)))
             error.take(order, axis=0, out=sorted_error, mode="clip")
@@ -164,12 +215,12 @@ class Trainer:
 
     def learn(self, ids: np.ndarray, features: np.ndarray) -> None:
         for i in range(0, len(ids), BATCH_TOKENS):
-            for which, (bias, bias_row, table, rows, target) in enumerate(self.model.factors(ids[i:i + BATCH_TOKENS], features[:, i:i + BATCH_TOKENS])):
-                p = self.work.logits(bias, bias_row, table, rows)
+            for level, (_, table, rows, bias_row, target) in enumerate(self.model.factors(ids[i:i + BATCH_TOKENS], features[:, i:i + BATCH_TOKENS])):
+                p = self.work.logits(self.model.bias, bias_row, table, rows)
                 np.exp(p, out=p)
                 p *= (1 / p.sum(axis=1))[:, None]
                 p[np.arange(len(p)), target] -= 1
-                self._update(which, table, rows, p)
+                self._update(min(level, 1), table, rows, p)
 
 
 def places(tokens: list[list[bytes]], number: dict[bytes, int], missing: int) -> tuple[np.ndarray, np.ndarray]:
@@ -216,33 +267,68 @@ def _frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
     return {bytes(r["token"]): r["n"] for r in counts.where(F.col("n") >= bound).toLocalIterator()}
 
 
-def new_model(frequent: dict[bytes, int], train_tokens: int) -> Model:
+def new_model(frequent: dict[bytes, int], train_tokens: int, model_bytes: int = MODEL_BYTES) -> Model:
     """Unigram biases and no features yet."""
-    size = CLASSES * CLASS_WORDS
-    best = sorted(frequent, key=lambda t: (-frequent[t], t))[:size - 1]
-    if END not in best:
-        best = [*best[:size - 2], END]
-    entries = [(frequent.get(t, 1), t) for t in best]
+    entries = [(n, t) for t, n in frequent.items() if n > 1 and t != END]
+    entries.append((frequent.get(END, 1), END))
     entries.append((max(train_tokens - sum(n for n, _ in entries), 1), None))
     entries.sort(key=lambda e: (-e[0], e[1] or b""))
-    weight = np.full(size, 1e-6)
+    node, branch = class_paths(len(entries))
+    weight = np.full(node.shape[1], 1e-6)
     weight[:len(entries)] = [n for n, _ in entries]
-    weight = weight.reshape(CLASSES, CLASS_WORDS)
+    total = np.zeros((int(node.max()) + 1, CLASS_WORDS))
+    for at, way in zip(node, branch):
+        on = at >= 0
+        np.add.at(total, (at[on], way[on]), weight[on])
     other = next(i for i, (_, t) in enumerate(entries) if t is None)
-    total = weight.sum(axis=1)
-    return Model({t: i for i, (_, t) in enumerate(entries) if t is not None}, other,
-                 np.log(total / total.sum()).astype(np.float32), np.log(weight / total[:, None]).astype(np.float32),
-                 np.zeros((CLASS_ROWS, CLASSES), np.float32), np.zeros((WORD_ROWS, CLASS_WORDS), np.float32))
+    first, others = row_counts(train_tokens, model_bytes)
+    return Model({t: i for i, (_, t) in enumerate(entries) if t is not None}, other, node, branch,
+                 np.log(total / total.sum(axis=1, keepdims=True)).astype(np.float32),
+                 np.zeros((first, CLASSES), np.float32), np.zeros((others, CLASS_WORDS), np.float32))
+
+
+def changes(number: int, start: int, i: int, table: np.ndarray, old: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
+    """The touched rows of 64 blocks from row ``i``: per block the rows, how often each was seen, its change (half precision)."""
+    out = []
+    for k in range(i, min(i + 64 * BLOCK_ROWS, len(table)), BLOCK_ROWS):
+        own = np.flatnonzero(seen[k:k + BLOCK_ROWS])
+        if len(own):
+            change = (table[k + own] - old[k + own]).astype(np.float16)
+            out.append(((start + k) // BLOCK_ROWS, number, own.astype(np.uint8).tobytes(), seen[k + own].astype(np.float32).tobytes(), change.tobytes()))
+    cols = list(zip(*out)) or [()] * 5
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["block", "task", "rows", "seen", "change"])
+
+
+def _mean_changes(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, mean change of its rows, weighted by how often each was seen); the rows come sorted by block."""
+    width, block = max(CLASSES, CLASS_WORDS), None
+
+    def batch():
+        mean = (total / np.maximum(weight, 1)[:, None]).astype(np.float32)
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([mean.tobytes()], pa.binary())], names=["block", "change"])
+
+    for b in batches(parts):
+        cols = {n: b.column(i) for i, n in enumerate(b.schema.names)}
+        for at, own, seen, change in zip(*(cols[n].to_pylist() for n in ("block", "rows", "seen", "change"))):
+            if at != block:
+                if block is not None:
+                    yield batch()
+                block, total, weight = at, np.zeros((BLOCK_ROWS, width)), np.zeros(BLOCK_ROWS)
+            own, seen = np.frombuffer(own, np.uint8), np.frombuffer(seen, np.float32).astype(float)
+            total[own] += np.frombuffer(change, np.float16).reshape(len(own), width) * seen[:, None]
+            weight[own] += seen
+    if block is not None:
+        yield batch()
 
 
 def train(rows: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
     """``rounds`` rounds of distributed gradient updates over the training rows."""
     spark = rows.sparkSession
-    width = max(CLASSES, CLASS_WORDS)
-    names = [f"w{k}" for k in range(width)]
 
     def one(turn: int, shared):
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pyspark import TaskContext
             base: Model = shared.value
             task = Trainer(base)
             used = False
@@ -254,29 +340,28 @@ def train(rows: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
                     task.learn(ids, task.model.context(ids, size)[1])
                     used = True
             if used:
-                changed = np.vstack([task.model.class_rows - base.class_rows, task.model.word_rows - base.word_rows])
-                seen = np.concatenate(task.seen)
-                own = np.flatnonzero(seen)
-                change = (changed[own] * seen[own, None]).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(seen[own]), *(pa.array(np.ascontiguousarray(change[:, k])) for k in range(width))],
-                                                 names=["row", "seen", *names])
+                number, start = TaskContext.get().partitionId(), 0
+                for table, old, seen in ((task.model.class_rows, base.class_rows, task.seen[0]), (task.model.word_rows, base.word_rows, task.seen[1])):
+                    for i in range(0, len(table), 64 * BLOCK_ROWS):
+                        yield changes(number, start, i, table, old, seen)
+                    start += len(table)
         return run
 
-    schema = "row bigint, seen double, " + ", ".join(f"{n} float" for n in names)
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast(model)
-        moved = rows.mapInArrow(one(turn, shared), schema).groupBy("row").agg(
-            F.sum("seen").alias("seen"), *[F.sum(n).alias(n) for n in names])
+        moved = rows.mapInArrow(one(turn, shared), CHANGES).repartition("block").sortWithinPartitions("block", "task").mapInArrow(_mean_changes, "block bigint, change binary")
         both = np.vstack([model.class_rows, model.word_rows])
-        got = moved.select("row", *[(F.col(n) / F.col("seen")).cast("float").alias(n) for n in names]).toPandas()   # at most CLASS_ROWS + WORD_ROWS rows
-        if len(got):
-            both[got["row"].to_numpy()] += got[names].to_numpy(dtype=np.float32)
-        model = Model(model.vocabulary, model.other, model.class_bias, model.word_bias, both[:CLASS_ROWS].copy(), both[CLASS_ROWS:].copy())
+        for r in moved.toLocalIterator():       # at most MODEL_BYTES
+            own = both[r["block"] * BLOCK_ROWS:(r["block"] + 1) * BLOCK_ROWS]
+            own += np.frombuffer(r["change"], np.float32).reshape(own.shape)
+        first = len(model.class_rows)
+        model = replace(model, class_rows=both[:first].copy(), word_rows=both[first:].copy())
+        shared.unpersist()
     return model
 
 
 def score(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", local_tokens: int = LOCAL_TOKENS,
-          rounds: int = ROUNDS) -> DataFrame:
+          rounds: int = ROUNDS, model_bytes: int = MODEL_BYTES) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_vocabulary."""
     spark = documents.sparkSession
     bounded_batches(spark)
@@ -285,7 +370,7 @@ def score(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = int(whole["n"]), int(whole["v"])
     local = _frequent(counts, local_tokens)
-    model = train(rows, new_model(local, n), rounds)
+    model = train(rows, new_model(local, n, model_bytes), rounds)
     known = sum(local.get(t, 0) for t in model.vocabulary)
     n_other, v_other = n - known, v - sum(t in local for t in model.vocabulary)
     shared = spark.sparkContext.broadcast((model, local))

@@ -262,6 +262,36 @@ def test_lm_learns_context(spark):
     assert got["s"] / got["n"] > 0.6 * got["b"] / got["n"]
 
 
+@pytest.mark.parametrize("size", [1, 1025, 5000, 40_000])
+def test_lm_vocabulary_follows_the_tokens(size):
+    frequent = {f"w{i}".encode(): 2 + (size - i) for i in range(size)} | {lm.END: 50, b"once": 1}
+    model = lm.new_model(frequent, 4_000_000)
+    assert set(model.vocabulary) == set(frequent) - {b"once"} and len(set(model.vocabulary.values()) | {model.other}) == size + 2
+    assert len(model.class_rows) > len(lm.new_model(frequent, 100_000).class_rows)
+    rng = np.random.default_rng(0)
+    model.class_rows += rng.normal(size=model.class_rows.shape).astype(np.float32)
+    model.word_rows += rng.normal(size=model.word_rows.shape).astype(np.float32)
+    _, features = model.context(np.array([model.vocabulary[b"w0"], size, 1]), np.array([3]))
+    every = np.arange(model.start)
+    p = np.exp(model.log_probability(every, np.repeat(features[:, 2:], len(every), axis=1)))
+    assert abs(p.sum() - 1) < 1e-3 and (p > 0).all()
+
+
+def test_lm_learns_words_beyond_the_first_thousand():
+    """Each of 3,000 words is always followed by a word of its own."""
+    draw = random.Random(0)
+    pairs = [draw.randrange(3000) for _ in range(60_000)]
+    count = Counter(f"{c}{i}".encode() for i in pairs for c in "ab") | Counter({lm.END: 1})
+    model = lm.new_model(dict(count), 120_001)
+    ids = np.array([model.vocabulary[f"{c}{i}".encode()] for i in pairs for c in "ab"])
+    features = model.context(ids, np.array([len(ids)]))[1]
+    before = model.log_probability(ids, features)[1::2].mean()
+    trainer = lm.Trainer(model)
+    for _ in range(2):
+        trainer.learn(ids, features)
+    assert trainer.model.log_probability(ids, features)[1::2].mean() > before + 0.5
+
+
 def test_lm_empty(empty):
     assert lm.score(empty).count() == 0
 
