@@ -6,11 +6,14 @@
 * Boosted trees score every proposed span by its format and context; labels come
   from checks on the candidates themselves (check digits, a credential word before
   the span).  The threshold of each kind is the least one that holds the wanted
-  precision on held-out candidates.
+  precision on the held-out third of the candidates of all documents, from counts
+  by kind, score and label.  A kind that has no labels to fit or to calibrate on
+  takes the candidates that its check confirms.
 
-The classifier is fitted on the candidates of about ``sample_docs`` documents,
-chosen by a hash of the id over the whole table; everything else covers every
-text in full.  Rows are independent: no shuffle.
+Only the fit uses a sample: about ``sample`` distinct candidates of each kind and
+label, chosen by a hash of the candidate, so all of a rare kind.  Everything else
+covers every text in full.  Rows are independent; only the sample and the counts
+are shuffled.  The features of all candidates are written to the shared folder once.
 
 Nulls: a null text is empty.  Repeated rows keep their rows.
 """
@@ -30,13 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from recordlens.llm.boosting import Trees, calibrate, fit
-from recordlens.llm.common import batches, bounded_batches
+from recordlens.llm.boosting import Trees, fit
+from recordlens.llm.common import batches, bounded_batches, stage
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("secret", "iban", "masked_email", "number")
 KINDS = BASE + ADDED
-SAMPLE_DOCS = 20_000
+SAMPLE = 10_000
+LEVELS = 10_000         # scores are rounded down to so many steps
 PRECISION = 0.99
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -147,24 +151,42 @@ def weak_label(text: str, span: Span, base: list[Span]) -> bool:
     return any(x <= a and b <= y for k, x, y in base if k in ("card", "phone"))
 
 
+def _level(score: np.ndarray) -> np.ndarray:
+    return np.floor(score * LEVELS).astype(np.int64)
+
+
+def threshold_of(counts: list[tuple[int, bool, int]], precision: float) -> int | None:
+    """Least level, at least half, from which (level, label, n) are right with that precision; None if no right one is then found."""
+    by: dict[int, list[int]] = {}
+    for level, label, n in counts:
+        by.setdefault(level, [0, 0])[label] += n
+    wrong = right = 0
+    best = None
+    for level in sorted(by, reverse=True):
+        wrong, right = wrong + by[level][0], right + by[level][1]
+        if level >= LEVELS // 2 and right and right >= precision * (wrong + right):
+            best = level
+    return best
+
+
 @dataclass
 class Model:
     trees: Trees | None
-    threshold: dict[str, float]
+    threshold: dict[str, float]      # kinds without one follow their check
 
     def added(self, text: str, base: list[Span]) -> list[Span]:
         """Accepted candidates that no base span covers; of overlapping ones the best score stays."""
-        if not self.trees:
-            return []
         proposed = candidates(text)
         if not proposed:
             return []
-        score = self.trees.score(np.array([features(text, s) for s in proposed]))
+        score = _level(self.trees.score(np.array([features(text, s) for s in proposed]))) if self.trees else np.zeros(len(proposed), dtype=np.int64)
         taken, kept = [], []
         for i in sorted(range(len(proposed)), key=lambda i: (-score[i], proposed[i][1], proposed[i][2])):
             kind, a, b = proposed[i]
             inside = any(x <= a and b <= y for _, x, y in base)
-            if score[i] >= self.threshold.get(kind, math.inf) and not inside and all(b <= x or y <= a for x, y in taken):
+            if inside or any(a < y and x < b for x, y in taken):
+                continue
+            if score[i] >= self.threshold[kind] if kind in self.threshold else weak_label(text, proposed[i], base):
                 taken.append((a, b))
                 kept.append(proposed[i])
         return kept
@@ -175,36 +197,54 @@ class Model:
         return base, sorted(base + self.added(text, base), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-def train(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS,
-          precision: float = PRECISION) -> Model:
-    """Fit and calibrate on the candidates of about ``sample_docs`` documents (hash of the id), two thirds and one third."""
+def train(documents: DataFrame, *, text_col: str = "text", sample: int = SAMPLE, precision: float = PRECISION) -> Model:
+    """Fit on two thirds of a sample of the candidates of each kind and label, calibrate on the other third of all candidates."""
     bounded_batches(documents.sparkSession)
-    total = documents.count()
-    key = F.pmod(F.xxhash64(F.col(id_col), F.lit("pii")), F.lit(1 << 30))
-    picked = documents.where(key < int((1 << 30) * min(1.0, sample_docs / max(total, 1))) + 1).where(
-        F.col(text_col).rlike(r"[0-9\[({<]")).select(F.col(text_col).cast("string").alias("text"))
     width = len(features("0", ("number", 0, 1)))
 
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def propose(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(rows):
-            x, y, fold = [], [], []
+            kind, x, y, fold, pick = [], [], [], [], []
             for text in b.column(0).to_pylist():
                 base = base_spans(text)
                 for s in candidates(text):
-                    x.append(features(text, s))
+                    kind.append(s[0])
+                    x.append(np.array(features(text, s)).tobytes())
                     y.append(weak_label(text, s, base))
-                    fold.append(int(hashlib.sha256(text[s[1]:s[2]].encode()).hexdigest()[:6], 16) % 3)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.bool_()), pa.array(fold, pa.int64())], names=["x", "y", "fold"])
-
-    rows = picked.mapInArrow(run, "x array<double>, y boolean, fold bigint").orderBy("fold", "x").collect()
-    x = np.array([r["x"] for r in rows], dtype=float).reshape(-1, width)
-    y, held = np.array([r["y"] for r in rows], dtype=float), np.array([r["fold"] == 0 for r in rows], dtype=bool)
-    if not y[~held].any() or y[~held].all():
+                    mark = hashlib.sha256(text[s[1]:s[2]].encode()).hexdigest()
+                    fold.append(int(mark[:6], 16) % 3)
+                    pick.append(int(mark[6:18], 16) / 16 ** 12)
+            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(x, pa.binary()), pa.array(y, pa.bool_()), pa.array(fold, pa.int64()),
+                                              pa.array(pick, pa.float64())], names=["kind", "x", "y", "fold", "pick"])
+
+    texts = documents.where(F.col(text_col).rlike(r"[0-9\[({<]")).select(F.col(text_col).cast("string").alias("text"))
+    proposed = stage(texts.mapInArrow(propose, "kind string, x binary, y boolean, fold bigint, pick double"), "candidates", "zstd")
+    seen = proposed.where("fold <> 0").groupBy("kind", "y").agg(F.count(F.lit(1)).alias("n")).collect()
+    labelled = {r["kind"] for r in seen if r["y"]}
+    if not labelled or all(r["y"] for r in seen):
+        return Model(None, {})
+    rate = F.lit(0.0)
+    for r in seen:
+        rate = F.when((F.col("kind") == r["kind"]) & (F.col("y") == r["y"]), F.lit(sample / r["n"])).otherwise(rate)
+    # Copies of a candidate share their hash: they count once, so that no frequent one fills the driver.
+    rows = proposed.where((F.col("fold") != 0) & (F.col("pick") < rate)).select("x", "y", "pick").distinct().orderBy("pick", "x", "y").collect()
+    x = np.frombuffer(b"".join(bytes(r["x"]) for r in rows)).reshape(-1, width)
+    y = np.array([r["y"] for r in rows], dtype=float)
+    if not y.any() or y.all():
         return Model(None, {})
-    trees = fit(x[~held], y[~held])
-    score = trees.score(x[held])
-    threshold = {k: max(0.5, calibrate(score[x[held, 0] == i], y[held][x[held, 0] == i], precision)) for i, k in enumerate(ADDED)}
-    return Model(trees, threshold)
+    trees = fit(x, y)
+
+    def levels(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches(rows):
+            level = _level(trees.score(np.frombuffer(b"".join(b.column(1).to_pylist())).reshape(-1, width)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(level, pa.int64()), b.column(2)], names=["kind", "level", "y"])
+
+    held = proposed.where("fold = 0").select("kind", "x", "y").mapInArrow(levels, "kind string, level bigint, y boolean")
+    counts: dict[str, list[tuple[int, bool, int]]] = {}
+    for r in held.groupBy("kind", "level", "y").agg(F.count(F.lit(1)).alias("n")).collect():       # at most kinds x LEVELS x 2 rows
+        counts.setdefault(r["kind"], []).append((r["level"], r["y"], r["n"]))
+    found = {k: threshold_of(counts.get(k, []), precision) for k in labelled}
+    return Model(trees, {k: t for k, t in found.items() if t is not None})
 
 
 def listed(spans: list[Span]) -> str:

@@ -164,6 +164,25 @@ def test_pii(documents, rows):
     assert masked.where("text rlike '[a-z0-9]@[a-z]+[.][a-z]'").count() == 0
 
 
+def test_pii_redacts_rare_kinds(spark):
+    """One bank account number and one disguised address among many secrets: too few to fit and to calibrate on."""
+    rng = np.random.default_rng(3)
+    key = ["".join(rng.choice(list("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz23456789"), 32)) for _ in range(300)]
+    texts = [(i, f"The api_key={k} of build {i:08d} is here.") for i, k in enumerate(key)]
+    texts += [(900, "Pay to GB82 WEST 1234 5698 7654 32 today."), (901, "Ask jane.doe [at] example [dot] org for it.")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.find(docs, pii.train(docs)).collect()}
+    assert got[900].startswith("iban:7:") and got[901].startswith("masked_email:4:")
+    alone = docs.where("doc_id = 900")
+    assert pii.find(alone, pii.train(alone)).first()["n_added"] == 1
+
+
+def test_pii_threshold():
+    assert pii.threshold_of([], 0.99) is None and pii.threshold_of([(9000, False, 5)], 0.99) is None
+    assert pii.threshold_of([(9000, True, 99), (8000, False, 1), (7000, False, 1)], 0.99) == 8000
+    assert pii.threshold_of([(10, True, 5)], 0.99) is None
+
+
 def test_pii_finds_secrets_and_leaves_plain_numbers(spark):
     words = "some words of a text that goes on for a while and says nothing"
     texts = [(i, f'{words} token = "{hashlib.sha1(str(i).encode()).hexdigest()}" {words}') for i in range(150)]
