@@ -1,5 +1,9 @@
 """Language identification by fusing independent evidence with Bayes' rule.
 
+The known languages are those that the documents, or the markup of their pages,
+declare for at least ``MIN_CHARS`` characters of text in all; ``MOST_LANGUAGES``
+bounds the memory of their counts.
+
 Evidence for a document's language:
 
 * its text: likelihood of its letter trigrams under each language, counted over
@@ -32,8 +36,11 @@ from pyspark.sql.types import StructField, StructType
 
 from recordlens.llm.common import batches, bounded_batches, stage, utf8
 
-LANGUAGES = ("en", "de", "fr", "es")
 OTHER = "other"
+#: Declarations that name no language.
+UNNAMED = ("", OTHER, "und", "mul", "zxx", "unknown", "none", "null")
+MIN_CHARS = 2_000
+MOST_LANGUAGES = 256
 BUCKETS = 1 << 14
 #: Trigrams overlap and repeat: their joint likelihood is taken to this power.
 POWER = 0.3
@@ -58,7 +65,14 @@ def trigrams(text: bytes | None) -> Iterator[np.ndarray]:
         yield (code * np.uint32(2654435761)) >> np.uint32(32 - 14)
 
 
-def train(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> np.ndarray:
+def declared_languages(rows: DataFrame) -> tuple[str, ...]:
+    """The languages with enough text, most text first; ``rows`` has declared and text."""
+    named = rows.where(F.col("declared").isNotNull() & ~F.col("declared").isin(*UNNAMED))
+    size = named.groupBy("declared").agg(F.sum(F.length("text")).alias("n")).where(F.col("n") >= MIN_CHARS)
+    return tuple(r["declared"] for r in size.orderBy(F.desc("n"), "declared").limit(MOST_LANGUAGES).collect())
+
+
+def train(rows: DataFrame, languages: tuple[str, ...]) -> np.ndarray:
     """Log P(bucket | language) by language, ``other`` last; ``rows`` has declared and text."""
     number = {x: i for i, x in enumerate(languages)}
 
@@ -101,23 +115,35 @@ def page_evidence(pages: DataFrame, *, page_col: str = "page_id", url_col: str =
 
 
 def identify(documents: DataFrame, pages: DataFrame | None = None, *, id_col: str = "doc_id", text_col: str = "text",
-             declared_col: str | None = "lang", host_col: str | None = "source", languages: tuple[str, ...] = LANGUAGES,
+             declared_col: str | None = "lang", host_col: str | None = "source", languages: tuple[str, ...] | None = None,
              min_posterior: float = MIN_POSTERIOR) -> DataFrame:
     """Per row: doc_id, lang, posterior, kept, text_lang, declared, host, n_trigrams.
 
     ``pages`` are web pages whose addresses name documents by number; their markup
     language, host and suffix come before the columns of ``documents``.
+    ``languages`` overrides the declared ones.
     """
     bounded_batches(documents.sparkSession)
-    names = [*languages, OTHER]
 
     def column(name: str | None) -> Column:
         return F.col(name).cast("string") if name and name in documents.columns else F.lit(None).cast("string")
 
-    rows = documents.select(F.col(id_col).alias("doc_id"), F.lower(column(declared_col)).alias("declared"), column(host_col).alias("host"),
+    rows = documents.select(F.col(id_col).alias("doc_id"), F.split_part(F.translate(F.lower(F.trim(column(declared_col))), "_", "-"), F.lit("-"), F.lit(1)).alias("declared"), column(host_col).alias("host"),
                             F.col(text_col).cast("string").alias("text"))
     spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(train(rows, languages))
+    paged = pages is not None and rows.schema["doc_id"].dataType.typeName() in ("long", "integer", "short", "byte")
+    seen = stage(page_evidence(pages).withColumnsRenamed({"host": "page_host"}), "pages") if paged else None
+    labelled = rows
+    if paged:
+        # Texts meet the markup only for languages that no document declares by itself.
+        own = rows.where("declared is not null").select(F.col("declared").alias("markup")).distinct()
+        beyond = stage(seen.where(F.col("markup").isNotNull()).join(own, "markup", "left_anti").select("number", F.col("markup").alias("__markup")), "markup")
+        if not beyond.isEmpty():
+            labelled = rows.join(beyond, F.col("doc_id") == F.col("number"), "left").withColumn("declared", F.coalesce("__markup", "declared"))
+    if languages is None:
+        languages = declared_languages(labelled)
+    names = [*languages, OTHER]
+    shared = spark.sparkContext.broadcast(train(labelled, languages))
 
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.ascontiguousarray(shared.value.T)
@@ -132,14 +158,13 @@ def identify(documents: DataFrame, pages: DataFrame | None = None, *, id_col: st
 
     schema = StructType([StructField(f.name, f.dataType) for f in rows.schema if f.name != "text"] + list(StructType.fromDDL("n_trigrams bigint, log array<double>")))
     marked = stage(rows.mapInArrow(score, schema), "language")
-    if pages is not None and marked.schema["doc_id"].dataType.typeName() in ("long", "integer", "short", "byte"):
-        seen = page_evidence(pages).withColumnsRenamed({"host": "page_host"})
+    if paged:
         marked = marked.join(seen, F.col("doc_id") == F.col("number"), "left").select(
             "doc_id", F.coalesce("markup", "declared").alias("declared"), F.coalesce("page_host", "host").alias("host"), "suffix", "n_trigrams", "log")
     else:
         marked = marked.withColumn("suffix", F.lit(None).cast("string"))
 
-    prior = np.log(np.append(np.full(len(languages), (1 - OTHER_PRIOR) / len(languages)), OTHER_PRIOR))
+    prior = np.log(np.append(np.full(len(languages), (1 - OTHER_PRIOR) / max(len(languages), 1)), OTHER_PRIOR))
 
     def text_only(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(parts):

@@ -127,6 +127,23 @@ def test_language_fuses_evidence(spark):
     assert got[903]["lang"] == language.OTHER and not got[903]["kept"]
 
 
+def test_languages_are_those_declared(spark):
+    """Languages beyond those of the test tables: by the table, by the markup alone, and without any declaration."""
+    words = {"ru": "дом река город человек время рука дело жизнь день слово", "it": "della casa il fiume è lungo gli uomini vanno nella città",
+             "en": "the house and the river with people walking through towns", "nl": "het huis een rivier zijn mensen lopen door oude steden"}
+    texts = {k: lambda i, w=w.split(): " ".join(random.Random(i).choices(w, k=60)) for k, w in words.items()}
+    rows = [(1000 * n + i, texts[k](i), None if k == "nl" else "en_US" if k == "en" else k, None) for n, k in enumerate(words) for i in range(30)]
+    rows += [(9000 + n, texts[k](99), None, None) for n, k in enumerate(words)]
+    pages = [(i, f"https://x{i % 3}.nl/nl/{3000 + i}", '<html lang="nl"><body>x</body></html>') for i in range(30)]
+    got = language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"),
+                            spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    own = list(words)
+    assert len(got) == len(rows)
+    for r in got:
+        want = own[r["doc_id"] - 9000 if r["doc_id"] >= 9000 else r["doc_id"] // 1000]
+        assert (r["lang"], r["kept"]) == (want, True)
+
+
 def test_language_empty(spark, empty):
     assert language.identify(empty).count() == 0
     assert language.keep_identified(empty).count() == 0
