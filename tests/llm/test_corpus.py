@@ -282,7 +282,7 @@ def test_lm_learns_context(spark):
 @pytest.mark.parametrize("size", [1, 1025, 5000, 40_000])
 def test_lm_vocabulary_follows_the_tokens(size):
     frequent = {f"w{i}".encode(): 2 + (size - i) for i in range(size)} | {lm.END: 50, b"once": 1}
-    model = lm.new_model(frequent, 4_000_000)
+    model = lm.new_model(frequent, 40_000_000)
     assert set(model.vocabulary) == set(frequent) - {b"once"} and len(set(model.vocabulary.values()) | {model.other}) == size + 2
     assert len(model.class_rows) > len(lm.new_model(frequent, 100_000).class_rows)
     rng = np.random.default_rng(0)
