@@ -62,3 +62,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_lines, n_removed_lines, n_line_chars, n_lost_chars
 FROM base
 """
+
+SQL["op13_line_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), l AS (
+  SELECT r, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM d
+), k AS (
+  SELECT *, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key
+  FROM l
+), f AS (
+  SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10
+), m AS (
+  SELECT k.*, f.key IS NOT NULL AS dropped FROM k LEFT JOIN f ON f.key = k.key
+), g AS (
+  SELECT r, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '') AS kept
+  FROM m GROUP BY r
+)
+SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_dropped AS BIGINT) AS n_dropped, sha256(kept) AS kept_sha256
+FROM d JOIN g USING (r)
+"""

@@ -99,3 +99,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recordlens.llm.decontaminate import decontaminate
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate(docs, read_table(spark, sf_dir, "benchmark")).drop("text")
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that ten documents share."""
+    from recordlens.llm import linededup
+    return linededup.digest(linededup.line_dedup(read_table(spark, sf_dir, "documents")))
