@@ -106,3 +106,17 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that ten documents share."""
     from recordlens.llm import linededup
     return linededup.digest(linededup.line_dedup(read_table(spark, sf_dir, "documents")))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each filter removes, in every order of the five filters."""
+    from recordlens.llm.audit import audit
+    return audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the frequent words that they misspell."""
+    from recordlens.llm.spelling import spelling_variants
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
