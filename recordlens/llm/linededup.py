@@ -29,7 +29,7 @@ from recordlens.llm.common import shared_path, stage, with_columns
 
 MIN_DOCUMENTS = 10
 BATCHES = 6
-FANOUT = 3
+FANOUT = 2
 
 _STRIP = " \t\n\x0b\x0c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -87,10 +87,13 @@ class LineRuns:
         return [name for level in self.levels for name in level]
 
     def _merged(self, names: list[str]) -> DataFrame:
+        """Runs merged by their hash; two runs meet bucket by bucket, without a shuffle."""
         merged = self.spark.table(names[0])
         for name in names[1:]:
-            merged = merged.unionByName(self.spark.table(name))
-        return merged.groupBy(*_HASH).agg(F.sum("n").alias("n"))
+            other = self.spark.table(name).withColumnRenamed("n", "more")
+            merged = (merged.join(other.hint("merge"), _HASH, "full")
+                      .select(*_HASH, (F.coalesce("n", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("n")))
+        return merged
 
     def add(self, keys: DataFrame) -> None:
         """Take a batch with one row (h1, h2) per document and distinct key."""
