@@ -30,6 +30,8 @@ from recordlens.llm.common import shared_path, stage, with_columns
 MIN_DOCUMENTS = 10
 BATCHES = 6
 FANOUT = 2
+#: Hashes do not compress, and a codec would hold native buffers for each of the many small files.
+PLAIN = "uncompressed"
 
 _STRIP = " \t\n\x0b\x0c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -78,7 +80,7 @@ class LineRuns:
 
     def _write(self, counts: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
-        (counts.write.format("parquet").option("path", shared_path(self.spark, "linerun"))
+        (counts.write.format("parquet").option("path", shared_path(self.spark, "linerun")).option("compression", PLAIN)
          .bucketBy(self.buckets, *_HASH).sortBy(*_HASH).saveAsTable(name))
         self._names.append(name)
         return name
@@ -115,7 +117,7 @@ class LineRuns:
         """(h1, h2) of the keys that at least ``min_documents`` documents hold, written and read again."""
         if not self.runs():
             return self.spark.createDataFrame([], "h1 bigint, h2 bigint")
-        return stage(self._merged(self.runs()).where(F.col("n") >= self.min_documents).select(*_HASH), "frequent-lines")
+        return stage(self._merged(self.runs()).where(F.col("n") >= self.min_documents).select(*_HASH), "frequent-lines", PLAIN)
 
     def close(self) -> None:
         for name in self._names:
@@ -129,7 +131,7 @@ def line_dedup(documents: DataFrame, *, id_col: str = "doc_id", text_col: str =
     path = shared_path(spark, "line-hashes")
     hashed = hashed_lines(documents, id_col, text_col)
     # A batch is a set of input partitions; which rows it holds does not change the result.
-    hashed.withColumn("batch", F.pmod(F.spark_partition_id(), F.lit(batches))).write.partitionBy("batch").parquet(path)
+    hashed.withColumn("batch", F.pmod(F.spark_partition_id(), F.lit(batches))).write.option("compression", PLAIN).partitionBy("batch").parquet(path)
     marked = spark.read.schema(with_columns(hashed.schema, "batch int")).parquet(path)
     runs = LineRuns(spark, min_documents, fanout)
     try:
