@@ -5,12 +5,12 @@
    ``2 * edits + 1`` rarest bigrams (with all ties of the last).  Its pivots are ``edits + 1`` disjoint bigrams of
    the prefix with the least total frequency, chosen by dynamic programming.
 3. One edit cannot touch two disjoint bigrams.  So of two words one edit apart, the one whose prefix ends
-   earlier in the ranking keeps a pivot, and that pivot is in the other's prefix.  Pivots meet prefixes by an
-   equi-join on (bigram, place, length), where place and length may differ as one edit allows.
-4. The text on one side of the surviving bigram is untouched: its checksum is compared before the edit distance.
+   earlier in the ranking keeps a pivot, and that pivot is in the other's prefix.  On one side of it the words are
+   the same.  Pivots meet prefixes by an equi-join on bigram, place, length and the checksum of that side, where
+   place and length may differ as one edit on the other side allows.
+4. The edit distance of the words that met is verified.
 
-Only pairs that passed the check leave the join.  A frequent (bigram, place, length) is split by the skew-join
-rule.  The ranking sent to the tasks has at most 90 x 90 bigrams, by the alphabet.
+Only pairs that passed the check leave the join.  A frequent key is split by the skew-join rule.  The ranking sent to the tasks has at most 90 x 90 bigrams, by the alphabet.
 
 Nulls: a null or empty text has no runs.  A null id stands as the empty text in the typing rule.  Repeated rows
 count each.  Empty tables give no rows.  Other columns are ignored.  Runs of any length count whole.
@@ -138,17 +138,21 @@ def _signed(words: DataFrame) -> DataFrame:
 def near_words(words: DataFrame) -> DataFrame:
     """(word, n, near, near_n): every ordered pair of words that differ by one edit."""
     signed = stage(_signed(words), "spelling-grams")
-    left = signed.where("pivot").select("gram", "at", "length", "last", "before", "after", "word", "n")
-    # Where the gram of the pivot's word may lie, and that word's length, seen from the prefix's word.
-    moves = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in ((0, 0), (0, -1), (-1, -1), (0, 1), (1, 1))])).alias("m")
-    right = signed.where("not pivot").select("*", moves).select(
-        "gram", (F.col("at") + F.col("m.a")).alias("at"), (F.col("length") + F.col("m.b")).alias("length"), F.col("last").alias("last_"),
-        F.col("before").alias("before_"), F.col("after").alias("after_"), F.col("word").alias("near"), F.col("n").alias("near_n"))
-    r = right.alias("r")
-    on = ((F.col("l.gram") == F.col("r.gram")) & (F.col("l.at") == F.col("r.at")) & (F.col("l.length") == F.col("r.length"))
-          & (F.col("last") <= F.col("last_")) & ((F.col("before") == F.col("before_")) | (F.col("after") == F.col("after_")))
-          & (F.levenshtein("word", "near", EDITS) == EDITS))
-    pairs = left.alias("l").join(r, on).select("word", "n", "near", "near_n")
+
+    def sides(*which) -> DataFrame:
+        """One row per side of the gram that is untouched (0 before, 1 after), moved as that allows."""
+        moves = F.explode(F.array(*[F.struct(F.lit(side).alias("side"), F.lit(a).alias("a"), F.lit(b).alias("b")) for side, a, b in which])).alias("m")
+        return signed.select("*", moves).select(
+            "pivot", "gram", "last", "word", "n", F.col("m.side").alias("side"), F.when(F.col("m.side") == 0, F.col("before")).otherwise(F.col("after")).alias("same"),
+            (F.col("at") + F.col("m.a")).alias("at"), (F.col("length") + F.col("m.b")).alias("length"))
+
+    left = sides((0, 0, 0), (1, 0, 0)).where("pivot")
+    # Place and length of the gram in the pivot's word, seen from the prefix's word.
+    right = sides(*((0, 0, k) for k in (-1, 0, 1)), *((1, k, k) for k in (-1, 0, 1))).where("not pivot").select(
+        "gram", "side", "same", "at", "length", F.col("last").alias("last_"), F.col("word").alias("near"), F.col("n").alias("near_n"))
+    on = ["gram", "side", "same", "at", "length"]
+    close = (F.col("last") <= F.col("last_")) & (F.levenshtein("word", "near", EDITS) == EDITS)
+    pairs = left.join(right, on).where(close).select("word", "n", "near", "near_n")
     turned = pairs.select(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n"))
     return pairs.unionByName(turned).distinct()
 
