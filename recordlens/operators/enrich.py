@@ -1,8 +1,8 @@
 """Company-name enrichment: id -> organisation maps and the name update.
 
-Both maps pick one name per id with an explicit order instead of file
-order: ``uuid_name_map`` keeps the first row by (patent_id,
-assignee_sequence, organization); ``name_map_last`` keeps the last row by
+Both maps pick one name per id: ``uuid_name_map`` the first and
+``name_map_last`` the last row.  Inputs that carry ``row_order`` (the place of
+the row in its files, see ``read_delimited``) are taken in file order, others by
 (patent_id, assignee_sequence, organization).  Each pick is an algebraic
 min/max of a struct, so a hot id is pre-reduced on every map task.
 """
@@ -41,6 +41,7 @@ def named_rows(names_raw: DataFrame) -> DataFrame:
     key, name = name_columns(names_raw.columns)
     org = F.col(name)
     link = [F.col(c) if c in names_raw.columns else F.lit(None).cast("string").alias(c) for c in ("patent_id", "assignee_sequence")]
+    link += [F.col("row_order")] if "row_order" in names_raw.columns else []
     return names_raw.where(org.isNotNull() & (strip_ws(org) != "")).select(
         *link, F.col(key).alias("assignee_id"), org.alias("organization"))
 
@@ -54,12 +55,17 @@ def uuid_name_map(persistent_raw: DataFrame, names_raw: DataFrame, latest: bool
     with that key's smallest organisation; so the name side is reduced to
     MIN(organization) per key before the join.  The join is then
     many-to-one: no pair explosion even when a key repeats on both sides.
+    In file order the first joined row is the first persistent row that has a
+    name, with the first name of its key.
     """
-    return name_map_from_links(stage_assignees(persistent_raw, latest=latest, extra_keys=("assignee_sequence",)), named_rows(names_raw))
+    extra = ("assignee_sequence", "row_order") if "row_order" in persistent_raw.columns else ("assignee_sequence",)
+    return name_map_from_links(stage_assignees(persistent_raw, latest=latest, extra_keys=extra), named_rows(names_raw))
 
 
 def name_map_from_links(assignee_links: DataFrame, name_links: DataFrame) -> DataFrame:
     """``uuid_name_map`` over staged links (see there)."""
+    if "row_order" in assignee_links.columns and "row_order" in name_links.columns:
+        return _first_names_in_files(assignee_links, name_links)
     uuids = (assignee_links.where(F.col("assignee_sequence").isNotNull())
              .select("patent_id", "assignee_sequence", F.col("company_id").alias("uuid"))
              .distinct())
@@ -70,9 +76,22 @@ def name_map_from_links(assignee_links: DataFrame, name_links: DataFrame) -> Dat
     return first.select("uuid", F.col("organization").alias("name"))
 
 
+def _first_names_in_files(assignee_links: DataFrame, name_links: DataFrame) -> DataFrame:
+    """(uuid, name) where the first row in file order wins on both sides."""
+    key = ["patent_id", "assignee_sequence"]
+    # Rows without a patent id or sequence match each other, as missing keys do where the rule comes from.
+    orgs = name_links.groupBy(*key).agg(F.min_by("organization", "row_order").alias("name")).select(
+        *[F.col(c).alias(f"_{c}") for c in key], "name")
+    first = assignee_links.groupBy(F.col("company_id").alias("uuid"), *key).agg(F.min("row_order").alias("at"))
+    same = F.col("patent_id").eqNullSafe(F.col("_patent_id")) & F.col("assignee_sequence").eqNullSafe(F.col("_assignee_sequence"))
+    return first.join(orgs, same).groupBy("uuid").agg(F.min_by("name", "at").alias("name"))
+
+
 def name_map_last(names_raw: DataFrame, order: list[str] | None = None) -> DataFrame:
     """assignee_id -> organisation where the last row (by ``order``) wins."""
     rows = named_rows(names_raw).where(F.col("assignee_id").isNotNull())
+    if order is None and "row_order" in rows.columns:
+        return rows.groupBy("assignee_id").agg(F.max_by("organization", "row_order").alias("name"))
     order = order or NAME_ORDER
     last = keep_first(rows.select("assignee_id", *order), ["assignee_id"], order=order, last=True)
     return last.select("assignee_id", F.col("organization").alias("name"))

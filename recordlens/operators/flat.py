@@ -2,8 +2,9 @@
 
 This path has its own rules, deliberately kept apart from the staging path:
 ids are stripped after the full-row de-duplication, missing text becomes
-'Unknown', and "first row per key" takes an explicit order instead of the
-file order.  Difference from the original, by design: an id that is blank
+'Unknown', and "first row per key" takes an explicit order.  Records that
+carry ``row_order`` (the place in the files) keep the first row by it; others
+order by their columns.  Difference from the original, by design: an id that is blank
 after stripping is dropped like a missing one.
 """
 
@@ -47,7 +48,7 @@ def snake_columns(df: DataFrame) -> DataFrame:
 
 
 def map_columns(df: DataFrame, fields: dict[str, list[str]] = RELEVANT_FIELDS,
-                keep: tuple[str, ...] = ("source_file",)) -> DataFrame:
+                keep: tuple[str, ...] = ("source_file", "row_order")) -> DataFrame:
     """Canonical columns by ordered aliases; an absent field is a null column.
 
     The choice is made at plan time from the header, so the result is a
@@ -70,6 +71,14 @@ def union_records(*frames: DataFrame) -> DataFrame:
     return out
 
 
+def _distinct_rows(df: DataFrame) -> DataFrame:
+    """Full-row de-duplication; of equal rows at several places of the files the first place stays."""
+    if "row_order" not in df.columns:
+        return df.dropDuplicates()
+    rest = [c for c in df.columns if c != "row_order"]
+    return df.groupBy(*rest).agg(F.min("row_order").alias("row_order")).select(*df.columns)
+
+
 def _clean_keep_condition(df: DataFrame):
     present = [F.col(c).isNotNull() & (F.col(c) != "") for c in ID_COLUMNS]
     cond = F.col("_date").isNotNull()
@@ -94,7 +103,7 @@ def flat_clean(records: DataFrame) -> DataFrame:
     identical rows and are kept or dropped together, so the result is the
     same as filtering after de-duplication.
     """
-    df = _prepare(snake_columns(records).dropDuplicates())
+    df = _prepare(_distinct_rows(snake_columns(records)))
     df = df.where(_clean_keep_condition(df))
     for c in TEXT_COLUMNS:
         if c in df.columns:
@@ -116,7 +125,7 @@ def flat_clean_observed(records: DataFrame):
     obs_in, obs_dd, obs_out = (Observation("flat_input"), Observation("flat_dedup"),
                                Observation("flat_output"))
     snake = snake_columns(records).observe(obs_in, F.count(F.lit(1)).alias("rows"))
-    dedup = snake.dropDuplicates().observe(obs_dd, F.count(F.lit(1)).alias("rows"))
+    dedup = _distinct_rows(snake).observe(obs_dd, F.count(F.lit(1)).alias("rows"))
     df = _prepare(dedup)
     df = df.where(_clean_keep_condition(df))
     for c in TEXT_COLUMNS:
@@ -160,18 +169,28 @@ def clean_metrics(records: DataFrame) -> DataFrame:
         "cleaned_rows")
 
 
+def _first(clean: DataFrame, key: str, **columns: str) -> DataFrame:
+    """One row per key with the named columns: the first by ``row_order`` if the rows have one, else by their columns."""
+    own = [F.col(source).alias(name) for name, source in columns.items()]
+    if "row_order" not in clean.columns:
+        return keep_first(clean.select(*own), [key])
+    return keep_first(clean.select(*own, "row_order"), [key], order=["row_order"]).drop("row_order")
+
+
+def _same(*names: str) -> dict[str, str]:
+    return {n: n for n in names}
+
+
 def flat_patents(clean: DataFrame) -> DataFrame:
-    return keep_first(clean.select("patent_id", "title", "abstract", "filing_date", "year",
-                                   "classification"), ["patent_id"])
+    return _first(clean, "patent_id", **_same("patent_id", "title", "abstract", "filing_date", "year", "classification"))
 
 
 def flat_inventors(clean: DataFrame) -> DataFrame:
-    return keep_first(clean.select("inventor_id", "name", "country"), ["inventor_id"])
+    return _first(clean, "inventor_id", **_same("inventor_id", "name", "country"))
 
 
 def flat_companies(clean: DataFrame) -> DataFrame:
-    return keep_first(clean.select(F.col("assignee_id").alias("company_id"),
-                                   F.col("company_name").alias("name")), ["company_id"])
+    return _first(clean, "company_id", company_id="assignee_id", name="company_name")
 
 
 def flat_relationships(clean: DataFrame) -> DataFrame:

@@ -239,6 +239,22 @@ register("inventors_by_country", ["inventors"],
          """SELECT country, COUNT(*) AS inventor_count FROM inventors GROUP BY country
  ORDER BY inventor_count DESC, country ASC NULLS FIRST LIMIT 30""")
 
+# -- raw files in file order --------------------------------------------------------
+_FILE_NAMES = """SELECT CAST(l_orderkey AS VARCHAR) AS patent_id, CAST(l_linenumber AS VARCHAR) AS assignee_sequence,
+ 'a' || CAST(l_suppkey AS VARCHAR) AS assignee_id,
+ s_name || ' "' || CAST(l_partkey AS VARCHAR) || '"' || chr(10) || CAST(l_orderkey AS VARCHAR) AS organization,
+ ROW_NUMBER() OVER (ORDER BY l_partkey, l_orderkey, l_linenumber, l_suppkey) AS place
+ FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_partkey % 7 <> 0"""
+_FILE_IDS = """SELECT CAST(l_orderkey AS VARCHAR) AS patent_id, CAST(l_linenumber AS VARCHAR) AS assignee_sequence,
+ CASE WHEN l_suppkey % 3 = 0 THEN 'b' ELSE 'a' END || CAST(l_suppkey AS VARCHAR) AS uuid,
+ ROW_NUMBER() OVER (ORDER BY -l_partkey, l_orderkey, l_linenumber, l_suppkey) AS place FROM lineitem"""
+register("quoted_text_ranges", ["abstracts_raw"], "SELECT patent_id, NULLIF(abstract, '') AS abstract FROM abstracts_raw WHERE patent_id IS NOT NULL")
+register("name_map_file_last", [], f"""SELECT assignee_id, organization AS name FROM ({_FILE_NAMES})
+ QUALIFY ROW_NUMBER() OVER (PARTITION BY assignee_id ORDER BY place DESC) = 1""")
+register("uuid_map_file_first", [], f"""SELECT uuid, organization AS name
+ FROM ({_FILE_IDS}) ids JOIN ({_FILE_NAMES}) names USING (patent_id, assignee_sequence)
+ QUALIFY ROW_NUMBER() OVER (PARTITION BY uuid ORDER BY ids.place, names.place) = 1""")
+
 # -- country normalisers in SQL ---------------------------------------------------
 
 

@@ -76,7 +76,7 @@ def core_files_available(spark: SparkSession, raw_dir: str) -> bool:
 
 def build_staging(spark: SparkSession, raw_dir: str, legacy_na: bool = False,
                   latest_assignee: bool = False, staging_dir: str | None = None,
-                  row_counts: dict[str, int] | None = None) -> dict[str, DataFrame]:
+                  row_counts: dict[str, int] | None = None, file_order: bool = False) -> dict[str, DataFrame]:
     """Staging frames from the raw files (all text, staging rules applied).
 
     ``assignee_links`` and ``name_links`` keep the assignee sequence for the
@@ -85,12 +85,15 @@ def build_staging(spark: SparkSession, raw_dir: str, legacy_na: bool = False,
     once as Parquet (an empty input keeps its explicit schema) and read back,
     so the clean-table builds and the enrichment never parse raw text again;
     ``row_counts`` then receives the rows written per staging table,
-    observed during those writes.
+    observed during those writes.  ``file_order`` carries the place of each
+    assignee and name row in its file, so that "first" and "last" name mean
+    first and last in the file.
     """
-    def raw(name: str) -> DataFrame:
-        return read_delimited(spark, _path(raw_dir, name), legacy_na=legacy_na)
+    def raw(name: str, order: bool = False) -> DataFrame:
+        return read_delimited(spark, _path(raw_dir, name), legacy_na=legacy_na, row_order=order)
 
-    assignees = raw(CORE_FILES["assignees"])
+    links = ("assignee_sequence", "row_order") if file_order else ("assignee_sequence",)
+    assignees = raw(CORE_FILES["assignees"], file_order)
     if "assignee_sequence" not in assignees.columns:
         assignees = assignees.withColumn("assignee_sequence", F.lit(None).cast("string"))
     staged = {
@@ -98,15 +101,16 @@ def build_staging(spark: SparkSession, raw_dir: str, legacy_na: bool = False,
         "abstracts": stg.stage_abstracts(raw(CORE_FILES["abstracts"])),
         "inventors": stg.stage_inventors(raw(CORE_FILES["inventors"])),
         "locations": stg.stage_locations(raw(CORE_FILES["locations"])),
-        "assignee_links": stg.stage_assignees(assignees, latest=latest_assignee, extra_keys=("assignee_sequence",)),
+        "assignee_links": stg.stage_assignees(assignees, latest=latest_assignee, extra_keys=links),
     }
     rl_path = _path(raw_dir, OPTIONAL_FILES["raw_locations"])
     staged["raw_locations"] = (stg.stage_raw_locations(raw(OPTIONAL_FILES["raw_locations"]))
                                if _exists(spark, rl_path)
                                else spark.createDataFrame([], "location_id string, country string"))
     nm_path = _path(raw_dir, OPTIONAL_FILES["names"])
-    staged["name_links"] = (en.named_rows(raw(OPTIONAL_FILES["names"])) if _exists(spark, nm_path)
-                            else spark.createDataFrame([], "patent_id string, assignee_sequence string, assignee_id string, organization string"))
+    staged["name_links"] = (en.named_rows(raw(OPTIONAL_FILES["names"], file_order)) if _exists(spark, nm_path)
+                            else spark.createDataFrame([], "patent_id string, assignee_sequence string, assignee_id string, organization string"
+                                                       + (", row_order bigint" if file_order else "")))
     if staging_dir is not None:
         paths = save_tables(staged, staging_dir, row_counts=row_counts)
         staged = {k: spark.read.parquet(p) for k, p in paths.items()}
@@ -244,22 +248,25 @@ def generate_reports(tables: dict[str, DataFrame], reports_dir: str, exports_dir
     return paths
 
 
-def extract_records(spark: SparkSession, raw_dir: str, legacy_na: bool = False) -> DataFrame:
+def extract_records(spark: SparkSession, raw_dir: str, legacy_na: bool = False, file_order: bool = False) -> DataFrame:
     """Flat path extract: every supported file, aliases mapped, source file kept.
 
+    ``file_order`` numbers the rows by file and line, so that the first row
+    of a key is the first in the files.
+
     Files are grouped per header (one read per file, since headers may
     differ); a file with no rows adds nothing.
     """
     files = list_raw_files(spark, raw_dir)
     if not files:
         raise FileNotFoundError(f"no raw input files in {raw_dir}")
-    frames = [fl.map_columns(df) for df in read_raw_files(spark, files, legacy_na=legacy_na)]
+    frames = [fl.map_columns(df) for df in read_raw_files(spark, files, legacy_na=legacy_na, row_order=file_order)]
     return union_all(frames)
 
 
 def extraction_summary(records: DataFrame) -> DataFrame:
     """Rows extracted per source file, plus the column count (one row per file)."""
-    n_cols = len([c for c in records.columns if c != "source_file"])
+    n_cols = len([c for c in records.columns if c not in ("source_file", "row_order")])
     return (records.groupBy("source_file").agg(F.count(F.lit(1)).alias("records"))
             .withColumn("columns", F.lit(n_cols)).orderBy("source_file"))
 
@@ -274,7 +281,7 @@ def run_extraction(spark: SparkSession, raw_dir: str, output: str) -> DataFrame:
 
 
 def run_flat_path(spark: SparkSession, raw_dir: str, out_dir: str | None = None,
-                  metrics: dict | None = None) -> dict[str, DataFrame]:
+                  metrics: dict | None = None, file_order: bool = False) -> dict[str, DataFrame]:
     """Flat path: extract, clean once, split into four tables.
 
     The cleaned records feed four table builds, so they are written once
@@ -283,7 +290,7 @@ def run_flat_path(spark: SparkSession, raw_dir: str, out_dir: str | None = None,
     single write and stored into ``metrics`` when a dict is passed.
     """
     from recordlens.session import materialize
-    clean, observed = fl.flat_clean_observed(extract_records(spark, raw_dir))
+    clean, observed = fl.flat_clean_observed(extract_records(spark, raw_dir, file_order=file_order))
     if out_dir is None:
         clean = materialize(clean)
     else:

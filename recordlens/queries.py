@@ -16,6 +16,7 @@ from recordlens.operators import staging as stg
 from recordlens.operators import stats as st
 from recordlens.operators import tables as tb
 from recordlens.registry import query
+from recordlens.sources.delimited import read_delimited
 from recordlens.streaming import ingest as si
 
 
@@ -141,6 +142,34 @@ def _ciso2(v):
             .select("raw_country", normalize_country("raw_country").alias("country_iso2"), "n"))
 
 
+# -- raw files: quoted line breaks, file order ------------------------------------
+_PLACES = ["o1", "o2", "o3", "o4"]
+
+
+def _read_files(v, name, rows, order, **options):
+    return read_delimited(v.spark, v.raw_files(name, rows, order), sep="\t", **options)
+
+
+@query("quoted_text_ranges")
+def _qtr(v):
+    """Abstracts with line breaks in their cells, written as quoted files and read back in ranges."""
+    rows = v.abstracts_raw.withColumn("o1", F.col("patent_id").cast("bigint"))
+    return stg.stage_abstracts(_read_files(v, "abstracts", rows, ["o1"]))
+
+
+@query("name_map_file_last")
+def _nmfl(v):
+    """id -> name where the last row of the files wins."""
+    return en.name_map_last(_read_files(v, "names", v.assignee_names_conflicting, _PLACES, row_order=True))
+
+
+@query("uuid_map_file_first")
+def _umff(v):
+    """uuid -> name where the first row of the files wins."""
+    names = _read_files(v, "names", v.assignee_names_conflicting, _PLACES, row_order=True)
+    return en.uuid_name_map(_read_files(v, "assignees", v.assignees_placed, _PLACES, row_order=True), names)
+
+
 # -- clean tables -------------------------------------------------------------------
 def staged(v):
     return {

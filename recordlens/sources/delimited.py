@@ -15,7 +15,8 @@ Ragged-row detection needs the parser to see the whole row, so rows are
 parsed in full with a corrupt-record column; the filter then counts the
 fields of each rejected row.  A file is read as splittable lines when none of
 its lines has an odd number of quotes, which proves that no quoted cell spans
-lines; else each file is parsed whole (``multiLine``), one task per file.
+lines; else its byte ranges are cut into records first (``sources.ranges``),
+so a large file with line breaks in its cells is still read by many tasks.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordlens.functions.text import normalize_header
+from recordlens.sources.ranges import numbered_records
 
 CORRUPT = "_corrupt_record"
 
@@ -50,12 +52,12 @@ def path_is_missing(exc: AnalysisException) -> bool:
     return exc.getCondition() == "PATH_NOT_FOUND"
 
 
-def read_header(spark: SparkSession, path: str, sep: str | None = None) -> list[str]:
-    """Normalised header names of one file (reads only the first line)."""
+def read_header(spark: SparkSession, path: str, sep: str | None = None, as_is: bool = False) -> list[str]:
+    """Header names of one file, normalised unless ``as_is`` (reads only the first line)."""
     sep = sep or detect_separator(path)
     cols = spark.read.option("header", True).option("sep", sep).option("inferSchema", False) \
         .option("escape", '"').csv(path).columns
-    return [normalize_header(c) for c in cols]
+    return cols if as_is else [normalize_header(c) for c in cols]
 
 
 def cells_span_lines(spark: SparkSession, paths: list[str]) -> bool:
@@ -73,20 +75,28 @@ def _field_count(line, sep: str):
 
 def read_delimited(spark: SparkSession, path: str | list[str], sep: str | None = None,
                    columns: list[str] | None = None, legacy_na: bool = False,
-                   multiline: bool | None = None, with_source_file: bool = False) -> DataFrame:
+                   multiline: bool | None = None, with_source_file: bool = False, row_order: bool = False,
+                   among: list[str] | None = None, header: list[str] | None = None) -> DataFrame:
     """All-string read of files sharing one header; overlong rows dropped.
 
     ``columns`` selects a subset after the ragged-row filter (never before,
     so pruning cannot hide an overlong row).  ``multiline`` says whether cells
-    may hold line breaks; by default the files are asked (one pass over them).
+    may hold line breaks; by default the files are asked (one pass over them)
+    and then read in ranges, while ``True`` parses each file whole in one task.
+    ``row_order`` adds a number that follows the sorted file paths and the
+    lines within each file, for operators whose pick depends on file order;
+    ``among`` lists all files to be numbered together, if this read takes some.
+    ``header`` names the columns; by default they have the normalised names.
     """
     paths = [path] if isinstance(path, str) else list(path)
     sep = sep or detect_separator(paths[0])
-    header = read_header(spark, paths[0], sep)
-    if multiline is None:
-        multiline = cells_span_lines(spark, paths)
+    header = header or read_header(spark, paths[0], sep)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header]
                           + [T.StructField(CORRUPT, T.StringType())])
+    if row_order or multiline is None and cells_span_lines(spark, paths):
+        raw = _read_ranges(spark, paths, sep, schema, row_order, with_source_file, among)
+        return _finished(raw, header, sep, legacy_na, columns, ("row_order",) if row_order else ())
+    multiline = bool(multiline)
     reader = (spark.read.schema(schema).option("header", True).option("sep", sep)
               .option("escape", '"').option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
               .option("multiLine", multiline).option("enforceSchema", True))
@@ -97,13 +107,31 @@ def read_delimited(spark: SparkSession, path: str | list[str], sep: str | None =
     raw = reader.csv(paths)
     if with_source_file:
         raw = raw.withColumn("source_file", F.col("_metadata.file_name"))
+    return _finished(raw, header, sep, legacy_na, columns)
+
+
+def _read_ranges(spark: SparkSession, paths: list[str], sep: str, schema: T.StructType, row_order: bool,
+                 with_source_file: bool, among: list[str] | None = None) -> DataFrame:
+    """The parsed records of quoted files, read range by range."""
+    found = numbered_records(spark, paths, sep, among)
+    options = {"sep": sep, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "multiLine": "true"}
+    # Every record is parsed in full, or overlong ones would go unnoticed where columns are pruned.
+    ddl = ", ".join("`" + f.name.replace("`", "``") + "` string" for f in schema)
+    raw = found.select(F.from_csv("record", ddl, {**options, "columnPruning": "false"}).alias("r"), "file", "row_order")
+    extra = ([F.regexp_extract("file", r"([^/]*)$", 1).alias("source_file")] if with_source_file else []) + ([F.col("row_order")] if row_order else [])
+    return raw.select("r.*", *extra)
+
+
+def _finished(raw: DataFrame, header: list[str], sep: str, legacy_na: bool, columns: list[str] | None,
+              also: tuple[str, ...] = ()) -> DataFrame:
+    """Overlong rows dropped, missing cells nulled, the asked columns."""
     keep = F.col(CORRUPT).isNull() | (_field_count(F.col(CORRUPT), sep) <= len(header))
     df = raw.where(keep).drop(CORRUPT)
     if legacy_na:
         df = df.select(*[F.when(F.col(c).isin(PANDAS_NA_TOKENS), F.lit(None).cast("string"))
                          .otherwise(F.col(c)).alias(c) if c in header else F.col(c) for c in df.columns])
     if columns is not None:
-        df = df.select(*columns)
+        df = df.select(*columns, *also)
     return df
 
 
@@ -132,22 +160,24 @@ def list_raw_files(spark: SparkSession, raw_dir: str,
 
 
 def read_raw_files(spark: SparkSession, paths: list[str], legacy_na: bool = False,
-                   with_source_file: bool = True) -> list[DataFrame]:
-    """One all-string frame per distinct (separator, header) layout.
+                   with_source_file: bool = True, row_order: bool = False) -> list[DataFrame]:
+    """One all-string frame per distinct (separator, header) layout, with the header's own names.
 
     Files sharing a layout are read by a single scan (one plan node however
     many monthly dumps there are); headers differ between layouts, so each
-    layout is mapped on its own before the union.
+    layout is mapped on its own before the union.  ``row_order`` numbers the rows
+    of all layouts together, by file and line.
     """
     layouts: dict[tuple[str, tuple[str, ...]], list[str]] = {}
     for p in paths:
         sep = detect_separator(p)
-        header = tuple(read_header(spark, p, sep))
+        header = tuple(read_header(spark, p, sep, as_is=True))
         if not header:                      # an empty file adds nothing
             continue
         layouts.setdefault((sep, header), []).append(p)
-    return [read_delimited(spark, group, sep=sep, legacy_na=legacy_na, with_source_file=with_source_file)
-            for (sep, _), group in layouts.items()]
+    return [read_delimited(spark, group, sep=sep, legacy_na=legacy_na, with_source_file=with_source_file, row_order=row_order, among=paths,
+                           header=list(header))
+            for (sep, header), group in layouts.items()]
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -257,6 +257,37 @@ class FixtureViews:
             before, products, empty, bag, name, uri, size)
         return self.t.pages.select("page_id", doc.alias("manifest"))
 
+    # -- raw files --------------------------------------------------------------
+    def raw_files(self, name: str, rows: DataFrame, order: list[str], files: int = 6) -> str:
+        """``rows`` (without ``order``) as quoted TSV files in a shared folder, in the given order over sorted file names."""
+        from recordlens.streaming.ingest import scratch_path
+        path = scratch_path(self.spark, name)
+        placed = rows.repartitionByRange(files, *order).sortWithinPartitions(*order).drop(*order)
+        (placed.write.option("header", True).option("sep", "\t").option("escape", '"').option("quoteAll", True).option("emptyValue", "")
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+        return path
+
+    @cached_property
+    def assignee_names_conflicting(self) -> DataFrame:
+        """Name rows whose names differ from row to row, with the columns that order them in their files."""
+        li, su = self.t.lineitem, self.t.supplier
+        return li.join(su, su.s_suppkey == li.l_suppkey).select(
+            _s("l_orderkey").alias("patent_id"), _s("l_linenumber").alias("assignee_sequence"),
+            F.concat(F.lit("a"), _s("s_suppkey")).alias("assignee_id"),
+            F.when(F.col("l_partkey") % 7 == 0, F.lit("  ")).otherwise(F.concat("s_name", F.lit(" \""), _s("l_partkey"), F.lit("\"\n"), _s("l_orderkey")))
+            .alias("disambig_assignee_organization"),
+            F.col("l_partkey").alias("o1"), F.col("l_orderkey").alias("o2"), F.col("l_linenumber").alias("o3"), F.col("l_suppkey").alias("o4"))
+
+    @cached_property
+    def assignees_placed(self) -> DataFrame:
+        """The assignee rows with the columns that order them in their files."""
+        s = F.col("l_suppkey")
+        return self.t.lineitem.select(
+            _s("l_orderkey").alias("patent_id"), _s("l_linenumber").alias("assignee_sequence"),
+            F.when(s % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("a"), _s(s))).alias("disamb_assignee_id_20200331"),
+            F.concat(F.lit("b"), _s(s)).alias("disamb_assignee_id_20210330"),
+            (-F.col("l_partkey")).alias("o1"), F.col("l_orderkey").alias("o2"), F.col("l_linenumber").alias("o3"), s.alias("o4"))
+
     # -- the clean star model as tables ------------------------------------------
     # The analytical queries run against the loaded clean tables, as the
     # original queries ran against its database.  Each table is built from
