@@ -211,6 +211,17 @@ register("q7_inventor_ranking", ["relationships", "inventors"],
  FROM counted c JOIN places p ON p.patent_count = c.patent_count AND p.name IS NOT DISTINCT FROM c.name
  ORDER BY p.inventor_rank, c.name NULLS FIRST""".replace("WITH counted AS", "SELECT * FROM (WITH counted AS", 1) + ")")
 
+# -- the same results by other ways: from pairs, from sets of patent numbers, from batches
+for _key, _same in {"factorised_top_inventors": "q1_top_inventors", "factorised_top_companies": "q2_top_companies",
+                    "factorised_top_countries": "q3_top_countries", "factorised_country_share": "q6_country_share_cte",
+                    "factorised_inventor_ranking": "q7_inventor_ranking", "bitmap_top_inventors": "q1_top_inventors",
+                    "bitmap_top_countries": "q3_top_countries", "standing_top_inventors": "q1_top_inventors",
+                    "standing_top_companies": "q2_top_companies", "standing_country_share": "q6_country_share_cte",
+                    "standing_patents_per_year": "q4_patents_per_year"}.items():
+    SQL[_key] = SQL[_same]
+register("factorised_link_counts", ["relationships"],
+         "SELECT COUNT(DISTINCT patent_id) AS linked_patents, COUNT(*) AS relationships FROM relationships")
+
 # -- dashboard variants ---------------------------------------------------------
 register("dash_top_inventors", ["relationships", "inventors"],
          _INV_COUNTS + " ORDER BY patent_count DESC, dim.inventor_id LIMIT 20")

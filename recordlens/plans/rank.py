@@ -39,7 +39,7 @@ def _sort_col(name: str, ascending: bool) -> Column:
 
 
 def number_sorted_keys(keys: DataFrame, order: list[tuple[str, bool]], rank_col: str,
-                       num_partitions: int | None = None) -> DataFrame:
+                       num_partitions: int | None = None, dtype: str = "int") -> DataFrame:
     """Attach a 1-based position to rows of ``keys`` (unique on ``order``)."""
     spark = keys.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -63,7 +63,7 @@ def number_sorted_keys(keys: DataFrame, order: list[tuple[str, bool]], rank_col:
     ranked = tagged.join(F.broadcast(offsets), "_rl_pid")
     return ranked.select(
         *[c for c in keys.columns],
-        (F.col("_rl_start") + F.col("_rl_pos") + 1).cast("int").alias(rank_col),
+        (F.col("_rl_start") + F.col("_rl_pos") + 1).cast(dtype).alias(rank_col),
     )
 
 

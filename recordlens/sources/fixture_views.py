@@ -189,6 +189,11 @@ class FixtureViews:
             _s("l_suppkey").alias("company_id"),
         ).distinct()
 
+    @cached_property
+    def company_links(self) -> DataFrame:
+        """(patent_id, company_id) as the relationships link them."""
+        return self.t.lineitem.select(_s("l_orderkey").alias("patent_id"), _s("l_suppkey").alias("company_id"))
+
     # -- flat extracted-record form ------------------------------------------
     @cached_property
     def extracted_records(self) -> DataFrame:
