@@ -665,3 +665,4 @@ register("json_props", [], """SELECT event_id, event_type, TRY_CAST(json_extract
 # -- streaming (oracle = the batch view) ----------------------------------------------------
 register("stream_ingest", ["patents"], "SELECT * FROM patents")
 register("stream_dedup", ["relationships"], "SELECT * FROM relationships")
+register("stream_dedup_files", ["relationships"], "SELECT * FROM relationships")

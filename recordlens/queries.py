@@ -20,6 +20,7 @@ from recordlens.operators import tables as tb
 from recordlens.registry import query
 from recordlens.sources.delimited import read_delimited
 from recordlens.streaming import ingest as si
+from recordlens.streaming.seen import ingest_distinct
 from recordlens.streaming.standing import StandingCounts, run_standing
 
 
@@ -668,3 +669,20 @@ def _std(v):
     v.t.lineitem.repartition(STREAM_FILES).write.parquet(f"{base}/in")
     return si.ingest(spark, f"{base}/in", v.t.lineitem.schema, to_links, f"{base}/out", f"{base}/ckpt",
                      max_files_per_trigger=STREAM_FILES // 2, dedup_keys=["patent_id", "inventor_id", "company_id"])
+
+
+@query("stream_dedup_files")
+def _stdf(v):
+    """The distinct triples of streamed line items, by key files and filters instead of a state row per key."""
+    spark = v.spark
+    orders = v.t.orders.select("o_orderkey", "o_custkey")
+
+    def to_links(items):
+        j = items.join(orders, orders.o_orderkey == items.l_orderkey)
+        return j.select(F.col("o_orderkey").cast("string").alias("patent_id"), F.col("o_custkey").cast("string").alias("inventor_id"),
+                        F.col("l_suppkey").cast("string").alias("company_id"))
+
+    base = si.scratch_path(spark, "stream_dedup_files")
+    v.t.lineitem.repartition(STREAM_FILES).write.parquet(f"{base}/in")
+    return ingest_distinct(spark, f"{base}/in", v.t.lineitem.schema, to_links, base, ["patent_id", "inventor_id", "company_id"],
+                           max_files_per_trigger=STREAM_FILES // 4)
