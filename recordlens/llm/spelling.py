@@ -8,7 +8,7 @@
    earlier in the ranking keeps a pivot, and that pivot is in the other's prefix.  On one side of it the words are
    the same.  Pivots meet prefixes by an equi-join on bigram, place, length and the checksum of that side, where
    place and length may differ as one edit on the other side allows.
-4. The edit distance of the words that met is verified.
+4. Of the other side, half is the same at its start or at its end: checksums tell.  The edit distance is verified last.
 
 Only pairs that passed the check leave the join.  A frequent key is split by the skew-join rule.  The ranking sent to the tasks has at most 90 x 90 bigrams, by the alphabet.
 
@@ -140,18 +140,31 @@ def near_words(words: DataFrame) -> DataFrame:
     signed = stage(_signed(words), "spelling-grams")
 
     def sides(*which) -> DataFrame:
-        """One row per side of the gram that is untouched (0 before, 1 after), moved as that allows."""
+        """One row per side of the gram that is untouched (0 before, 1 after), moved as that allows.
+
+        ``other`` is the text of the other side, ``half`` how much of it one edit must leave whole at its start
+        or at its end, which is settled by its length in the pivot's word.
+        """
         moves = F.explode(F.array(*[F.struct(F.lit(side).alias("side"), F.lit(a).alias("a"), F.lit(b).alias("b")) for side, a, b in which])).alias("m")
-        return signed.select("*", moves).select(
+        before = F.substring(F.col("word"), F.lit(1), F.col("at"))
+        after = F.substring(F.col("word"), F.col("at") + GRAM + 1, F.col("length"))
+        moved = signed.select("*", moves).select(
             "pivot", "gram", "last", "word", "n", F.col("m.side").alias("side"), F.when(F.col("m.side") == 0, F.col("before")).otherwise(F.col("after")).alias("same"),
-            (F.col("at") + F.col("m.a")).alias("at"), (F.col("length") + F.col("m.b")).alias("length"))
+            (F.col("at") + F.col("m.a")).alias("at"), (F.col("length") + F.col("m.b")).alias("length"),
+            F.when(F.col("m.side") == 0, after).otherwise(before).alias("other"),
+            F.when(F.col("m.side") == 0, F.col("length") - F.col("at") - GRAM + F.col("m.b")).otherwise(F.col("at") + F.col("m.a")).alias("size"))
+        half = F.greatest(F.floor((F.col("size") - 1) / 2), F.lit(0)).cast("int")
+        return moved.select("*", F.xxhash64(F.substring(F.col("other"), F.lit(1), half)).alias("start"),
+                            F.xxhash64(F.substring(F.col("other"), F.length("other") - half + 1, half)).alias("end")).drop("other", "size")
 
     left = sides((0, 0, 0), (1, 0, 0)).where("pivot")
     # Place and length of the gram in the pivot's word, seen from the prefix's word.
     right = sides(*((0, 0, k) for k in (-1, 0, 1)), *((1, k, k) for k in (-1, 0, 1))).where("not pivot").select(
-        "gram", "side", "same", "at", "length", F.col("last").alias("last_"), F.col("word").alias("near"), F.col("n").alias("near_n"))
+        "gram", "side", "same", "at", "length", F.col("last").alias("last_"), F.col("start").alias("start_"), F.col("end").alias("end_"),
+        F.col("word").alias("near"), F.col("n").alias("near_n"))
     on = ["gram", "side", "same", "at", "length"]
-    close = (F.col("last") <= F.col("last_")) & (F.levenshtein("word", "near", EDITS) == EDITS)
+    close = ((F.col("last") <= F.col("last_")) & ((F.col("start") == F.col("start_")) | (F.col("end") == F.col("end_")))
+             & (F.levenshtein("word", "near", EDITS) == EDITS))
     pairs = left.join(right, on).where(close).select("word", "n", "near", "near_n")
     turned = pairs.select(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n"))
     return pairs.unionByName(turned).distinct()
