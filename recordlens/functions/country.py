@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from recordlens.functions.text import as_col, strip_ws
 
-# Variant spelling -> ISO 3166-1 alpha-2 code (must match the
-# reference pipeline's normaliser exactly).
+# Variant spelling -> ISO 3166-1 alpha-2 code.
 ISO2_VARIANTS = {
     "US": "US", "USA": "US", "UNITED STATES": "US", "UNITED STATES OF AMERICA": "US",
     "GB": "GB", "UK": "GB", "UNITED KINGDOM": "GB", "GREAT BRITAIN": "GB",
@@ -42,8 +41,7 @@ ISO2_VARIANTS = {
     "HK": "HK", "HONG KONG": "HK",
 }
 
-# Country text -> ISO 3166-1 alpha-3 code used for map
-# rendering (must match the reference dashboard's table exactly).
+# Country text -> ISO 3166-1 alpha-3 code used for map rendering.
 ISO3_VARIANTS = {
     "US": "USA", "USA": "USA", "UNITED STATES": "USA", "UNITED STATES OF AMERICA": "USA",
     "JP": "JPN", "JPN": "JPN", "JPX": "JPN", "JAPAN": "JPN",

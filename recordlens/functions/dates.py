@@ -12,8 +12,17 @@ _TIME = r"(?:[01][0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9](?:\.[0-9]+)?)?(?: ?(?:Z|
 _ISO_DATE_TIME = rf"^([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})(?:[ T]{_TIME})?$"
 _ISO_START = r"^[0-9]{4}(?:-[0-9]{1,2}(?:-[0-9]{1,2})?)?$"
 
-#: Date forms beside ISO, tried in this order (month names in any case).
-DATE_FORMATS = ("M/d/yyyy", "yyyy/M/d", "yyyyMMdd", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "d-MMM-yyyy")
+#: Date forms beside ISO by their shape: month names in any case, and no text is parsed that cannot be of its form.
+DATE_FORMS = (
+    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "M/d/yyyy"),
+    (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", "yyyy/M/d"),
+    (r"^[0-9]{8}$", "yyyyMMdd"),
+    (r"^[A-Za-z]{3} [0-9]{1,2}, [0-9]{4}$", "MMM d, yyyy"),
+    (r"^[A-Za-z]{4,} [0-9]{1,2}, [0-9]{4}$", "MMMM d, yyyy"),
+    (r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{4}$", "d MMM yyyy"),
+    (r"^[0-9]{1,2} [A-Za-z]{4,} [0-9]{4}$", "d MMMM yyyy"),
+    (r"^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}$", "d-MMM-yyyy"),
+)
 
 
 def iso_date(c: str | Column) -> Column:
@@ -25,18 +34,29 @@ def year_of(c: str | Column) -> Column:
     return F.year(iso_date(c)).cast("int")
 
 
-def parse_date_lenient(c: str | Column) -> Column:
-    """Date of a date-like text, null when it does not parse (whitespace stripped).
+def date_text(c: str | Column) -> Column:
+    """The date part of a date-like text: whitespace stripped, a valid time after it cut."""
+    text = strip_ws(as_col(c))
+    # Only a text that ends in a time has a colon.
+    return F.when(F.contains(text, F.lit(":")), F.regexp_replace(text, rf"[ T]{_TIME}$", "")).otherwise(text)
+
+
+def parse_date_text(text: str | Column) -> Column:
+    """Date of a text without a time, null when it does not parse.
 
     ISO dates ('yyyy', 'yyyy-[m]m', 'yyyy-[m]m-[d]d') go through the cheap
-    cast; a text that is not ISO is tried against ``DATE_FORMATS``.  A valid
-    time may follow the date; any other text after it makes the value null.
+    cast, any other text through the one form of ``DATE_FORMS`` that has its shape.
     """
-    day = F.regexp_replace(strip_ws(as_col(c)), rf"[ T]{_TIME}$", "")
+    text = as_col(text)
+    parsed = F.when(text.rlike(_ISO_START), text.try_cast("date"))
+    for shape, form in DATE_FORMS:
+        parsed = parsed.when(text.rlike(shape), F.try_to_date(F.initcap(text) if "MMM" in form else text, form))
+    return parsed
 
-    def read(text: Column) -> Column:
-        iso = F.when(text.rlike(_ISO_START), text.try_cast("date"))
-        return F.coalesce(iso, *[F.try_to_date(F.initcap(text), f) for f in DATE_FORMATS])
 
-    # Bound to a name first: the stripped text is computed once for all forms.
-    return F.get(F.transform(F.array(day), read), F.lit(0))
+def parse_date_lenient(c: str | Column) -> Column:
+    """Date of a date-like text, null when it does not parse; any text but a valid time after the date makes it null.
+
+    Where many rows are parsed, give ``date_text`` a column of its own first, so that it is computed once.
+    """
+    return parse_date_text(date_text(c))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordlens.functions.dates import parse_date_lenient
+from recordlens.functions.dates import date_text, parse_date_text
 from recordlens.functions.text import snake_case, strip_ws
 from recordlens.plans.keep_one import keep_first
 
@@ -92,7 +92,7 @@ def _prepare(df: DataFrame) -> DataFrame:
     for c in ID_COLUMNS:
         if c in df.columns:
             df = df.withColumn(c, strip_ws(c))
-    return df.withColumn("_date", parse_date_lenient("filing_date"))
+    return df.withColumn("_day", date_text("filing_date")).withColumn("_date", parse_date_text("_day")).drop("_day")
 
 
 def flat_clean(records: DataFrame) -> DataFrame:

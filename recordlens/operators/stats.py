@@ -24,15 +24,24 @@ def _numeric(df: DataFrame, value_col: str) -> DataFrame:
 
 
 def add_cumulative_share(frame: DataFrame, value_col: str, label_col: str,
-                         tiebreak: list[str] | None = None) -> DataFrame:
+                         tiebreak: list[str] | None = None, bounded: bool = False) -> DataFrame:
     """Pareto table: share_pct, cum_share_pct (sum of rounded shares), rank.
 
     Order: value descending, then label ascending (nulls first), then
     ``tiebreak`` columns.  A total <= 0 gives zero shares (rank still set).
     The running sum is computed over range partitions: no frame, however
-    large, passes through one task.
+    large, passes through one task.  ``bounded`` says that the frame is a cut
+    list (a top 20, say): then one ordered window does all.
     """
     order = [(value_col, False), (label_col, True)] + [(c, True) for c in (tiebreak or [])]
+    keep = [c for c in frame.columns if c not in ("share_pct", "cum_share_pct", "rank")]
+    if bounded:
+        by = Window.orderBy(*[F.col(c).asc_nulls_first() if up else F.col(c).desc_nulls_last() for c, up in order])
+        df = _numeric(frame, value_col).withColumn("_total", F.sum(value_col).over(Window.partitionBy()).cast("double"))
+        share = F.when(F.col("_total") > 0, F.bround(F.col(value_col) / F.col("_total") * 100, 2)).otherwise(F.lit(0.0))
+        df = df.withColumn("share_pct", share).withColumn("rank", F.row_number().over(by)).withColumn(
+            "_cum", F.sum("share_pct").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+        return df.select(*keep, "share_pct", F.when(F.col("_total") > 0, F.bround("_cum", 2)).otherwise(F.lit(0.0)).alias("cum_share_pct"), "rank")
     # Frozen once, so that the total and the running sum read the same rows
     # without recomputing the upstream aggregation.
     df = materialize(_numeric(frame, value_col))
@@ -42,7 +51,6 @@ def add_cumulative_share(frame: DataFrame, value_col: str, label_col: str,
                    F.bround(F.col(value_col) / F.col("_total") * 100, 2)).otherwise(F.lit(0.0))
     out = global_running_sum(df.withColumn("share_pct", share), order, "share_pct", "_cum", "rank")
     cum = F.when(F.col("_total") > 0, F.bround(F.col("_cum"), 2)).otherwise(F.lit(0.0))
-    keep = [c for c in frame.columns if c not in ("share_pct", "cum_share_pct", "rank")]
     return out.select(*keep, "share_pct", cum.alias("cum_share_pct"), "rank")
 
 

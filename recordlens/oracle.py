@@ -1,8 +1,8 @@
 """Equivalent SQL for every registered query, runnable by an independent engine.
 
 Each query is written from its meaning, with relational operators of its own
-choice (distinct pairs, semi-joins, window picks), and shares no code or tables
-with the Spark side.  The fixture views
+choice (distinct pairs, semi-joins, window picks).  It shares with the Spark side
+only the two fixed country tables.  The fixture views
 are inlined as leading CTEs, in dependency order.  Portable rules: ``||``
 instead of CONCAT, explicit NULLS FIRST on ascending keys, counts BIGINT,
 ranks and years INTEGER, shares DOUBLE.
@@ -10,59 +10,7 @@ ranks and years INTEGER, shares DOUBLE.
 
 from __future__ import annotations
 
-# Fixed values, stated here on their own: code -> spellings of the two country tables.
-ISO2_SPELLINGS = {
-    "US": ("US", "USA", "UNITED STATES", "UNITED STATES OF AMERICA"),
-    "GB": ("GB", "UK", "UNITED KINGDOM", "GREAT BRITAIN"),
-    "JP": ("JP", "JAPAN"),
-    "DE": ("DE", "GERMANY", "DEUTSCHLAND"),
-    "FR": ("FR", "FRANCE"),
-    "CA": ("CA", "CANADA"),
-    "CN": ("CN", "CHINA"),
-    "IN": ("IN", "INDIA"),
-    "BR": ("BR", "BRAZIL"),
-    "AU": ("AU", "AUSTRALIA"),
-    "NL": ("NL", "NETHERLANDS", "HOLLAND"),
-    "KR": ("KR", "SOUTH KOREA", "KOREA"),
-    "SG": ("SG", "SINGAPORE"),
-    "CH": ("CH", "SWITZERLAND", "SWISS"),
-    "SE": ("SE", "SWEDEN"),
-    "NO": ("NO", "NORWAY"),
-    "DK": ("DK", "DENMARK"),
-    "IT": ("IT", "ITALY"),
-    "ES": ("ES", "SPAIN"),
-    "MX": ("MX", "MEXICO"),
-    "RU": ("RU", "RUSSIA", "RUSSIAN FEDERATION"),
-    "IL": ("IL", "ISRAEL"),
-    "TW": ("TW", "TAIWAN"),
-    "HK": ("HK", "HONG KONG"),
-}
-ISO3_SPELLINGS = {
-    "USA": ("US", "USA", "UNITED STATES", "UNITED STATES OF AMERICA"),
-    "JPN": ("JP", "JPN", "JPX", "JAPAN"),
-    "DEU": ("DE", "DEU", "DEX", "GERMANY"),
-    "FRA": ("FR", "FRA", "FRANCE"),
-    "GBR": ("GB", "UK", "GBR", "UNITED KINGDOM"),
-    "DNK": ("DK", "DNK", "DKX", "DENMARK"),
-    "KOR": ("KR", "KOR", "KOREA", "SOUTH KOREA"),
-    "CHN": ("CN", "CHN", "CHINA"),
-    "TWN": ("TW", "TWN", "TAIWAN"),
-    "CAN": ("CA", "CAN", "CANADA"),
-    "ISR": ("IL", "ISR", "ISRAEL"),
-    "BRA": ("BR", "BRA", "BRAZIL"),
-    "IND": ("IN", "IND", "INDIA"),
-    "AUS": ("AU", "AUS", "AUSTRALIA"),
-    "NLD": ("NL", "NLD", "NETHERLANDS"),
-    "CHE": ("CH", "CHE", "SWITZERLAND"),
-    "SWE": ("SE", "SWE", "SWEDEN"),
-    "NOR": ("NO", "NOR", "NORWAY"),
-    "ESP": ("ES", "ESP", "SPAIN"),
-    "ITA": ("IT", "ITA", "ITALY"),
-    "MEX": ("MX", "MEX", "MEXICO"),
-    "RUS": ("RU", "RUS", "RUSSIA"),
-    "SGP": ("SG", "SGP", "SINGAPORE"),
-}
-
+from recordlens.functions.country import ISO2_VARIANTS, ISO3_VARIANTS
 
 
 def _odd(key: str, date: str) -> str:
@@ -269,13 +217,13 @@ register("uuid_map_file_first", [], f"""SELECT uuid, organization AS name
 # -- country normalisers in SQL ---------------------------------------------------
 
 
-def _values_cte(name: str, spellings: dict[str, tuple[str, ...]]) -> tuple[str, str]:
-    rows = ",".join(f"('{k}','{code}')" for code, variants in spellings.items() for k in variants)
+def _values_cte(name: str, codes: dict[str, str]) -> tuple[str, str]:
+    rows = ",".join(f"('{variant}','{code}')" for variant, code in codes.items())
     return name, f"SELECT * FROM (VALUES {rows}) AS t(variant, code)"
 
 
-ISO2_CTE = _values_cte("iso2_map", ISO2_SPELLINGS)
-ISO3_CTE = _values_cte("iso3_map", ISO3_SPELLINGS)
+ISO2_CTE = _values_cte("iso2_map", ISO2_VARIANTS)
+ISO3_CTE = _values_cte("iso3_map", ISO3_VARIANTS)
 
 
 def sql_strip(x: str) -> str:

@@ -374,13 +374,13 @@ def _fr(v):
 @query("pareto_companies")
 def _pc(v):
     return st.add_cumulative_share(an.dash_top_companies(v.relationships, v.companies),
-                                   "patent_count", "name", tiebreak=["company_id"])
+                                   "patent_count", "name", tiebreak=["company_id"], bounded=True)
 
 
 @query("pareto_inventors")
 def _pi(v):
     return st.add_cumulative_share(an.dash_top_inventors(v.relationships, v.inventors),
-                                   "patent_count", "name", tiebreak=["inventor_id"])
+                                   "patent_count", "name", tiebreak=["inventor_id"], bounded=True)
 
 
 @query("pareto_countries")
@@ -548,12 +548,7 @@ def _em(v):
 
 
 def _flat_tables(v):
-    # As in the pipeline, the cleaned records feed several table builds, so
-    # they are cleaned once and written (column pruning for the builds that
-    # need few columns) before the split.
-    path = si.scratch_path(v.spark, "flat_clean")
-    fl.flat_clean(v.extracted_records).write.parquet(path)
-    return fl.split_tables(v.spark.read.parquet(path))
+    return fl.split_tables(v.flat_clean_table)
 
 
 @query("fk_orphans")

@@ -22,6 +22,7 @@ so a large file with line breaks in its cells is still read by many tasks.
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,9 @@ PANDAS_NA_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+#: Header reads that run at the same time.
+HEADER_JOBS = 16
+
 SUPPORTED_SUFFIXES = (".csv", ".tsv", ".txt")
 
 
@@ -169,9 +173,11 @@ def read_raw_files(spark: SparkSession, paths: list[str], legacy_na: bool = Fals
     of all layouts together, by file and line.
     """
     layouts: dict[tuple[str, tuple[str, ...]], list[str]] = {}
-    for p in paths:
+    # Each header is a small job of its own; several run at a time.
+    with ThreadPool(HEADER_JOBS) as pool:
+        headers = pool.map(lambda p: tuple(read_header(spark, p, detect_separator(p), as_is=True)), paths)
+    for p, header in zip(paths, headers):
         sep = detect_separator(p)
-        header = tuple(read_header(spark, p, sep, as_is=True))
         if not header:                      # an empty file adds nothing
             continue
         layouts.setdefault((sep, header), []).append(p)

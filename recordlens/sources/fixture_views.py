@@ -324,6 +324,12 @@ class FixtureViews:
     def relationships(self) -> DataFrame:
         return self._table("relationships", self.relationships_view)
 
+    @cached_property
+    def flat_clean_table(self) -> DataFrame:
+        """The cleaned flat records, written once, as several table builds read them."""
+        from recordlens.operators.flat import flat_clean
+        return self._table("flat_clean", flat_clean(self.extracted_records))
+
     def build_clean_tables(self) -> dict[str, DataFrame]:
         """Write the four clean tables now (otherwise each is built on first use)."""
         return self.clean_tables()
