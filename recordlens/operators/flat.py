@@ -103,7 +103,12 @@ def flat_clean(records: DataFrame) -> DataFrame:
     identical rows and are kept or dropped together, so the result is the
     same as filtering after de-duplication.
     """
-    df = _prepare(_distinct_rows(snake_columns(records)))
+    return clean_rows(_distinct_rows(snake_columns(records)))
+
+
+def clean_rows(df: DataFrame) -> DataFrame:
+    """The part of ``flat_clean`` that judges each row alone (columns already in snake_case)."""
+    df = _prepare(df)
     df = df.where(_clean_keep_condition(df))
     for c in TEXT_COLUMNS:
         if c in df.columns:
@@ -126,14 +131,7 @@ def flat_clean_observed(records: DataFrame):
                                Observation("flat_output"))
     snake = snake_columns(records).observe(obs_in, F.count(F.lit(1)).alias("rows"))
     dedup = _distinct_rows(snake).observe(obs_dd, F.count(F.lit(1)).alias("rows"))
-    df = _prepare(dedup)
-    df = df.where(_clean_keep_condition(df))
-    for c in TEXT_COLUMNS:
-        if c in df.columns:
-            df = df.withColumn(c, F.coalesce(F.nullif(strip_ws(c), F.lit("")), F.lit(UNKNOWN)))
-    base = [c for c in df.columns if c not in ("_date",)]
-    out = df.select(*[F.date_format("_date", "yyyy-MM-dd").alias(c) if c == "filing_date" else F.col(c)
-                      for c in base], F.year("_date").cast("int").alias("year"))
+    out = clean_rows(dedup)
     out = out.observe(obs_out, F.count(F.lit(1)).alias("rows"))
 
     class _Metrics:

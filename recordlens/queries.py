@@ -17,9 +17,13 @@ from recordlens.operators import report as rp
 from recordlens.operators import staging as stg
 from recordlens.operators import stats as st
 from recordlens.operators import tables as tb
+from recordlens.operators.pages import PagedTable
+from recordlens.operators.search_index import SearchIndex
+from recordlens.plans.zorder import save_along_curve
 from recordlens.registry import query
 from recordlens.sources.delimited import read_delimited
 from recordlens.streaming import ingest as si
+from recordlens.streaming import metrics as sm
 from recordlens.streaming.seen import ingest_distinct
 from recordlens.streaming.standing import StandingCounts, run_standing
 
@@ -447,6 +451,7 @@ def _cgm(v):
 
 # -- explorer / overview ----------------------------------------------------------------
 SEARCH_KEYWORD = "urgent"
+SEARCH_PATTERN = "(LOW|not spec[a-z]+) ?[FO]$"
 FILTER_YEARS = [1995, 1997, 1999]
 
 
@@ -456,6 +461,22 @@ def _spat(v):
         "patent_id", "title", "year", "classification", "filing_date")
 
 
+def _index(v):
+    return SearchIndex(v.spark, si.scratch_path(v.spark, "search_index"), "patent_id", ("title", "abstract")).build(v.patents)
+
+
+@query("search_patents_indexed")
+def _spi(v):
+    """The keyword search by trigram postings."""
+    return _index(v).search(SEARCH_KEYWORD).select("patent_id", "title", "year", "classification", "filing_date")
+
+
+@query("search_pattern_indexed")
+def _spti(v):
+    """A pattern with alternatives, repeats and classes by trigram postings."""
+    return _index(v).search(SEARCH_PATTERN).select("patent_id", "title", "year")
+
+
 @query("search_inventors")
 def _sinv(v):
     return ex.search_inventors(v.inventors, "#00000(1|2)").select("name", "country")
@@ -484,6 +505,22 @@ def _ppa(v):
     return ex.patent_page_after(v.patents, "5000", size=100).select("patent_id", "title", "year")
 
 
+@query("patent_page_directory")
+def _ppd(v):
+    """A deep page read from a range-sorted table by its directory."""
+    table = PagedTable(v.spark, si.scratch_path(v.spark, "pages"), "patent_id").build(
+        v.patents.select("patent_id", "title", "year", "classification", "filing_date"), rows_per_part=2000)
+    return table.page(100, size=100)
+
+
+@query("curve_layout_slice")
+def _cls(v):
+    """A year, class and country slice of the star join laid out along a space-filling curve."""
+    rows = an.dash_join(v.relationships, v.patents, v.inventors, v.companies)
+    path = save_along_curve(rows, ["year", "classification", "country"], si.scratch_path(v.spark, "curve"), files=8)
+    return v.spark.read.parquet(path).where("year = 1996 and classification = 'B1' and country = 'US'")
+
+
 @query("page_count")
 def _pgc(v):
     return ex.page_count(ex.search_patents(v.patents, SEARCH_KEYWORD), size=100)
@@ -666,6 +703,23 @@ def _std(v):
                      max_files_per_trigger=STREAM_FILES // 2, dedup_keys=["patent_id", "inventor_id", "company_id"])
 
 
+@query("stream_clean_metrics")
+def _scm(v):
+    """Row counts of the cleaning stage summed over the micro-batches of a stream."""
+    spark = v.spark
+    base = si.scratch_path(spark, "stream_metrics")
+    records = v.extracted_records
+    records.repartition(STREAM_FILES).write.parquet(f"{base}/in")
+    listener = sm.BatchMetrics(spark, f"{base}/metrics")
+    spark.streams.addListener(listener)
+    try:
+        stream = sm.clean_stream(si.stream_files(spark, f"{base}/in", records.schema, max_files_per_trigger=STREAM_FILES // 2))
+        si.run_to_parquet(stream, f"{base}/out", f"{base}/ckpt")
+        return sm.totals(listener.rows())
+    finally:
+        spark.streams.removeListener(listener)
+
+
 @query("stream_dedup_files")
 def _stdf(v):
     """The distinct triples of streamed line items, by key files and filters instead of a state row per key."""
