@@ -31,30 +31,54 @@ from recordlens.llm.common import batches, bounded_batches, shared_path, stage
 from recordlens.llm.encode import encoder
 
 END_ID = 0
+#: Ids coded or decoded in one numpy step: bounds memory.
+PORTION_IDS = 1 << 18
 
 _LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.uint8)
 
 
-def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """(control bytes, data bytes) of unsigned ranks below 2**32."""
+def _slots(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of each id among the slots, slots up to the end of each document); a document fills whole groups of four."""
+    groups = (n + 3) // 4 * 4
+    ends = np.cumsum(groups)
+    return np.arange(int(n.sum())) + np.repeat(ends - groups - (np.cumsum(n) - n), n), ends
+
+
+def pack(ranks: np.ndarray, n: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """(control bytes, data bytes) of each document; ``ranks`` (below 2**32) of documents of ``n`` ids, end to end."""
     r = np.ascontiguousarray(ranks, dtype="<u4")
     size = 1 + (r > 0xFF).astype(np.uint8) + (r > 0xFFFF) + (r > 0xFFFFFF)
-    padded = np.zeros((len(r) + 3) // 4 * 4, dtype=np.uint8)
-    padded[:len(r)] = size - 1
-    four = padded.reshape(-1, 4)
-    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
-    used = np.arange(4, dtype=np.uint8) < size[:, None]
-    return control.tobytes(), r.view(np.uint8).reshape(-1, 4)[used].tobytes()
-
-
-def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The ``n`` ranks of ``pack``."""
-    size = _LENGTHS[np.frombuffer(control, dtype=np.uint8)].ravel()[:n]
-    out = np.zeros((n, 4), dtype=np.uint8)
-    out[np.arange(4, dtype=np.uint8) < size[:, None]] = np.frombuffer(data, dtype=np.uint8)
+    at, ends = _slots(n)
+    slots = np.zeros(int(ends[-1]) if len(ends) else 0, dtype=np.uint8)
+    slots[at] = size - 1
+    four = slots.reshape(-1, 4)
+    control = (four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6).tobytes()
+    data = r.view(np.uint8).reshape(-1, 4)[np.arange(4, dtype=np.uint8) < size[:, None]].tobytes()
+    until = np.append(0, np.cumsum(size, dtype=np.int64))[np.append(0, np.cumsum(n))].tolist()
+    cuts = [0, *(ends // 4).tolist()]
+    return [control[a:b] for a, b in zip(cuts, cuts[1:])], [data[a:b] for a, b in zip(until, until[1:])]
+
+
+def unpack(control: list[bytes], data: list[bytes], n: np.ndarray) -> np.ndarray:
+    """The ranks of ``pack``, end to end."""
+    size = _LENGTHS[np.frombuffer(b"".join(control), dtype=np.uint8)].ravel()[_slots(n)[0]]
+    out = np.zeros((len(size), 4), dtype=np.uint8)
+    out[np.arange(4, dtype=np.uint8) < size[:, None]] = np.frombuffer(b"".join(data), dtype=np.uint8)
     return out.view("<u4").ravel()
 
 
+def _portions(n: list[int]) -> Iterator[tuple[int, int]]:
+    """Runs of documents of about ``PORTION_IDS`` ids, at least one document each."""
+    start, ids = 0, 0
+    for k, own in enumerate(n):
+        if ids and ids + own > PORTION_IDS:
+            yield start, k
+            start, ids = k, 0
+        ids += own
+    if start < len(n):
+        yield start, len(n)
+
+
 def encode_ids(documents: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """(doc_id, ids): ids of the whole text and the end id, little-endian, in the vocabulary's width."""
     bounded_batches(documents.sparkSession)
@@ -114,12 +138,16 @@ def write_token_files(documents: DataFrame, path: str, tokenizer: str, *, id_col
     def code(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         table, shard, start, seq = shared.value, TaskContext.get().partitionId(), 0, 0
+        table_width = np.dtype(width).itemsize
         for b in batches(rows):
-            out = []
-            for raw in b.column(1).to_pylist():
-                own = np.frombuffer(raw, dtype=width)
-                out.append((start, len(own), zlib.crc32(own.astype("<u4").tobytes()), *pack(table[own])))
-                start += len(own)
+            out, raws = [], b.column(1).to_pylist()
+            sizes = [len(raw) // table_width for raw in raws]
+            for k, end in _portions(sizes):
+                own, n = np.frombuffer(b"".join(raws[k:end]), dtype=width), np.array(sizes[k:end])
+                wide, cuts = memoryview(own.astype("<u4").tobytes()), np.append(0, np.cumsum(n) * 4).tolist()
+                crc = [zlib.crc32(wide[a:z]) for a, z in zip(cuts, cuts[1:])]
+                out += zip((start + np.cumsum(n) - n).tolist(), sizes[k:end], crc, *pack(table[own], n))
+                start += int(n.sum())
             before, n, crc, control, data = zip(*out)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(np.full(len(out), shard), pa.int64()), pa.array(np.arange(seq, seq + len(out)), pa.int64()),
@@ -150,8 +178,12 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     def decode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = shared.value
         for b in batches(parts):
-            out = [ids[unpack(c, d, n)].tobytes() for n, c, d in
-                   zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist())]
+            out, sizes = [], b.column(2).to_pylist()
+            control, data = b.column(3).to_pylist(), b.column(4).to_pylist()
+            for k, end in _portions(sizes):
+                n = np.array(sizes[k:end])
+                flat, cuts = ids[unpack(control[k:end], data[k:end], n)].tobytes(), np.append(0, np.cumsum(n) * 4).tolist()
+                out += [flat[a:z] for a, z in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["doc_id", "start", "ids"])
 
     return rows.mapInArrow(decode, StructType([rows.schema["doc_id"], StructField("start", LongType()), StructField("ids", BinaryType())]))

@@ -219,11 +219,30 @@ def test_token_files(spark, documents, rows):
 
 
 @settings(max_examples=100, deadline=None)
-@given(st.lists(st.integers(0, 2 ** 32 - 1) | st.integers(0, 300) | st.integers(0, 70000), max_size=70))
-def test_variable_length_coding(values):
-    control, data = tokenfile.pack(np.array(values, dtype="<u4"))
-    assert tokenfile.unpack(control, data, len(values)).tolist() == values
-    assert len(control) == (len(values) + 3) // 4
+@given(st.lists(st.lists(st.integers(0, 2 ** 32 - 1) | st.integers(0, 300) | st.integers(0, 70000), max_size=40), max_size=6))
+def test_variable_length_coding(documents):
+    n, values = np.array([len(d) for d in documents], dtype=np.int64), [v for d in documents for v in d]
+    control, data = tokenfile.pack(np.array(values, dtype="<u4"), n)
+    assert tokenfile.unpack(control, data, n).tolist() == values
+    assert [len(c) for c in control] == [(len(d) + 3) // 4 for d in documents]
+    for d, c, b in zip(documents, control, data):         # each document can be read alone
+        assert tokenfile.unpack([c], [b], np.array([len(d)])).tolist() == d
+
+
+def test_piece_cache_is_bounded(monkeypatch):
+    """Unspaced texts, never repeated pieces and odd spaces: the ids stay right and the kept pieces within their bytes."""
+    from recordlens.llm import encode
+    monkeypatch.setattr(encode, "GENERATION_BYTES", 20_000)
+    enc = encode.PieceEncoder(tokenizer_path("byte_bpe_50k.json"), True)
+    whole = lambda t: enc.tokenizer.encode(t, add_special_tokens=False).ids
+    texts = ["".join(f"w{k}x" for k in range(3000)), "\n".join(f"一二三{k}" * 40 for k in range(50)), " ".join(f"word{k}. 一{k} and" for k in range(2000)),
+             "a\tb  c", " lead", "tail ", "x\u00a0y z", "a\n\nb", "", "\n", "end.\nEnd! né", "a b\x0bc"]
+    for t, ids in zip(texts, enc.encode(texts)):
+        assert ids.tolist() == whole(t)
+        for kept in (enc.first, enc.later):
+            for part in (kept, kept.old):
+                assert sum(encode.ENTRY_BYTES + len(k) + len(v) for k, v in part.items()) <= 20_000 + 600
+                assert all(len(k) <= encode.LONGEST_KEPT for k in part)
 
 
 def test_packing(documents, rows):
