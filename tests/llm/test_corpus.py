@@ -273,6 +273,39 @@ def test_lm_is_a_distribution():
         assert abs(p.sum() - 1) < 1e-3
 
 
+def plain_log_probability(model, ids, t):
+    """The factors of one token by plain sums, with the hashes in whole numbers."""
+    m = 0xFFFFFFFF
+    one, two, three = (ids[t - k] if t >= k else model.start for k in (1, 2, 3))
+    f = [one * 2654435761 & m ^ 0x1B873593, ((one * 2654435761 ^ (two + 1) * 2246822519) & m) * 3266489917 & m ^ 0x2545F491,
+         (two + 1) * 668265263 & m ^ 0x38B34AE5, (three + 1) * 374761393 & m ^ 0x4F1BBCDC]
+    f = [x ^ x >> 15 for x in f]
+    bits, total = len(model.word_rows).bit_length() - 1, 0.0
+    for level, (node, branch) in enumerate(zip(model.node[:, ids[t]], model.branch[:, ids[t]])):
+        if node < 0:
+            break
+        if level:
+            rows = [model.word_rows[((x ^ int(node) * 0x9E3779B1 & m) * 2246822519 & m) >> 32 - bits] for x in f[:lm.DEEPER_FEATURES]]
+        else:
+            rows = [model.class_rows[x & len(model.class_rows) - 1] for x in f]
+        z = [float(model.bias[node][k]) + sum(float(r[k]) for r in rows) for k in range(len(rows[0]))]
+        total += z[branch] - math.log(sum(map(math.exp, z)))
+    return total
+
+
+@pytest.mark.parametrize("size", [60, 3000])
+def test_lm_equals_a_plain_softmax(size):
+    model = lm.new_model({f"w{i}".encode(): 2 * size - i for i in range(size)} | {lm.END: 50}, 50_000_000)
+    rng = np.random.default_rng(1)
+    model.class_rows += rng.normal(size=model.class_rows.shape).astype(np.float32)
+    model.word_rows += rng.normal(size=model.word_rows.shape).astype(np.float32)
+    sizes = [1, 2, 30]
+    ids = rng.integers(0, size, sum(sizes))
+    got = model.log_probability(ids, model.context(ids, np.array(sizes))[1])
+    want = [plain_log_probability(model, ids[a:a + n].tolist(), t) for a, n in zip((0, 1, 3), sizes) for t in range(n)]
+    assert np.allclose(got, want, atol=1e-3)
+
+
 def test_lm_learns_context(spark):
     texts = [(i, " ".join(random.Random(i).choice(("alpha beta gamma", "one two three", "red green blue")) for _ in range(60))) for i in range(200)]
     got = lm.score(spark.createDataFrame(texts, "doc_id long, text string")).where("held_out").selectExpr("sum(score) as s", "sum(base_score) as b", "sum(n_tokens) as n").first()
