@@ -98,3 +98,47 @@ def overwrite_in_place(df: DataFrame, path: str, fmt: str = "parquet") -> str:
         raise OSError(f"could not swap {new} into {path}")
     fs.delete(at[old], True)
     return path
+
+
+def _published(spark, path: str) -> list[str]:
+    """Names of the committed versions of a published table, oldest first."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_versions")
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def publish(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+    """A new version of the table at ``path``, which ``df`` may have been read from.
+
+    The rows go to a folder of their own.  Creating one empty file, whose name holds the version's number and
+    folder, commits them: no rename, so it is as safe on an object store as on a file system.  Readers of the old
+    version go on undisturbed; a write that fails is never seen.
+    """
+    import uuid
+    spark, base = df.sparkSession, path.rstrip("/")
+    data = f"data-{uuid.uuid4().hex}"
+    df.write.format(fmt).save(f"{base}/{data}")
+    last = _published(spark, base)
+    number = int(last[-1].split("__")[0]) + 1 if last else 1
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/_versions/{number:012d}__{data}")
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, False).close()
+    return f"{base}/{data}"
+
+
+def read_published(spark, path: str, fmt: str = "parquet") -> DataFrame:
+    """The newest committed version of a published table."""
+    versions = _published(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"nothing has been published at {path}")
+    return spark.read.format(fmt).load(f"{path.rstrip('/')}/{versions[-1].split('__')[1]}")
+
+
+def drop_old_versions(spark, path: str, keep: int = 2) -> list[str]:
+    """Delete all but the newest ``keep`` versions (their commit first); returns the folders that went."""
+    gone = []
+    for name in _published(spark, path)[:-max(keep, 1)]:
+        for part in (f"_versions/{name}", name.split("__")[1]):
+            at = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{part}")
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        gone.append(name.split("__")[1])
+    return gone

@@ -2,9 +2,11 @@ import glob
 import json
 import os
 
+import pytest
+
 from recordlens.cache import cached_sql
 from recordlens.operators.report import summary_json
-from recordlens.sinks import overwrite_in_place, save_tables, write_csv, write_json_document
+from recordlens.sinks import drop_old_versions, overwrite_in_place, publish, read_published, save_tables, write_csv, write_json_document
 
 
 def test_csv_header_only_when_empty(spark, tmpdir_fresh):
@@ -130,3 +132,21 @@ def test_partitioned_tables_have_few_files(spark, tmpdir_fresh):
     paths = save_tables({"patents": df}, tmpdir_fresh, partition_by={"patents": ["year"]})
     assert len(glob.glob(os.path.join(paths["patents"], "year=*", "part-*"))) <= 80
     assert spark.read.parquet(paths["patents"]).count() == 20000
+
+
+def test_publish(spark, tmpdir_fresh):
+    """A table replaced from itself by versions: readers of the old one go on, a failed write is never seen."""
+    path = f"{tmpdir_fresh}/companies"
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, path)
+    publish(spark.createDataFrame([("c1", "old"), ("c2", "same")], "company_id string, name string"), path)
+    before = read_published(spark, path)
+    publish(before.selectExpr("company_id", "if(company_id = 'c1', 'new', name) as name"), path)
+    after = read_published(spark, path)
+    assert sorted(map(tuple, before.collect())) == [("c1", "old"), ("c2", "same")]
+    assert sorted(map(tuple, after.collect())) == [("c1", "new"), ("c2", "same")]
+    with pytest.raises(Exception, match="broken"):
+        publish(after.selectExpr("company_id", "raise_error('broken') as name"), path)
+    assert sorted(map(tuple, read_published(spark, path).collect())) == [("c1", "new"), ("c2", "same")]
+    assert len(drop_old_versions(spark, path, keep=1)) == 1 and drop_old_versions(spark, path, keep=1) == []
+    assert read_published(spark, path).count() == 2
