@@ -3,8 +3,8 @@
 P(word | context) = P(class | context) * P(word | class, context), where a class of
 more than ``CLASS_WORDS`` words is factored into classes again, so that a factor never
 has more than ``CLASSES`` outcomes.  All factors are log-linear in hashed features of
-the context: the first in the previous word, the previous two, and the words two and
-three back alone (skips), the factors within a class in the previous word.
+the context: the first in the previous word, the previous two, and the word two back
+alone (skip), the factors within a class in the previous word.
 
 The model follows the input.  Its vocabulary is every token that the training texts
 hold at least twice, in order of count (frequent words lie higher in the tree of
@@ -13,7 +13,7 @@ there, and among the others a word has its add-one share of their count.  The we
 rows grow with the training tokens.  Two bounds keep a task's memory: ``LOCAL_TOKENS``
 of the vocabulary and ``MODEL_BYTES`` of the weights.
 
-Training is distributed over tasks of about ``TASK_TOKENS`` tokens: in each round every task starts from the shared weights,
+Training is distributed: in each round every task starts from the shared weights,
 takes gradient steps over its own documents and returns the change of each weight
 row it has touched; rows are averaged over the tasks, weighted by how often each
 task has seen the row.  Each training document is used in one of the rounds.
@@ -51,10 +51,11 @@ MODEL_BYTES = 48 << 20
 BLOCK_ROWS = 1 << 8     # rows whose changes travel together
 CHANGES = "block bigint, task bigint, rows binary, seen binary, change binary"
 ROUNDS = 2
-#: Features of the factors below the first: the previous word alone scores held-out texts better than all four do.
+#: Features of the factors below the first: the previous word alone scores held-out texts better than all do.
 DEEPER_FEATURES = 1
-#: Training tokens of one task: its changes (at most MODEL_BYTES in half precision) stay small against its text.
-TASK_TOKENS = 6_000_000
+#: Most training tokens of one task.  There are as many tasks as cores, or more where tasks would be larger: each
+#: returns up to half of MODEL_BYTES a round, so their number should follow the cluster, not the partitions.
+TASK_TOKENS = 200_000_000
 STEP = 2.0
 BATCH_TOKENS = 1 << 14
 LOCAL_TOKENS = 1 << 18
@@ -128,16 +129,15 @@ class Model:
     def context(self, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(document of each token, feature hashes); ``ids`` of documents of the given sizes, end to end."""
         owner = np.repeat(np.arange(len(size)), size)
-        at = np.arange(len(owner)) + 3 * (owner + 1)
-        padded = np.full(len(ids) + 3 * len(size), self.start, dtype=np.uint32)
+        at = np.arange(len(owner)) + 2 * (owner + 1)
+        padded = np.full(len(ids) + 2 * len(size), self.start, dtype=np.uint32)
         padded[at] = ids
-        one, two, three = padded[at - 1], padded[at - 2], padded[at - 3]
+        one, two = padded[at - 1], padded[at - 2]
         mix = np.uint32(2654435761)
-        features = np.empty((4, len(at)), dtype=np.uint32)
+        features = np.empty((3, len(at)), dtype=np.uint32)
         features[0] = one * mix ^ np.uint32(0x1B873593)
         features[1] = (one * mix ^ (two + np.uint32(1)) * np.uint32(2246822519)) * np.uint32(3266489917) ^ np.uint32(0x2545F491)
         features[2] = (two + np.uint32(1)) * np.uint32(668265263) ^ np.uint32(0x38B34AE5)
-        features[3] = (three + np.uint32(1)) * np.uint32(374761393) ^ np.uint32(0x4F1BBCDC)
         features ^= features >> np.uint32(15)
         return owner, features
 
@@ -352,7 +352,7 @@ def train(rows: DataFrame, model: Model, train_tokens: int, rounds: int = ROUNDS
                     start += len(table)
         return run
 
-    tasks = max(1, train_tokens // TASK_TOKENS)
+    tasks = max(spark.sparkContext.defaultParallelism, train_tokens // TASK_TOKENS)
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast(model)
         moved = rows.coalesce(tasks).mapInArrow(one(turn, shared), CHANGES).repartition("block").sortWithinPartitions("block", "task").mapInArrow(_mean_changes, "block bigint, change binary")
