@@ -264,17 +264,22 @@ def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: s
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(documents: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents without near-duplicates, with their own columns: of each component the smallest id stays, once.
+def keep_one(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents without near-duplicates, with their own columns: of each component one row stays.
 
-    Rows without an id stay.  Of several rows with one id that stays, one stays.
+    That is the row of the smallest id; rows without an id come after all others, and rows of one id are told
+    apart by a hash of their text.  Of identical rows one stays.
     """
-    found = stage(near_duplicates(documents, id_col=id_col, **options), "components").where(F.col("doc_id").isNotNull())
-    dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__dropped")).distinct()
-    left = documents.join(dropped, F.col(id_col) == F.col("__dropped"), "left_anti")
-    repeated = stage(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__repeated")), "repeated")
+    key = ["__a", "__b"]
+    keyed = documents.withColumns({k: F.xxhash64(F.lit(k), F.col(id_col), F.col(text_col)) for k in key})
+    row = F.struct(F.col(id_col).isNull().alias("missing"), F.col(id_col).alias("id"), *key)
+    own = keyed.select(row.alias("__row"), F.col(text_col).alias("__text"))
+    found = stage(near_duplicates(own, id_col="__row", text_col="__text", **options), "components")
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    dropped = found.where(~stays).select("doc_id.__a", "doc_id.__b").distinct()
+    left = keyed.join(dropped, key, "left_anti")
+    repeated = stage(found.where(stays).groupBy("doc_id.__a", "doc_id.__b").count().where("count > 1").select(*key), "repeated")
     if repeated.isEmpty():
-        return left
-    same = F.col(id_col) == F.col("__repeated")
-    once = left.join(repeated, same, "left_semi").dropDuplicates([id_col])
-    return left.join(repeated, same, "left_anti").unionByName(once)
+        return left.drop(*key)
+    once = left.join(repeated, key, "left_semi").dropDuplicates(key)
+    return left.join(repeated, key, "left_anti").unionByName(once).drop(*key)
