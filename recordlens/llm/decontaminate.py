@@ -13,8 +13,8 @@ same words.  Matches are then extended to the longest verbatim passage.
   blocks the running hits are written to the shared folder between blocks.
 * Every document row is judged by itself: no shuffle, whatever the skew.
 
-Nulls: a null text has no words; an item with a null id or without words is
-skipped.  Repeated document rows are judged one by one.  An empty benchmark
+Nulls: a null text has no words; an item without words is skipped, one with a null
+id hits like any other but is neither counted nor named.  Repeated document rows are judged one by one.  An empty benchmark
 contaminates nothing.
 """
 
@@ -52,7 +52,7 @@ class Block:
     lengths: np.ndarray          # words of each distinct window
     suffix_of: np.ndarray        # CSR: suffixes (positions in ``words``) of each window
     suffix_at: np.ndarray
-    items: list[str]
+    items: list[str | None]      # an item without an id hits, but is not named
     item_of: np.ndarray          # item index of each position in ``words``
     heads: list[np.ndarray]      # sorted codes of first 1, 2, 3 words of the windows
 
@@ -185,7 +185,7 @@ def _step(text: str, shared, keep: list[str], fields, final: bool):
             old = {n: b.column(n).to_pylist() for n in ("__hit", "__items", "__len", "__at", "__with") if n in b.schema.names}
             out = []
             for d, n in enumerate(sizes.tolist()):
-                mask, names = hits[d], {block.items[i] for i in items.get(d, ())}
+                mask, names = hits[d], {block.items[i] for i in items.get(d, ())} - {None}
                 length, at, item = best.get(d, (0, None, None))
                 item = None if item is None else block.items[item]
                 if old:
@@ -207,7 +207,7 @@ def _step(text: str, shared, keep: list[str], fields, final: bool):
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, block_words: int) -> Iterator[Block]:
     items, size = [], 0
-    named = benchmark.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t"))
+    named = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t"))
     for row in named.toLocalIterator():
         words = alnum_words(row["t"].encode() if row["t"] else b"")
         if not words:

@@ -34,7 +34,7 @@ WITH d AS (
 ), verdict AS (
   SELECT *,
          copy = 1
-         AND (regexp_matches(l, '[.!?…。！？:;]["''”’»)\]]*[\x20\x09-\x0D]*$') OR n >= 20)
+         AND (regexp_matches(l, '[.!?…。！？:;؟۔؛।॥։።။។།]["''”’»)\]]*[\x20\x09-\x0D]*$') OR n >= 20 OR regexp_matches(l, '[\x{0E00}-\x{0EFF}]'))
          AND NOT shouts * 100 > n * 30
          AND NOT symbols * 100 > n * 30
          AND NOT (separators >= 3 AND separators * 100 > n * 20)

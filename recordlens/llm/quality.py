@@ -39,7 +39,10 @@ BOILERPLATE = ("licensed under", "all rights reserved", "terms of use", "terms o
                "cookie policy", "use of cookies", "enable javascript", "lorem ipsum", "sign up for our newsletter",
                "click here to", "general public license", "mit license", "copyright (c)")
 
-_END = r"[.!?…。！？:;][\"'”’»)\]]*[\x20\x09-\x0D]*$"
+#: Marks that end a sentence or clause: Latin, CJK, Arabic, Indic, Armenian, Ethiopic, Burmese, Khmer, Tibetan.
+_END = r"[.!?…。！？:;؟۔؛।॥։።။។།][\"'”’»)\]]*[\x20\x09-\x0D]*$"
+#: Thai and Lao write no marks at the end of a sentence.
+_UNMARKED = r"[\u0E00-\u0EFF]"
 _SEPARATOR = r"(?:^|[\x20\x09-\x0D])[|»›>•·](?:$|(?=[\x20\x09-\x0D]))"
 _SHOUT = r"[!?][\"'”’»)\]]*(?:$|(?=[\x20\x09-\x0D]))"
 _SYMBOL = r"[#*$%&|<>][.,;:!?]*(?:$|(?=[\x20\x09-\x0D]))"
@@ -73,7 +76,7 @@ def line_passes(line: Column, rules: Rules) -> Column:
             found = found | low.contains(p)
         return found
 
-    stops = line.endswith(".") | line.rlike(_END) | (n >= rules.long_line_words)
+    stops = line.endswith(".") | line.rlike(_END) | (n >= rules.long_line_words) | line.rlike(_UNMARKED)
     return (stops
             & within("!?", _SHOUT, rules.max_shout_percent)
             & within("#*$%&|<>", _SYMBOL, rules.max_symbol_percent)
