@@ -1,8 +1,7 @@
 """Language identification by fusing independent evidence with Bayes' rule.
 
 The known languages are those that the documents, or the markup of their pages,
-declare for at least ``MIN_CHARS`` characters of text in all; ``MOST_LANGUAGES``
-bounds the memory of their counts.
+declare for any text at all; ``MOST_LANGUAGES`` bounds the memory of their counts.
 
 Evidence for a document's language:
 
@@ -39,7 +38,6 @@ from recordlens.llm.common import batches, bounded_batches, stage, utf8
 OTHER = "other"
 #: Declarations that name no language.
 UNNAMED = ("", OTHER, "und", "mul", "zxx", "unknown", "none", "null")
-MIN_CHARS = 2_000
 MOST_LANGUAGES = 256
 BUCKETS = 1 << 14
 #: Trigrams overlap and repeat: their joint likelihood is taken to this power.
@@ -66,9 +64,12 @@ def trigrams(text: bytes | None) -> Iterator[np.ndarray]:
 
 
 def declared_languages(rows: DataFrame) -> tuple[str, ...]:
-    """The languages with enough text, most text first; ``rows`` has declared and text."""
+    """The languages with any text, most text first; ``rows`` has declared and text.
+
+    A language of few characters has a weak model, so the declarations, hosts and suffixes decide more.
+    """
     named = rows.where(F.col("declared").isNotNull() & ~F.col("declared").isin(*UNNAMED))
-    size = named.groupBy("declared").agg(F.sum(F.length("text")).alias("n")).where(F.col("n") >= MIN_CHARS)
+    size = named.groupBy("declared").agg(F.sum(F.length("text")).alias("n")).where(F.col("n") > 0)
     return tuple(r["declared"] for r in size.orderBy(F.desc("n"), "declared").limit(MOST_LANGUAGES).collect())
 
 

@@ -65,6 +65,17 @@ def test_near_duplicates(documents, rows):
     assert sorted(i for i in ids if i is not None) == sorted(set(least.values())) and ids.count(None) == 1
 
 
+def test_keep_one_keeps_a_row_of_each_group(spark):
+    """Ids that repeat with other texts, and rows without an id: rows are chosen, not ids."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(5, a, 1), (7, a, 2), (3, b, 3), (5, b, 4), (None, c, 5), (None, c, 6), (None, c, 6), (None, b, 7), (9, None, 8), (8, "", 9), (None, " ", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __x int")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(5, a), (3, b), (None, c), (8, "")], key=str)
+
+
 def test_bk_links_are_complete(spark):
     """Dense balls, chains and random points; small shards force many cells."""
     rng = random.Random(5)
@@ -276,9 +287,9 @@ def test_lm_is_a_distribution():
 def plain_log_probability(model, ids, t):
     """The factors of one token by plain sums, with the hashes in whole numbers."""
     m = 0xFFFFFFFF
-    one, two, three = (ids[t - k] if t >= k else model.start for k in (1, 2, 3))
+    one, two = (ids[t - k] if t >= k else model.start for k in (1, 2))
     f = [one * 2654435761 & m ^ 0x1B873593, ((one * 2654435761 ^ (two + 1) * 2246822519) & m) * 3266489917 & m ^ 0x2545F491,
-         (two + 1) * 668265263 & m ^ 0x38B34AE5, (three + 1) * 374761393 & m ^ 0x4F1BBCDC]
+         (two + 1) * 668265263 & m ^ 0x38B34AE5]
     f = [x ^ x >> 15 for x in f]
     bits, total = len(model.word_rows).bit_length() - 1, 0.0
     for level, (node, branch) in enumerate(zip(model.node[:, ids[t]], model.branch[:, ids[t]])):
@@ -342,6 +353,16 @@ def test_lm_learns_words_beyond_the_first_thousand():
     assert trainer.model.log_probability(ids, features)[1::2].mean() > before + 0.5
 
 
+def test_language_of_few_characters(spark):
+    """A declared language counts with however little text it has: twenty short documents of one host stay."""
+    sure = [(k, f"the house and the garden of the town number {k} with many people " * 20, "en", "a.com") for k in range(40)]
+    few = [(100 + k, f"nel mezzo del cammino di nostra vita mi ritrovai {'abcdefghijklmnopqrst'[k]} per una selva oscura", "it", "b.it") for k in range(20)]
+    docs = spark.createDataFrame(sure + few, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in language.identify(docs).collect()}
+    assert {got[100 + k].lang for k in range(20)} == {"it"} and all(got[100 + k].kept for k in range(20))
+    assert {got[k].lang for k in range(40)} == {"en"}
+
+
 def test_lm_empty(empty):
     assert lm.score(empty).count() == 0
 
