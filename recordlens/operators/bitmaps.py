@@ -44,9 +44,9 @@ def _split(grouped: DataFrame) -> DataFrame:
 
 def containers(pairs: DataFrame) -> DataFrame:
     """Containers of the distinct (key, number) pairs."""
-    placed = pairs.select("key", F.bitmap_bucket_number("number").alias("bucket"), F.bitmap_bit_position("number").cast("int").alias("place")).distinct()
+    placed = pairs.select("key", F.bitmap_bucket_number("number").alias("bucket"), F.bitmap_bit_position("number").cast("int").alias("place"))
     # A group has at most 32,768 places, whatever the key holds.
-    return _split(placed.groupBy("key", "bucket").agg(F.collect_list("place").alias("few"), F.array().cast("array<binary>").alias("all_bits")))
+    return _split(placed.groupBy("key", "bucket").agg(F.collect_set("place").alias("few"), F.array().cast("array<binary>").alias("all_bits")))
 
 
 def merge(parts: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from recordlens.streaming.ingest import stream_files
 ENTITIES = {"inventor": "inventor_id", "company": "company_id"}
 _CONTAINERS = "key string, bucket bigint, few array<int>, bits binary, entity string, batch bigint"
 _NUMBERS = "patent_id string, number bigint, batch bigint"
+_LINKS = "patent_id string, inventor_id string, company_id string"
 _YEARS = "year int, patent_count bigint, batch bigint"
 _COMMITS = "batch bigint, patents bigint, compacted boolean"
 
@@ -62,6 +63,9 @@ class StandingCounts:
         if any(r["batch"] == batch for r in done):
             return False
         links = relationships.select(*(F.col(c).cast("string").alias(c) for c in ("patent_id", *ENTITIES.values()))).distinct()
+        # Read three times below: written once, so that the batch's own joins run once.
+        self._write(links, "links", batch)
+        links = self._read(f"links/batch={batch}", _LINKS)
         known = self._of("numbers", _NUMBERS, done)
         after = max((r["patents"] for r in done), default=0)
         fresh = links.join(known, "patent_id", "left_anti")
