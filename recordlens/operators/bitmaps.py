@@ -12,8 +12,13 @@ null); exactly one of the two is set.  A null key is a key of its own.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordlens.plans.rank import number_sorted_keys
 from recordlens.session import materialize
@@ -29,16 +34,33 @@ def patent_numbers(ids: DataFrame, after: int = 0) -> DataFrame:
     return numbered.select("patent_id", (F.col("number") + F.lit(after)).alias("number"))
 
 
+def bitmap(places: Iterable[np.ndarray], maps: Iterable[bytes] = ()) -> bytes:
+    """The bitmap of all places and of the members of other bitmaps."""
+    flags = np.zeros(32_768, bool)
+    for p in places:
+        flags[p] = True
+    bits = np.packbits(flags, bitorder="little")
+    for m in maps:
+        bits[:len(m)] |= np.frombuffer(m, np.uint8)
+    return bits.tobytes()
+
+
+def _filled(grouped: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow over (key, bucket, few, all_bits): one bitmap of each row."""
+    for b in grouped:
+        key, bucket, few, maps = b.columns
+        bits = [bitmap([f.values.to_numpy()], m.as_py()) for f, m in zip(few, maps)]
+        yield pa.RecordBatch.from_arrays([key, bucket, pa.nulls(len(bits), pa.list_(pa.int32())), pa.array(bits, pa.binary())], names=["key", "bucket", "few", "bits"])
+
+
 def _split(grouped: DataFrame) -> DataFrame:
     """Containers from (key, bucket, few, all_bits): long lists and bitmaps become one bitmap, short lists stay."""
     grouped = materialize(grouped)
     dense = (F.size("few") > FEW) | (F.size("all_bits") > 0)
     short = grouped.where(~dense).select("key", "bucket", F.array_sort("few").alias("few"), F.lit(None).cast("binary").alias("bits"))
-    from_places = (grouped.where(dense).select("key", "bucket", F.explode("few").alias("place"))
-                   .groupBy("key", "bucket").agg(F.bitmap_construct_agg("place").alias("bits")))
-    from_bits = grouped.where(dense).select("key", "bucket", F.explode("all_bits").alias("bits"))
-    full = (from_places.unionByName(from_bits).groupBy("key", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-            .select("key", "bucket", F.lit(None).cast("array<int>").alias("few"), "bits"))
+    # Filled in place: taken apart again, the places would be shuffled and sorted one by one.
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in short.schema])
+    full = grouped.where(dense).select("key", "bucket", "few", "all_bits").mapInArrow(_filled, schema)
     return short.unionByName(full)
 
 

@@ -1,7 +1,7 @@
 """Regular-expression search by trigram postings: read the rows that may match, verify those.
 
-Every row has a number; a posting list says which rows hold three consecutive characters (ASCII letters in small),
-as containers of row numbers (see ``operators.bitmaps``).  From a pattern the trigrams that any match must contain
+Every row with an id has a number, its place among the rows as written; a posting list says which rows hold three
+consecutive characters (ASCII letters in small), as containers of row numbers (see ``operators.bitmaps``).  From a pattern the trigrams that any match must contain
 are derived; their lists are intersected, alternatives united, and the rows left are verified by the engine's own
 ``rlike``.  The rows are stored in buckets of 32,768 numbers, and only buckets with a candidate are read.
 
@@ -14,7 +14,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +31,10 @@ GRAM = 3
 LISTS = 4
 #: Alternatives followed; a pattern with more is scanned.
 ALTERNATIVES = 16
+#: Bytes of text of which a task gathers the postings at once (arrays of some 60 times that, for one bucket).
+GATHERED = 1 << 22
+#: Containers of candidates up to which they are broadcast (8 MB).
+BROADCAST = 2048
 _CONTAINER = "key string, bucket bigint, few array<int>, bits binary"
 
 
@@ -89,18 +95,81 @@ def required_grams(pattern: str) -> list[set[str]] | None:
     return found if all(found) else None
 
 
+def _code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the folded texts (null: none) one after another, and how many each has."""
+    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
+    at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    raw = memoryview(texts.buffers()[2] or b"")[at[0]:at[-1]].tobytes().lower()
+    points = np.frombuffer(raw.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
+    at = at - at[0]
+    if len(points) < len(raw):
+        at = np.append(0, np.cumsum(np.frombuffer(raw, np.uint8) & 0xC0 != 0x80))[at]
+    return points, np.diff(at)
+
+
+def _postings(bucket: int, places: np.ndarray, columns: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+    """The containers of some rows of one bucket."""
+    found = [_code_points(c) for c in columns]
+    points, text = np.concatenate([p for p, _ in found]), np.repeat(np.arange(len(places) * len(columns)), np.concatenate([n for _, n in found]))
+    whole = np.flatnonzero(text[2:] == text[:-2])                   # where a trigram of one text begins
+    if not len(whole):
+        return
+    seen = np.zeros(0x110000, bool)
+    seen[points] = True
+    letters = np.flatnonzero(seen)
+    rank = np.zeros(0x110000, np.int64)
+    rank[letters] = np.arange(len(letters))
+    coded, k = rank[points], len(letters)
+    gram = (coded[whole] * k + coded[whole + 1]) * k + coded[whole + 2]
+    names = None
+    if k >= 1 << 16:                                                # with the place it would not fit 63 bits
+        names, gram = np.unique(gram, return_inverse=True)
+    pairs = (gram << 15) | np.tile(places, len(columns))[text[whole]]
+    pairs.sort()
+    pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])]
+    gram, place = pairs >> 15, (pairs & 32_767).astype(np.int32)
+    starts = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+    sizes, gram = np.diff(np.append(starts, len(gram))), gram[starts]
+    if names is not None:
+        gram = names[gram]
+    spelled = letters[np.stack([gram // (k * k), gram // k % k, gram % k], 1)].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    keys = np.array([spelled[i:i + GRAM] for i in range(0, len(spelled), GRAM)], object)
+
+    few = sizes <= bm.FEW
+    lists = pa.ListArray.from_arrays(np.append(0, np.cumsum(sizes[few])).astype(np.int32), place[np.repeat(few, sizes)])
+    bits = pa.array([bm.bitmap([place[a:a + n]]) for a, n in zip(starts[~few], sizes[~few])], pa.binary())
+    for of, short, full in ((keys[few], lists, pa.nulls(few.sum(), pa.binary())), (keys[~few], pa.nulls((~few).sum(), pa.list_(pa.int32())), bits)):
+        if len(of):
+            yield pa.RecordBatch.from_arrays([pa.array(of, pa.string()), pa.array(np.full(len(of), bucket), pa.int64()), short, full],
+                                             names=["key", "bucket", "few", "bits"])
+
+
 def _batch_postings(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """mapInArrow over (number, texts...): the containers of one batch."""
+    """mapInArrow over (number, texts...): the containers of the rows, gathered while they are of one bucket."""
+    held, size, of = [], 0, None
+
+    def gathered() -> Iterator[pa.RecordBatch]:
+        if held:
+            places, *columns = (pa.chunked_array(c).combine_chunks() for c in zip(*held))
+            yield from _postings(of, (places.to_numpy() - 1) % 32_768, columns)
+
     for b in rows:
-        lists: dict[tuple[str, int], list[int]] = {}
-        for number, *texts in zip(*(c.to_pylist() for c in b.columns)):
-            bucket, place = (number - 1) // 32_768 + 1, (number - 1) % 32_768
-            for gram in set().union(*(grams_of(folded(t)) for t in texts if t)):
-                lists.setdefault((gram, bucket), []).append(place)
-        if lists:
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in lists], pa.string()), pa.array([k for _, k in lists], pa.int64()),
-                                              pa.array(list(lists.values()), pa.list_(pa.int32())), pa.nulls(len(lists), pa.binary())],
-                                             names=["key", "bucket", "few", "bits"])
+        numbers = b.column(0).to_numpy()
+        buckets = (numbers - 1) // 32_768 + 1
+        texts = [c.cast(pa.large_binary()) for c in b.columns[1:]]
+        weight = np.sum([pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False) for c in texts], 0)
+        parts = np.cumsum(weight) // GATHERED
+        cuts = np.flatnonzero((buckets[1:] != buckets[:-1]) | (parts[1:] != parts[:-1])) + 1
+        for start, end in zip([0, *cuts], [*cuts, len(numbers)]):
+            if start == end:
+                continue
+            if held and (buckets[start] != of or size + weight[start:end].sum() > GATHERED):
+                yield from gathered()
+                held, size = [], 0
+            of = int(buckets[start])
+            held.append([c.slice(start, end - start) for c in (b.column(0), *texts)])
+            size += int(weight[start:end].sum())
+    yield from gathered()
 
 
 class SearchIndex:
@@ -110,11 +179,11 @@ class SearchIndex:
         self.spark, self.path, self.id_col, self.text_cols = spark, path.rstrip("/"), id_col, tuple(text_cols)
 
     def build(self, rows: DataFrame) -> SearchIndex:
-        numbers = bm.patent_numbers(rows.select(F.col(self.id_col).alias("patent_id")))
-        named = numbers.select(F.col("patent_id").alias("__id"), F.col("number").alias("__number"))
-        placed = rows.join(named, F.col(self.id_col) == F.col("__id"), "left").drop("__id")
+        # Numbered as they are written, without moving a row: a bucket's rows follow each other in one task.
+        placed = rows.withColumn("__place", F.monotonically_increasing_id())
+        placed = placed.withColumn("__number", F.when(F.col(self.id_col).isNotNull(), F.col("__place") + 1)).drop("__place")
         placed = placed.withColumn("__bucket", F.bitmap_bucket_number("__number"))
-        (placed.hint("rebalance", "__bucket").write.mode("overwrite").partitionBy("__bucket").parquet(f"{self.path}/rows"))
+        placed.write.mode("overwrite").partitionBy("__bucket").parquet(f"{self.path}/rows")
         placed.drop("__bucket").limit(0).write.mode("overwrite").parquet(f"{self.path}/schema")
         texts = self._rows().where("__number is not null").select("__number", *[F.col(c).cast("string").alias(c) for c in self.text_cols])
         merged = bm.merge(texts.mapInArrow(_batch_postings, _CONTAINER))
@@ -156,15 +225,18 @@ class SearchIndex:
     def candidate_rows(self, pattern: str) -> DataFrame:
         """The rows that must be verified."""
         met = self.candidates(pattern)
+        every = self._rows()
         if met is None:
-            return self._rows().drop("__number", "__bucket")
+            return every.drop("__number", "__bucket")
         buckets = [r["bucket"] for r in met.select("bucket").collect()]                 # one per 32,768 rows at most
-        rows = self._rows().where(F.col("__bucket").isin(buckets))
+        rows = every.where(F.col("__bucket").isin(buckets))
+        if len(buckets) <= BROADCAST:
+            met = F.broadcast(met)
         place = F.bitmap_bit_position("__number").cast("int")
         byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
         hit = F.bit_get(byte, F.pmod(place, F.lit(8))) == 1
         kept = rows.join(met.withColumnRenamed("bucket", "__of"), F.col("__bucket") == F.col("__of")).where(hit).drop("__of", "bits")
-        return kept.unionByName(self._rows().where("__bucket is null")).drop("__number", "__bucket")
+        return kept.unionByName(every.where("__bucket is null")).drop("__number", "__bucket")
 
     def search(self, pattern: str) -> DataFrame:
         """Rows of which some text matches the case-insensitive pattern."""
