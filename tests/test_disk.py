@@ -56,3 +56,17 @@ def test_records_of_odd_keys(spark, tmpdir_fresh):
     ten = [row(" 10", "1-URGENT", text, "1", s) for text in ("text a", "text b") for s in ("5", "5", "6")]
     one = [row("1", "x", None, "2", s) for s in (None, "4", None)] * 4      # two orders of that key, two customers
     assert got == sorted([*ten, *one, row(" -10", None, None, "1", "5")])
+
+
+def _clean(spark):
+    rows = [("1", "t", "long", "2001-01-01", 2001, "A", "i1", "n", "US", "c1", "o"), ("1", "t", "long", "2001-01-01", 2001, "A", "i2", "m", "US", "c1", "o"),
+            ("1", None, "other", "2002-01-01", 2002, "A", "i1", "n", "US", "c2", "p"), (None, "t", None, None, None, "A", "i1", "a", "US", "c1", "o")] * 2
+    return spark.createDataFrame(rows, "patent_id string, title string, abstract string, filing_date string, year int, classification string, "
+                                       "inventor_id string, name string, country string, assignee_id string, company_name string")
+
+
+def test_texts_of_patents_are_shuffled_once(spark, exchanges):
+    patents = fl.flat_patents(_clean(spark))
+    assert sorted(map(str, patents.select("patent_id", "title", "abstract").collect())) == [
+        "Row(patent_id='1', title=None, abstract='other')", "Row(patent_id=None, title='t', abstract=None)"]
+    assert len(exchanges(patents)) == 1
