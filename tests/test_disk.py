@@ -70,3 +70,19 @@ def test_texts_of_patents_are_shuffled_once(spark, exchanges):
     assert sorted(map(str, patents.select("patent_id", "title", "abstract").collect())) == [
         "Row(patent_id='1', title=None, abstract='other')", "Row(patent_id=None, title='t', abstract=None)"]
     assert len(exchanges(patents)) == 1
+
+
+def _plan_of(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_orphans_read_no_texts(spark, tmpdir_fresh):
+    _clean(spark).write.parquet(f"{tmpdir_fresh}/clean")
+    t = fl.split_tables(spark.read.parquet(f"{tmpdir_fresh}/clean"))
+    links = spark.createDataFrame([("1", "i1", "c1"), ("1", "i1", "c9"), ("2", "i9", "c1"), ("2", None, "c2")], "patent_id string, inventor_id string, company_id string")
+    orphans = qa.fk_orphans(links, t["patents"], t["inventors"], t["companies"])
+    assert {(r.foreign_key, r.orphan_rows, r.orphan_keys) for r in orphans.collect()} == {("patent_id", 2, 1), ("inventor_id", 2, 1), ("company_id", 1, 1)}
+    assert "abstract" not in _plan_of(orphans)
