@@ -86,3 +86,14 @@ def test_orphans_read_no_texts(spark, tmpdir_fresh):
     orphans = qa.fk_orphans(links, t["patents"], t["inventors"], t["companies"])
     assert {(r.foreign_key, r.orphan_rows, r.orphan_keys) for r in orphans.collect()} == {("patent_id", 2, 1), ("inventor_id", 2, 1), ("company_id", 1, 1)}
     assert "abstract" not in _plan_of(orphans)
+
+
+def test_tables_are_counted_without_their_texts(spark, tmpdir_fresh):
+    _clean(spark).write.parquet(f"{tmpdir_fresh}/clean")
+    patents = spark.createDataFrame([("1", "t", "long", "2001-01-01", 2001, "A"), ("2", "t", "long", None, None, None)] * 2,
+                                    "patent_id string, title string, abstract string, filing_date string, year int, classification string")
+    patents.write.parquet(f"{tmpdir_fresh}/patents")
+    both = fl.union_records(spark.read.parquet(f"{tmpdir_fresh}/patents"), fl.flat_patents(spark.read.parquet(f"{tmpdir_fresh}/clean")))
+    counts = qa.table_counts(qa.load_dedup({"patents": both}))
+    assert [tuple(r) for r in counts.collect()] == [("patents", 3)]        # 1, 2 and the missing id
+    assert "abstract" not in _plan_of(counts)
