@@ -8,11 +8,8 @@ from pyspark.sql import functions as F
 
 from recordlens.operators import flat as fl
 from recordlens.operators import quality as qa
-from recordlens.plans.keep_one import keep_first
 from recordlens.sources.fixture_views import FixtureViews
 
-RECORD = "patent_id string, title string, abstract string, filing_date string, classification string, inventor_id string, name string, country string, assignee_id string, company_name string"
-
 
 @pytest.fixture()
 def exchanges(spark):
@@ -97,3 +94,10 @@ def test_tables_are_counted_without_their_texts(spark, tmpdir_fresh):
     counts = qa.table_counts(qa.load_dedup({"patents": both}))
     assert [tuple(r) for r in counts.collect()] == [("patents", 3)]        # 1, 2 and the missing id
     assert "abstract" not in _plan_of(counts)
+
+
+def test_keyed_tables_are_shuffled_once_to_keep_one_row(spark, exchanges):
+    rows = [("i1", "b", "US"), ("i1", "a", None), ("i1", "a", "US"), (None, "x", "DE"), (None, "x", "DE"), ("i2", None, None)]
+    kept = qa.dedup_on_key(spark.createDataFrame(rows, "inventor_id string, name string, country string"), ["inventor_id"])
+    assert len(exchanges(kept)) == 1
+    assert {tuple(r) for r in kept.collect()} == {("i1", "a", None), ("i2", None, None), (None, "x", "DE")}
