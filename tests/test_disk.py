@@ -1,11 +1,13 @@
 """What a large run writes to disk: shuffles of whole records, of texts and of columns that nothing reads."""
 
 import contextlib
+import glob
 import io
 
 import pytest
 from pyspark.sql import functions as F
 
+from recordlens import queries
 from recordlens.operators import flat as fl
 from recordlens.operators import quality as qa
 from recordlens.sources.fixture_views import FixtureViews
@@ -101,3 +103,13 @@ def test_keyed_tables_are_shuffled_once_to_keep_one_row(spark, exchanges):
     kept = qa.dedup_on_key(spark.createDataFrame(rows, "inventor_id string, name string, country string"), ["inventor_id"])
     assert len(exchanges(kept)) == 1
     assert {tuple(r) for r in kept.collect()} == {("i1", "a", None), ("i2", None, None), (None, "x", "DE")}
+
+
+def test_files_of_the_stream_are_written_without_a_shuffle(spark, exchanges, tmpdir_fresh, monkeypatch):
+    v = FixtureViews(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(queries.si, "scratch_path", lambda _, name: f"{tmpdir_fresh}/{name}")
+    totals = queries._scm(v).collect()
+    assert totals == fl.clean_metrics(v.extracted_records).collect()
+    base = f"{tmpdir_fresh}/stream_metrics"
+    assert len(glob.glob(f"{base}/in/*.parquet")) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.read.parquet(f"{base}/metrics").select("batch").distinct().count() == 2
