@@ -119,7 +119,7 @@ class PieceEncoder:
                 return self.whole(text)
             words += len(pieces)
             out.append(b"".join([self.first[pieces[0]], *map(later, pieces[1:])]))
-        if words != len(text.split()):                  # a piece holds white space of another kind
+        if len("".join(text.split())) != len(text) - words + 1:     # a piece holds white space of another kind
             return self.whole(text)
         return self.newline.join(out)
 
